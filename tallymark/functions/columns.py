@@ -79,11 +79,20 @@ def outcome_type(y: str | Column, prediction: str | Column) -> Column:
     )
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def hash_order_sql(key: str | Sequence[str], seed: int = 42) -> str:
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = ", ".join(f"string({quoted(k)})" for k in keys)
+    return f"md5(concat_ws('|', {parts}, '{seed}'))"
+
+
 def hash_order(key: str | Sequence[str], seed: int = 42) -> Column:
     """A reproducible random order: 32 hex digits that depend on the key and the seed only."""
-    keys = [key] if isinstance(key, str) else list(key)
-    parts = [F.col(k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+    return F.expr(hash_order_sql(key, seed))
 
 
 def hash_fraction(key: str | Sequence[str], seed: int = 42) -> Column:
@@ -92,19 +101,21 @@ def hash_fraction(key: str | Sequence[str], seed: int = 42) -> Column:
     return head.cast("double") / F.lit(float(16**12))
 
 
-def yeo_johnson(c: str | Column, lam: float) -> Column:
-    """Yeo-Johnson power transform at a fixed lambda."""
-    x = as_column(c).cast("double")
-    if abs(lam) < 1e-12:
-        upper = F.log1p(x)
-    else:
-        upper = F.expm1(F.log1p(x) * F.lit(lam)) / F.lit(lam)
+def yeo_johnson_sql(x: str, lam: float) -> str:
+    """Yeo-Johnson power transform of the SQL text ``x`` at a fixed lambda."""
     mirror = 2.0 - lam
-    if abs(mirror) < 1e-12:
-        lower = -F.log1p(-x)
-    else:
-        lower = -F.expm1(F.log1p(-x) * F.lit(mirror)) / F.lit(mirror)
-    return F.when(x >= 0, upper).when(x < 0, lower)
+    upper = f"expm1(log1p({x}) * {lam!r}D) / {lam!r}D" if abs(lam) >= 1e-12 else f"log1p({x})"
+    lower = (
+        f"-expm1(log1p(-{x}) * {mirror!r}D) / {mirror!r}D"
+        if abs(mirror) >= 1e-12
+        else f"-log1p(-{x})"
+    )
+    return f"CASE WHEN {x} >= 0 THEN {upper} WHEN {x} < 0 THEN {lower} END"
+
+
+def yeo_johnson(c: str, lam: float) -> Column:
+    """Yeo-Johnson power transform of a column."""
+    return F.expr(yeo_johnson_sql(f"double({quoted(c)})", lam))
 
 
 def bin_index(c: str | Column, low: float, width: float, bins: int) -> Column:

@@ -9,12 +9,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
     Interaction,
     OneHotEncoder,
-    OneHotEncoderModel,
     StringIndexer,
     StringIndexerModel,
     VectorAssembler,
@@ -25,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.columns import safe_ratio, yeo_johnson
+from tallymark.functions.columns import quoted, safe_ratio, yeo_johnson, yeo_johnson_sql
 from tallymark.operators.ordering import local_frame, most_frequent, quantile_values
 from tallymark.spec import TableSpec
 
@@ -218,10 +216,12 @@ def lambda_likelihoods(df: DataFrame, points: dict[str, Sequence[float]]) -> dic
     """Yeo-Johnson log-likelihoods of every column at its candidate lambdas, in one pass."""
     aggs = []
     for i, (c, lams) in enumerate(points.items()):
-        x = F.col(c).cast("double")
-        aggs.append(F.count(x).alias(f"n{i}"))
-        aggs.append(F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"s{i}"))
-        aggs += [F.var_pop(yeo_johnson(c, lam)).alias(f"v{i}_{j}") for j, lam in enumerate(lams)]
+        x = f"double({quoted(c)})"
+        aggs.append(F.expr(f"count({x}) AS n{i}"))
+        aggs.append(F.expr(f"sum(signum({x}) * log1p(abs({x}))) AS s{i}"))
+        aggs += [
+            F.expr(f"var_pop({yeo_johnson_sql(x, lam)}) AS v{i}_{j}") for j, lam in enumerate(lams)
+        ]
     r = df.agg(*aggs).first()
     out = {}
     for i, (c, lams) in enumerate(points.items()):

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.columns import guarded, safe_ratio
+from tallymark.functions.columns import guarded, quoted
 from tallymark.operators.ordering import running_totals
 from tallymark.operators.quality import percent
 
@@ -20,16 +20,21 @@ METRICS = (
 )
 
 
+# Written as SQL text: these expressions are built for every fold and grid point of a search.
 def _cells(y: str, prediction: str, positive: int = 1) -> list[Column]:
-    actual, said = F.col(y) == positive, F.col(prediction) == positive
+    actual, said = f"{quoted(y)} = {positive}", f"{quoted(prediction)} = {positive}"
     return [
-        F.count(F.when(~actual & ~said, 1)).alias("tn"),
-        F.count(F.when(~actual & said, 1)).alias("fp"),
-        F.count(F.when(actual & ~said, 1)).alias("fn"),
-        F.count(F.when(actual & said, 1)).alias("tp"),
+        F.expr(f"count_if(NOT ({actual}) AND NOT ({said})) AS tn"),
+        F.expr(f"count_if(NOT ({actual}) AND {said}) AS fp"),
+        F.expr(f"count_if({actual} AND NOT ({said})) AS fn"),
+        F.expr(f"count_if({actual} AND {said}) AS tp"),
     ]
 
 
+def _guarded_sql(num: str, den: str) -> str:
+    return f"coalesce(try_divide(double({num}), double({den})), 0D)"
+
+
 def confusion(
     df: DataFrame, y: str = "label", prediction: str = "prediction",
     by: Sequence[str] = (), positive: int = 1,
@@ -41,17 +46,17 @@ def confusion(
 
 def rates() -> dict[str, Column]:
     """The threshold metrics as expressions over tn, fp, fn, tp."""
-    tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
-    recall, specificity = guarded(tp, tp + fn), guarded(tn, tn + fp)
-    present = F.when(tp + fn > 0, 1).otherwise(0) + F.when(tn + fp > 0, 1).otherwise(0)
-    return {
-        "accuracy": guarded(tp + tn, tn + fp + fn + tp),
-        "balanced_accuracy": guarded(recall + specificity, present.cast("double")),
-        "precision": guarded(tp, tp + fp),
+    recall, true_negatives = _guarded_sql("tp", "tp + fn"), _guarded_sql("tn", "tn + fp")
+    present = "int(tp + fn > 0) + int(tn + fp > 0)"
+    texts = {
+        "accuracy": _guarded_sql("tp + tn", "tn + fp + fn + tp"),
+        "balanced_accuracy": _guarded_sql(f"{recall} + {true_negatives}", present),
+        "precision": _guarded_sql("tp", "tp + fp"),
         "recall": recall,
-        "f1": guarded(2.0 * tp, 2.0 * tp + fp + fn),
-        "specificity": specificity,
+        "f1": _guarded_sql("2 * tp", "2 * tp + fp + fn"),
+        "specificity": true_negatives,
     }
+    return {name: F.expr(text) for name, text in texts.items()}
 
 
 def _some(names: Sequence[str], df, y, prediction, by, positive=1) -> DataFrame:
@@ -126,10 +131,9 @@ def score_table(
     prediction: str | None = None,
 ) -> DataFrame:
     """Positives and negatives per distinct score with their running totals from the top."""
-    positive = F.col(y) == 1
     aggs = [
-        F.count(F.when(positive, 1)).alias("pos"),
-        F.count(F.when(~positive, 1)).alias("neg"),
+        F.expr(f"count_if({quoted(y)} = 1) AS pos"),
+        F.expr(f"count_if({quoted(y)} <> 1) AS neg"),
     ]
     if prediction is not None:
         aggs += _cells(y, prediction)
@@ -140,21 +144,19 @@ def score_table(
 
 
 def _ranking_sums() -> list[Column]:
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    up, down = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    up, down = "double(cum_pos)", "double(cum_neg)"
     return [
-        F.sum("pos").cast("double").alias("p"),
-        F.sum("neg").cast("double").alias("n"),
-        F.sum(pos * (0.5 * neg - down)).alias("below"),
-        F.sum(pos * safe_ratio(up, up + down)).alias("steps"),
+        F.expr("double(sum(pos)) AS p"),
+        F.expr("double(sum(neg)) AS n"),
+        F.expr(f"sum(pos * (0.5D * neg - {down})) AS below"),
+        F.expr(f"sum(pos * try_divide({up}, {up} + {down})) AS steps"),
     ]
 
 
 def _ranking() -> dict[str, Column]:
-    p, n = F.col("p"), F.col("n")
     return {
-        "roc_auc": safe_ratio(F.col("below") + p * n, p * n),
-        "average_precision": guarded(F.col("steps"), p),
+        "roc_auc": F.expr("try_divide(below + p * n, p * n)"),
+        "average_precision": F.expr(_guarded_sql("steps", "p")),
     }
 
 

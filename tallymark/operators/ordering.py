@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window as W
 
-from tallymark.functions.columns import as_column, hash_order
+from tallymark.functions.columns import hash_order, hash_order_sql, quoted
 from tallymark.session import shared_dir
 
 SMALL_ROWS = 20_000  # most rows a fitted table may have to be held by the driver and broadcast
@@ -97,10 +97,6 @@ def attach(df: DataFrame, fitted: Settled, by: Sequence[str], cols: Sequence[str
 # round trip per expression.
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _number(value) -> str:
     if value is None:
         return "CAST(NULL AS DOUBLE)"
@@ -143,7 +139,7 @@ def _first_brackets(
     points = "array(" + ", ".join(_number(float(e)) for e in ends) + ")"
     aggs, stats, brackets = [], [], []
     for i, c in enumerate(cols):
-        x = f"double({_quoted(c)})"
+        x = f"double({quoted(c)})"
         aggs += [f"count({x}) AS __n{i}", f"min({x}) AS __min{i}", f"max({x}) AS __max{i}"]
         if ends:
             aggs.append(f"percentile_approx({x}, {points}, {SKETCH_ACCURACY}) AS __q{i}")
@@ -178,7 +174,7 @@ def _narrow(
     grid = "array(" + ", ".join(_number(g / GRID) for g in range(GRID + 1)) + ")"
     aggs, brackets = [], []
     for k in range(len(cols) * len(probs)):
-        x, q = f"double({_quoted(cols[k // len(probs)])})", float(probs[k % len(probs)])
+        x, q = f"double({quoted(cols[k // len(probs)])})", float(probs[k % len(probs)])
         low, high = at(k, "low"), at(k, "high")
         held = f"if({x} >= {low} AND {x} <= {high}, {x}, NULL)"
         aggs += [
@@ -212,7 +208,7 @@ def _count_brackets(
     rows, at = _with_brackets(df, state, by)
     within, below, held, places = [], [], [], []
     for k in range(len(cols) * len(probs)):
-        x = f"double({_quoted(cols[k // len(probs)])})"
+        x = f"double({quoted(cols[k // len(probs)])})"
         n, low, high = at(k, "n"), at(k, "low"), at(k, "high")
         # a bracket of one value needs no counting: its end points are the answer
         inside = f"({x} >= {low} AND {x} <= {high} AND {low} < {high})"
@@ -226,14 +222,14 @@ def _count_brackets(
         )
     members = (
         rows.filter(" OR ".join(within))
-        .selectExpr(*map(_quoted, by), f"explode(array({', '.join(held)})) AS p")
+        .selectExpr(*map(quoted, by), f"explode(array({', '.join(held)})) AS p")
         .filter("p is not null")
         .groupBy(*by, "p.k", "p.n", "p.v")
         .count()
     )
     under = (
         attach(_grouped(rows, by, below), state, by, ["__br"])
-        .selectExpr(*map(_quoted, by), f"explode(array({', '.join(places)})) AS p")
+        .selectExpr(*map(quoted, by), f"explode(array({', '.join(places)})) AS p")
         .select(*by, "p.*")
         .filter("count > 0")
     )
@@ -254,7 +250,7 @@ def _count_brackets(
             F.expr("max(pos - rank) AS part"),
         )
     )
-    return picked.selectExpr(*map(_quoted, by), "k", "a + (b - a) * part AS value")
+    return picked.selectExpr(*map(quoted, by), "k", "a + (b - a) * part AS value")
 
 
 def order_stats(
@@ -360,17 +356,18 @@ class HashCuts:
 
     def passed(self) -> Column:
         """How many cuts of its class a row lies behind: 0 for the first block."""
-        h = hash_order(self.key, self.seed)
+        h = hash_order_sql(self.key, self.seed)
 
-        def count(values: Sequence[str]) -> Column:
-            return sum((F.when(h > v, 1).otherwise(0) for v in values), F.lit(0))
+        def count(values: Sequence[str]) -> str:
+            return " + ".join(["0", *[f"int({h} > '{v}')" for v in values]])
 
         if self.y is None:
-            return count(self.cuts[None])
+            return F.expr(count(self.cuts[None]))
         out = None
         for label, values in self.cuts.items():
             same = F.col(self.y).eqNullSafe(F.lit(label))
-            out = F.when(same, count(values)) if out is None else out.when(same, count(values))
+            step = F.expr(count(values))
+            out = F.when(same, step) if out is None else out.when(same, step)
         return out
 
 
@@ -575,4 +572,4 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42)
     if n >= total:
         return df
     cuts = fit_cuts(df, None, key, seed, {None: [n]}, {None: total})
-    return df.filter(as_column(cuts.passed()) == 0)
+    return df.filter(cuts.passed() == 0)

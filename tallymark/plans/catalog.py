@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tallymark.plans import queries_profile  # noqa: F401
+from tallymark.plans import queries_profile, queries_supervised  # noqa: F401
 from tallymark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -91,4 +91,5 @@ def oversample(train: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
         same = F.col(y).eqNullSafe(F.lit(c))
         copies = F.lit(largest // n) + F.when(cuts.passed() == 0, 1).otherwise(0)
         times = F.when(same, copies) if times is None else times.when(same, copies)
-    return train.select("*", F.explode(F.sequence(F.lit(1), times)).cast("bigint").alias("copy"))
+    numbers = F.sequence(F.lit(1).cast("bigint"), times.cast("bigint"))
+    return train.select("*", F.explode(numbers).alias("copy"))

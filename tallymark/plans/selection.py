@@ -111,9 +111,14 @@ def cross_validate(
     return out
 
 
-SCORE_SCHEMA = T.StructType.fromDDL(
-    "model string, fold bigint, part string, fit_time double, "
-    + ", ".join(f"{m} double" for m in (*METRICS, "specificity"))
+SCORE_SCHEMA = T.StructType(
+    [
+        T.StructField("model", T.StringType()),
+        T.StructField("fold", T.LongType()),
+        T.StructField("part", T.StringType()),
+        T.StructField("fit_time", T.DoubleType()),
+        *[T.StructField(m, T.DoubleType()) for m in (*METRICS, "specificity")],
+    ]
 )
 
 
