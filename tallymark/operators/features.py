@@ -27,7 +27,7 @@ from tallymark.functions.columns import quoted, safe_ratio, yeo_johnson, yeo_joh
 from tallymark.operators.ordering import local_frame, most_frequent, quantile_values
 from tallymark.spec import TableSpec
 
-LAMBDA_POINTS = 9
+LAMBDA_POINTS = 13
 LAMBDA_LIMIT = 64.0
 
 
@@ -254,10 +254,10 @@ class YeoJohnson(Estimator, _Stage):
         outputs: Sequence[str] | None = None,
         lo: float = -4.0,
         hi: float = 4.0,
-        passes: int = 4,
+        passes: int = 3,
     ):
         super().__init__()
-        self._setDefault(lo=-4.0, hi=4.0, passes=4)
+        self._setDefault(lo=-4.0, hi=4.0, passes=3)
         self._columns(inputs, outputs)
         self._set(lo=lo, hi=hi, passes=passes)
 

@@ -197,6 +197,22 @@ def _narrow(
     return counted.select(*by, "__stats", F.expr(f"array({', '.join(brackets)}) AS __br"))
 
 
+def _count_whole(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """The quantiles by the built-in aggregate, for groups known to be of ``WHOLE_ROWS`` at most."""
+    wanted = "array(" + ", ".join(_number(float(p)) for p in probs) + ")"
+    wide = _grouped(
+        df, by, [f"percentile(double({quoted(c)}), {wanted}) AS __q{i}" for i, c in enumerate(cols)]
+    )
+    listed = ", ".join(
+        f"named_struct('k', {i * len(probs) + j}, 'value', __q{i}[{j}])"
+        for i in range(len(cols))
+        for j in range(len(probs))
+    )
+    return wide.selectExpr(*map(quoted, by), f"inline(array({listed}))").filter("value IS NOT NULL")
+
+
 def _count_brackets(
     df: DataFrame,
     cols: Sequence[str],
@@ -314,6 +330,8 @@ def _fit_quantiles(df, cols, probs, by, extras) -> tuple[Settled, Settled | None
     state = settle(_first_brackets(base, cols, probs, by, extras))
     if not probs:
         return state, None
+    if state.small and all(s["count"] <= WHOLE_ROWS for r in state.rows for s in r["__stats"]):
+        return state, settle(_count_whole(base, cols, probs, by))
     for _ in range(6):
         if _fullest(state) <= BRACKET_ROWS:
             break

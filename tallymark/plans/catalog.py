@@ -1,6 +1,10 @@
 """All registered queries."""
 
-from tallymark.plans import queries_profile, queries_supervised  # noqa: F401
+from tallymark.plans import (  # noqa: F401
+    queries_models,
+    queries_profile,
+    queries_supervised,
+)
 from tallymark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

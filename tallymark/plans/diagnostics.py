@@ -26,7 +26,7 @@ def ablation(
     """The same model cross-validated with different feature stages (name -> stage factory)."""
     rows = []
     for name, stages in variants.items():
-        rows += cross_validate({name: family}, stages, df, y, **options)
+        rows += cross_validate({name: family}, stages, df, y, **options)  # one fit per variant
     return summarise_folds(score_frame(rows))
 
 

@@ -89,26 +89,24 @@ def cross_validate(
 
     ``stages`` is a function that returns fresh feature stages.
     """
-    out = []
     with held(df) as (kept,):
         folds = sorted(r[0] for r in kept.select(fold).distinct().collect())
-        for i in folds:
+
+        def work(i):
             inside, outside = kept.filter(F.col(fold) != i), kept.filter(F.col(fold) == i)
+            rows = []
             with transformed(stages(), y, inside, outside) as (_, (train, valid)):
                 counts = class_counts(train, y)
                 parts = {"test": valid, **({"train": train} if train_scores else {})}
-
-                def work(item, train=train, parts=parts, counts=counts, i=i):
-                    name, family = item
+                for name, family in models.items():
                     _, metrics, seconds = fit_and_score(family, train, parts, y, counts)
-                    return [
+                    rows += [
                         {"model": name, "fold": i, "part": p, "fit_time": seconds, **m}
                         for p, m in metrics.items()
                     ]
+            return rows
 
-                for rows in _parallel(list(models.items()), work, parallelism):
-                    out += rows
-    return out
+        return [r for rows in _parallel(folds, work, parallelism) for r in rows]
 
 
 SCORE_SCHEMA = T.StructType(
@@ -163,42 +161,73 @@ def fold_fit_times(scores: DataFrame) -> DataFrame:
     return scores.filter(F.col("part") == "test").select("model", "fold", "fit_time")
 
 
-def grid_search(
-    family: Family,
-    grid: Mapping[str, Sequence[Any]],
+def search(
+    catalog: Mapping[str, Family],
+    grids: Mapping[str, Mapping[str, Sequence[Any]]],
     stages,
     df: DataFrame,
     y: str = "label",
     fold: str = "fold",
     refit: str = REFIT,
     parallelism: int = 4,
-) -> tuple[PipelineModel, Family, list[dict[str, Any]]]:
-    """Try every combination on every fold, then refit the best mean on all rows.
+) -> tuple[dict[str, Family], dict[str, list[dict[str, Any]]]]:
+    """Try every combination of every family on every fold.
 
-    Returns the fitted features-and-model pipeline, the chosen parameters and the results; the
-    first combination wins ties.
+    Returns per family the parameters with the best mean (the first one on ties) and the results.
     """
-    tried = combinations(grid)
-    models = {str(i): family.with_params(**p) for i, p in enumerate(tried)}
+    tried = {name: combinations(grids[name]) for name in catalog}
+    models = {
+        f"{name}:{i}": catalog[name].with_params(**p)
+        for name, listed in tried.items()
+        for i, p in enumerate(listed)
+    }
     rows = cross_validate(models, stages, df, y, fold, parallelism=parallelism)
-    results = []
-    for i, params in enumerate(tried):
-        mine = [r for r in rows if r["model"] == str(i)]
-        means = {
-            m: sum(r[m] or 0.0 for r in mine) / len(mine) for m in (*METRICS, "specificity")
-        }
-        results.append({"combination": i, "params": params, **means})
-    best = max(results, key=lambda r: (r[refit], -r["combination"]))
-    chosen = models[str(best["combination"])]
-    return fit_final(chosen, stages, df, y), chosen, results
+    chosen, results = {}, {}
+    for name, listed in tried.items():
+        results[name] = []
+        for i, params in enumerate(listed):
+            mine = [r for r in rows if r["model"] == f"{name}:{i}"]
+            means = {
+                m: sum(r[m] or 0.0 for r in mine) / len(mine) for m in (*METRICS, "specificity")
+            }
+            results[name].append({"combination": i, "params": params, **means})
+        best = max(results[name], key=lambda r: (r[refit], -r["combination"]))
+        chosen[name] = models[f"{name}:{best['combination']}"]
+    return chosen, results
+
+
+def fit_all(
+    families: Mapping[str, Family], stages, df: DataFrame, y: str = "label"
+) -> dict[str, PipelineModel]:
+    """Each family fitted on all given rows behind the same fitted features."""
+    out = {}
+    with transformed(stages(), y, df) as (features, (train,)):
+        counts = class_counts(train, y)
+        for name, family in families.items():
+            model = family.fit(train, y, counts)
+            tail = model.stages if isinstance(model, PipelineModel) else [model]
+            out[name] = PipelineModel([*features.stages, *tail])
+    return out
 
 
 def fit_final(family: Family, stages, df: DataFrame, y: str = "label") -> PipelineModel:
     """Features and model fitted on all given rows, as one pipeline."""
-    with transformed(stages(), y, df) as (features, (train,)):
-        model = family.fit(train, y)
-    tail = model.stages if isinstance(model, PipelineModel) else [model]
-    return PipelineModel([*features.stages, *tail])
+    return fit_all({"final": family}, stages, df, y)["final"]
+
+
+def grid_search(
+    family: Family,
+    grid: Mapping[str, Sequence[Any]],
+    stages,
+    df: DataFrame,
+    y: str = "label",
+    fold: str = "fold",
+    refit: str = REFIT,
+    parallelism: int = 4,
+) -> tuple[PipelineModel, Family, list[dict[str, Any]]]:
+    """Search one family, then refit the best combination on all rows."""
+    chosen, results = search({"one": family}, {"one": grid}, stages, df, y, fold, refit, parallelism)
+    return fit_final(chosen["one"], stages, df, y), chosen["one"], results["one"]
 
 
 def nested_cv(
@@ -214,20 +243,24 @@ def nested_cv(
     parallelism: int = 4,
 ) -> DataFrame:
     """Search on inner folds of each outer training part; score on its outer validation part."""
-    rows = []
     with held(stratified_folds(df, y, key, outer, seed, "outer_fold")) as (tagged,):
-        for i in range(1, outer + 1):
+
+        def work(i):
             inside = tagged.filter(F.col("outer_fold") != i)
             inside = stratified_folds(inside, y, key, inner, seed, "fold")
             outside = tagged.filter(F.col("outer_fold") == i)
-            for name, family in catalog.items():
-                model, _, _ = grid_search(
-                    family, grids[name], stages, inside, y, parallelism=parallelism
-                )
-                scored = positive_score(model.transform(outside))
-                metrics = evaluate(scored, y).first().asDict()
-                rows.append({"model": name, "fold": i, "part": "test", "fit_time": None, **metrics})
-    return score_frame(rows)
+            threads = max(1, parallelism // outer)
+            chosen, _ = search(catalog, grids, stages, inside, y, parallelism=threads)
+            return [
+                {
+                    "model": name, "fold": i, "part": "test", "fit_time": None,
+                    **evaluate(positive_score(model.transform(outside)), y).first().asDict(),
+                }
+                for name, model in fit_all(chosen, stages, inside, y).items()
+            ]
+
+        rows = _parallel(range(1, outer + 1), work, parallelism)
+    return score_frame([r for part in rows for r in part])
 
 
 NESTED_METRICS = ("balanced_accuracy", "recall", "f1", "roc_auc")
@@ -268,26 +301,30 @@ def learning_curve(
 
     ``fraction, train_size, train_score_mean, validation_score_mean, fit_time_mean``.
     """
-    rows = []
     with held(df) as (kept,):
         folds = sorted(r[0] for r in kept.select(fold).distinct().collect())
-        for i in folds:
-            inside, outside = kept.filter(F.col(fold) != i), kept.filter(F.col(fold) == i)
+
+        def order(i):
+            inside = kept.filter(F.col(fold) != i)
             counts = class_counts(inside, y)
             ranks = {c: [max(1, round(f * n)) for f in fractions] for c, n in counts.items()}
             cuts = fit_cuts(inside, y, key, seed, ranks, counts)
-            ordered = inside.withColumn("__step", cuts.passed())
-
-            def work(step, ordered=ordered, outside=outside):
-                part = ordered.filter(F.col("__step") <= step)
-                with transformed(stages(), y, part, outside) as (_, (train, valid)):
-                    counts = class_counts(train, y)
-                    _, m, seconds = fit_and_score(
-                        family, train, {"train": train, "test": valid}, y, counts
-                    )
-                return step, sum(counts.values()), m["train"][metric], m["test"][metric], seconds
-
-            rows += _parallel(range(len(fractions)), work, parallelism)
+            return inside.withColumn("__step", cuts.passed())
+
+        ordered = {i: order(i) for i in folds}
+
+        def work(task):
+            i, step = task
+            part = ordered[i].filter(F.col("__step") <= step)
+            outside = kept.filter(F.col(fold) == i)
+            with transformed(stages(), y, part, outside) as (_, (train, valid)):
+                counts = class_counts(train, y)
+                parts = {"train": train, "test": valid}
+                _, m, seconds = fit_and_score(family, train, parts, y, counts)
+            return step, sum(counts.values()), m["train"][metric], m["test"][metric], seconds
+
+        tasks = [(i, step) for i in folds for step in range(len(fractions))]
+        rows = _parallel(tasks, work, parallelism)
     out = []
     for step, fraction in enumerate(fractions):
         mine = [r for r in rows if r[0] == step]

@@ -19,10 +19,12 @@ EPSILON = 1e-4  # share used for an empty histogram bin
 def read_parquet_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
+    """Stream the Parquet files of a path (one file, a folder, or a pattern)."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    # a pattern, because a plain path of a streaming source has to be a folder
+    return reader.parquet(path if any(c in path for c in "*?[{") else f"{path.rstrip('/')}*")
 
 
 def write_stream(
@@ -63,6 +65,11 @@ def window_profile(
     bins = len(edges) + 1
     place = sum((F.when(x > float(e), 1).otherwise(0) for e in edges), F.lit(0))
     counts = [F.count(F.when(x.isNotNull() & (place == i), 1)).alias(f"b{i}") for i in range(bins)]
+    wall_clock = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    if wall_clock:  # windows need an instant: read the wall clock as UTC, whatever the session zone
+        stream = stream.withColumn(
+            ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+        )
     timed = stream.withWatermark(ts, watermark) if stream.isStreaming else stream
     grouped = timed.groupBy(F.window(ts, window).alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
@@ -71,7 +78,12 @@ def window_profile(
         *counts,
     )
     return grouped.select(
-        F.col("w.start").alias("window_start"), "n", "nulls", "unseen",
+        (
+            F.to_utc_timestamp("w.start", F.current_timezone()).cast("timestamp_ntz")
+            if wall_clock
+            else F.col("w.start")
+        ).alias("window_start"),
+        "n", "nulls", "unseen",
         F.array(*[f"b{i}" for i in range(bins)]).alias("bins"),
     )
 
