@@ -84,15 +84,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hash_order_sql(key: str | Sequence[str], seed: int = 42) -> str:
-    keys = [key] if isinstance(key, str) else list(key)
-    parts = ", ".join(f"string({quoted(k)})" for k in keys)
-    return f"md5(concat_ws('|', {parts}, '{seed}'))"
-
-
 def hash_order(key: str | Sequence[str], seed: int = 42) -> Column:
     """A reproducible random order: 32 hex digits that depend on the key and the seed only."""
-    return F.expr(hash_order_sql(key, seed))
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = ", ".join(f"string({quoted(k)})" for k in keys)
+    return F.expr(f"md5(concat_ws('|', {parts}, '{seed}'))")
 
 
 def hash_fraction(key: str | Sequence[str], seed: int = 42) -> Column:

@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.columns import bin_index, safe_ratio
+from tallymark.functions.columns import bin_index, quoted
 from tallymark.operators.ordering import order_stats, sample_rows
 from tallymark.operators.quality import percent
 
@@ -17,8 +17,11 @@ MAX_COLUMNS = 1000  # most columns a pivoted table may get; wider ones stay in l
 
 def _corr(a: str, b: str) -> Column:
     """Pearson over the rows where both are present; no spread gives null."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    return F.nanvl(F.corr(x, y), F.lit(None).cast("double"))
+    x, y = f"double({quoted(a)})", f"double({quoted(b)})"
+    return F.expr(
+        f"try_divide(covar_pop({x}, {y}), stddev_pop(if({y} IS NULL, NULL, {x})) * "
+        f"stddev_pop(if({x} IS NULL, NULL, {y})))"
+    )
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

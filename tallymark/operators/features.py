@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.columns import quoted, safe_ratio, yeo_johnson, yeo_johnson_sql
+from tallymark.functions.columns import quoted, safe_ratio, yeo_johnson
 from tallymark.operators.ordering import local_frame, most_frequent, quantile_values
 from tallymark.spec import TableSpec
 
@@ -213,24 +213,39 @@ class RobustScaleModel(Model, _Stage):
 
 
 def lambda_likelihoods(df: DataFrame, points: dict[str, Sequence[float]]) -> dict[str, list[float]]:
-    """Yeo-Johnson log-likelihoods of every column at its candidate lambdas, in one pass."""
-    aggs = []
-    for i, (c, lams) in enumerate(points.items()):
-        x = f"double({quoted(c)})"
-        aggs.append(F.expr(f"count({x}) AS n{i}"))
-        aggs.append(F.expr(f"sum(signum({x}) * log1p(abs({x}))) AS s{i}"))
-        aggs += [
-            F.expr(f"var_pop({yeo_johnson_sql(x, lam)}) AS v{i}_{j}") for j, lam in enumerate(lams)
-        ]
-    r = df.agg(*aggs).first()
+    """Yeo-Johnson log-likelihoods of every column at its candidate lambdas, in one pass.
+
+    Columns are laid below each other, so the aggregate has one expression per candidate however
+    many columns there are, and the logarithm is taken once per value.
+    """
+    cols, width = list(points), max(len(lams) for lams in points.values())
+    cells = ", ".join(
+        f"named_struct('i', {i}, 'x', signum(double({quoted(c)})), "
+        f"'l', log1p(abs(double({quoted(c)}))))"
+        for i, c in enumerate(cols)
+    )
+    long = df.selectExpr(f"inline(array({cells}))").filter("x IS NOT NULL")
+    aggs = [F.expr("count(x) AS n"), F.expr("sum(x * l) AS s")]
+    aggs.append(F.expr("min(x * l) = max(x * l) AS same"))
+    for j in range(width):
+        upper, lower = [], []
+        for lams in points.values():
+            lam = lams[min(j, len(lams) - 1)]
+            # next to the two logarithmic cases the power form is exact to nine digits
+            upper.append(lam if abs(lam) > 1e-9 else 1e-9)
+            lower.append(2.0 - lam if abs(2.0 - lam) > 1e-9 else 1e-9)
+        pick = lambda values: "get(array(" + ", ".join(f"{v!r}D" for v in values) + "), i)"
+        power = f"if(x >= 0, {pick(upper)}, {pick(lower)})"
+        aggs.append(F.expr(f"var_pop(if(x >= 0, 1D, -1D) * expm1(l * {power}) / {power}) AS v{j}"))
+    found = {r["i"]: r for r in long.groupBy("i").agg(*aggs).collect()}
     out = {}
     for i, (c, lams) in enumerate(points.items()):
-        values = []
+        r, values = found.get(i), []
         for j, lam in enumerate(lams):
-            v = r[f"v{i}_{j}"]
-            usable = v is not None and math.isfinite(v) and v > 1e-300
+            v = r[f"v{j}"] if r else None
+            usable = v is not None and math.isfinite(v) and v > 1e-300 and not r["same"]
             values.append(
-                -r[f"n{i}"] / 2.0 * math.log(v) + (lam - 1.0) * r[f"s{i}"] if usable else -math.inf
+                -r["n"] / 2.0 * math.log(v) + (lam - 1.0) * r["s"] if usable else -math.inf
             )
         out[c] = values
     return out

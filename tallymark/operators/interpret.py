@@ -78,7 +78,7 @@ def extreme_contributions(
         ]
     )
     low = min(half, len(names))
-    ordered = F.array_sort(labelled)
+    ordered = F.sort_array(labelled)
     ends = F.concat(
         F.slice(ordered, 1, low), F.slice(ordered, len(names) - low + 1, low)
     )

@@ -149,7 +149,7 @@ def logistic(p, y, rows, weight, train):
         **_weighted(
             {
                 "labelCol": y, "regParam": 1.0 / (p.get("C", 1.0) * rows), "elasticNetParam": 0.0,
-                "standardization": False, "maxIter": p.get("max_iter", 2000), "tol": 1e-8,
+                "standardization": False, "maxIter": p.get("max_iter", 2000), "tol": p.get("tol", 1e-6),
             },
             weight,
         )

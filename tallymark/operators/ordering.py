@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window as W
 
-from tallymark.functions.columns import hash_order, hash_order_sql, quoted
+from tallymark.functions.columns import hash_order, quoted
 from tallymark.session import shared_dir
 
 SMALL_ROWS = 20_000  # most rows a fitted table may have to be held by the driver and broadcast
@@ -372,21 +372,21 @@ class HashCuts:
     seed: int
     cuts: dict  # class -> list of hash values, ascending ("" for rank 0)
 
-    def passed(self) -> Column:
-        """How many cuts of its class a row lies behind: 0 for the first block."""
-        h = hash_order_sql(self.key, self.seed)
-
-        def count(values: Sequence[str]) -> str:
-            return " + ".join(["0", *[f"int({h} > '{v}')" for v in values]])
+    def mark(self, df: DataFrame, out: str) -> DataFrame:
+        """Add how many cuts of its class a row lies behind: 0 for the first block.
 
+        The hash is a column of its own first, so it is computed once per row.
+        """
+        count = lambda cuts: " + ".join(["0", *[f"int(__h > '{c}')" for c in cuts]])
         if self.y is None:
-            return F.expr(count(self.cuts[None]))
-        out = None
-        for label, values in self.cuts.items():
-            same = F.col(self.y).eqNullSafe(F.lit(label))
-            step = F.expr(count(values))
-            out = F.when(same, step) if out is None else out.when(same, step)
-        return out
+            step = F.expr(count(self.cuts[None]))
+        else:
+            step = F.lit(None).cast("int")
+            for label, cuts in self.cuts.items():
+                same = F.col(self.y).eqNullSafe(F.lit(label))
+                step = F.when(same, F.expr(count(cuts))).otherwise(step)
+        hashed = df.withColumn("__h", hash_order(self.key, self.seed))
+        return hashed.withColumn(out, step).drop("__h")
 
 
 def class_counts(df: DataFrame, y: str | None) -> dict:
@@ -468,17 +468,23 @@ def fit_cuts(
         length += PREFIX_DIGITS
     if open_:
         wanted_df = local_frame(spark, [dict(zip(schema.names, r)) for r in open_], schema)
-        stretch = _inside(hashed, wanted_df.select("w", "prefix").distinct(), length).select(
-            "c", F.substring("h", 1, length).alias("start"), "h"
+        # equal hashes (rows that share a key) count as one step, so they stay on one side of a cut
+        stretch = (
+            _inside(hashed, wanted_df.select("w", "prefix").distinct(), length)
+            .groupBy("c", F.substring("h", 1, length).alias("start"), "h")
+            .count()
+        )
+        upto = F.sum("count").over(
+            W.partitionBy("c", "start").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)
         )
-        place = F.row_number().over(W.partitionBy("c", "start").orderBy("h"))
         hit = (
             F.col("c").eqNullSafe(F.col("w"))
             & (F.col("start") == F.col("prefix"))
-            & (F.col("place") == F.col("rank"))
+            & (F.col("upto") >= F.col("rank"))
+            & (F.col("upto") - F.col("count") < F.col("rank"))
         )
         for r in (
-            stretch.withColumn("place", place)
+            stretch.withColumn("upto", upto)
             .join(F.broadcast(wanted_df), hit)
             .select("w", "i", "h")
             .collect()
@@ -530,10 +536,12 @@ def running_totals(
         sort = F.col(order).asc() if ascending else F.col(order).desc()
         return w.orderBy(sort).rowsBetween(W.unboundedPreceding, W.currentRow)
 
-    if n <= BUCKET_ROWS:
+    if n <= BUCKET_ROWS:  # n bounds the cells of all groups together
         return cells.select(
             "*", *[F.sum(m).over(frame(W.partitionBy(*by))).alias(f"cum_{m}") for m in measures]
         )
+    shared_dir(cells.sparkSession)
+    cells = cells.checkpoint()  # read three times below
     buckets = min(max(2, -(-n // BUCKET_ROWS) * 2), MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
     inner = cells.agg(
@@ -590,4 +598,4 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42)
     if n >= total:
         return df
     cuts = fit_cuts(df, None, key, seed, {None: [n]}, {None: total})
-    return df.filter(cuts.passed() == 0)
+    return cuts.mark(df, "__step").filter("__step = 0").drop("__step")

@@ -100,7 +100,7 @@ def stratified_split(
     counts = class_counts(df, y)
     ranks = {c: [n] for c, n in allocate(counts, test).items()}
     cuts = fit_cuts(df, y, key, seed, ranks, counts)
-    return df.withColumn(out, F.when(cuts.passed() == 0, "test").otherwise("train"))
+    return cuts.mark(df, out).withColumn(out, F.when(F.col(out) == 0, "test").otherwise("train"))
 
 
 def split_summary(df: DataFrame, split: str, y: str, decimals: int | None = 2) -> DataFrame:
@@ -119,7 +119,7 @@ def stratified_folds(
     counts = class_counts(df, y)
     ranks = {c: split_evenly(n, k)[:-1] for c, n in counts.items()}
     cuts = fit_cuts(df, y, key, seed, ranks, counts)
-    return df.withColumn(out, (cuts.passed() + 1).cast("bigint"))
+    return cuts.mark(df, out).withColumn(out, (F.col(out) + 1).cast("bigint"))
 
 
 def fold_rows(df: DataFrame, i: int, fold: str = "fold") -> tuple[DataFrame, DataFrame]:

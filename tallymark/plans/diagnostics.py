@@ -13,11 +13,19 @@ from tallymark.operators.ordering import class_counts, fit_cuts, quantile_values
 from tallymark.plans.selection import cross_validate, score_frame, summarise_folds
 
 
-def calibrate(train: DataFrame, y: str = "label", score: str = "score"):
-    """A monotone map from scores to probabilities, fitted on held-out training scores."""
+def calibrate(train: DataFrame, y: str = "label", score: str = "score", digits: int = 6):
+    """A monotone map from scores to probabilities, fitted on held-out training scores.
+
+    Rows are pooled per score (at ``digits`` decimals) with their number as weight, so the final
+    merge of neighbours sees at most one point per distinct score in [0, 1].
+    """
+    pooled = train.groupBy(F.round(score, digits).alias(score)).agg(
+        F.avg(F.col(y).cast("double")).alias(y),
+        F.count(F.lit(1)).cast("double").alias("__rows"),
+    )
     return IsotonicRegression(
-        labelCol=y, featuresCol=score, predictionCol="calibrated", isotonic=True
-    ).fit(train.select(F.col(y).cast("double").alias(y), score))
+        labelCol=y, featuresCol=score, predictionCol="calibrated", weightCol="__rows", isotonic=True
+    ).fit(pooled)
 
 
 def ablation(
@@ -86,10 +94,10 @@ def oversample(train: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
     counts = class_counts(train, y)
     largest = max(counts.values())
     cuts = fit_cuts(train, y, key, seed, {c: [largest % n] for c, n in counts.items()}, counts)
-    times = None
+    extra = F.when(F.col("__step") == 0, 1).otherwise(0)
+    times = F.lit(1)
     for c, n in counts.items():
-        same = F.col(y).eqNullSafe(F.lit(c))
-        copies = F.lit(largest // n) + F.when(cuts.passed() == 0, 1).otherwise(0)
-        times = F.when(same, copies) if times is None else times.when(same, copies)
+        times = F.when(F.col(y).eqNullSafe(F.lit(c)), F.lit(largest // n) + extra).otherwise(times)
     numbers = F.sequence(F.lit(1).cast("bigint"), times.cast("bigint"))
-    return train.select("*", F.explode(numbers).alias("copy"))
+    marked = cuts.mark(train, "__step")
+    return marked.select(*train.columns, F.explode(numbers).alias("copy"))

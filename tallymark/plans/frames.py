@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.plans.registry import table
+from tallymark.session import scratch_path
+from tallymark.sources.ingest import ingest, read_table, write_layer
 from tallymark.spec import Bound, TableSpec
 
 HASH = "md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}'))"
@@ -91,6 +93,24 @@ def labelled_docs(spark: SparkSession, sf: str) -> DataFrame:
     return docs.join(labels, "doc_id")
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a typed table as a layer and go on from the files.
+
+    Profiles and fits read their input several times; from here on they scan a few pruned
+    columns instead of parsing text cells or whole documents again.
+    """
+    base = scratch_path(df.sparkSession, "layers")
+    return read_table(df.sparkSession, write_layer(df, base, "intermediate", name))
+
+
+def landed_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return landed(labelled_docs(spark, sf), "labelled_docs")
+
+
+def landed_events(spark: SparkSession, sf: str) -> DataFrame:
+    return landed(ingest(messy_events(spark, sf), EVENT_SPEC), "events")
+
+
 DOC_SPEC = TableSpec(
     columns=("doc_id", "n_chars", "n_words", "n_lines", "n_digits", "lang", "quality"),
     casts={

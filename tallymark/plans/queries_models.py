@@ -15,7 +15,7 @@ from tallymark.operators import interpret
 from tallymark.operators import metrics as met
 from tallymark.operators import prepare as prep
 from tallymark.operators.models import DUMMY, Family, MajorityClass, positive_score
-from tallymark.operators.ordering import local_frame
+from tallymark.operators.ordering import local_frame, order_stats, settle
 from tallymark.operators.paired import mean_difference, paired_tests
 from tallymark.plans import diagnostics as diag
 from tallymark.plans import scoring
@@ -26,6 +26,7 @@ from tallymark.plans.frames import (
     ORDERS_SQL,
     folds_sql,
     labelled_docs,
+    landed_docs,
     scored_orders,
     split_sql,
 )
@@ -41,7 +42,7 @@ LOGISTIC = Family("logistic_regression", {"C": 1.0, "weight": "balanced", "max_i
 
 
 def _docs(spark, sf):
-    return labelled_docs(spark, sf).withColumnRenamed("quality", "label")
+    return landed_docs(spark, sf).withColumnRenamed("quality", "label")
 
 
 def _parts(spark, sf):
@@ -180,7 +181,8 @@ def _rule_scores(spark, sf):
         ).alias("m"),
     ).select("fold", "label", "score", "m.*")
     made = met.evaluate(ruled, by=["model", "fold"])
-    return made.withColumns({"part": F.lit("test"), "fit_time": F.lit(0.0)})
+    # one row per model and fold: as small as the score table of fitted models
+    return settle(made.withColumns({"part": F.lit("test"), "fit_time": F.lit(0.0)})).frame
 
 
 _RULED_SQL = (
@@ -513,8 +515,6 @@ def saved_model_scores(spark, sf):
 def single_requests(spark, sf):
     """Request rows built from the median document of each language, scored like a form entry."""
     model, _, _ = _fitted(spark, sf)
-    from tallymark.operators.ordering import order_stats
-
     cols = ["n_chars", "n_words", "n_lines", "n_digits"]
     stats = order_stats(_docs(spark, sf), cols, [0.5], ["lang"])
     middle = stats.groupBy("lang").pivot("column", cols).agg(F.first(F.col("quantiles")[0]))

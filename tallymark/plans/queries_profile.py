@@ -16,6 +16,8 @@ from tallymark.plans.frames import (
     MESSY_SQL,
     TYPED_SQL,
     labelled_docs,
+    landed_docs,
+    landed_events,
     messy_events,
     order_sql,
 )
@@ -225,7 +227,7 @@ def describe_lineitem(spark, sf):
     )
 )
 def describe_events_by_type(spark, sf):
-    typed = ingest(messy_events(spark, sf), EVENT_SPEC)
+    typed = landed_events(spark, sf)
     return rounded(desc.describe(typed, ["value", "k"], ["event_type"]), 4, *_PARTS)
 
 
@@ -259,7 +261,7 @@ def box_statistics(spark, sf):
 
 @query(_box_sql(["n_chars", "n_words"], f"({DOCS_SQL})", "quality"))
 def box_statistics_by_class(spark, sf):
-    out = desc.box_stats(labelled_docs(spark, sf), ["n_chars", "n_words"], ["quality"])
+    out = desc.box_stats(landed_docs(spark, sf), ["n_chars", "n_words"], ["quality"])
     return rounded(out, 4, *_BOX)
 
 
@@ -376,7 +378,7 @@ def two_way_counts(spark, sf):
     )
 )
 def grouped_summary(spark, sf):
-    return assoc.grouped_summary(labelled_docs(spark, sf), _DOC_NUM, ["quality"], decimals=4)
+    return assoc.grouped_summary(landed_docs(spark, sf), _DOC_NUM, ["quality"], decimals=4)
 
 
 _EDGES = [0, 500, 1500, 4000, 40000]
@@ -421,13 +423,13 @@ WITH w AS (SELECT min(l_quantity) AS xl, (max(l_quantity) - min(l_quantity)) / 1
   min(l_extendedprice) AS yl, (max(l_extendedprice) - min(l_extendedprice)) / 10 AS yw FROM lineitem)
 SELECT l_returnflag, least(CAST(floor((l_quantity - xl) / xw) AS BIGINT), 9) AS xbin,
   least(CAST(floor((l_extendedprice - yl) / yw) AS BIGINT), 9) AS ybin, count(*) AS n,
-  round(avg(l_quantity), 4) AS x_mean, round(avg(l_extendedprice), 4) AS y_mean
+  round(avg(l_quantity), 6) AS x_mean, round(avg(l_extendedprice), 6) AS y_mean
 FROM lineitem, w GROUP BY 1, 2, 3""")
 def binned_scatter(spark, sf):
     out = assoc.binned_scatter(
         table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"], 10, 10
     )
-    return rounded(out, 4, "x_mean", "y_mean")
+    return rounded(out, 6, "x_mean", "y_mean")
 
 
 @query(
@@ -461,5 +463,5 @@ def _pair_sql(cols, source, by, bins):
 @query(_pair_sql(["n_chars", "n_words", "n_lines"], DOCS_SQL, "quality", 8))
 def pair_summary(spark, sf):
     return assoc.pair_summary(
-        labelled_docs(spark, sf), ["n_chars", "n_words", "n_lines"], ["quality"], 8
+        landed_docs(spark, sf), ["n_chars", "n_words", "n_lines"], ["quality"], 8
     )

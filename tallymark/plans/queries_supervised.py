@@ -19,6 +19,8 @@ from tallymark.plans.frames import (
     TYPED_SQL,
     folds_sql,
     labelled_docs,
+    landed_docs,
+    landed_events,
     messy_events,
     order_sql,
     scored_orders,
@@ -102,7 +104,7 @@ def class_weights(spark, sf):
 
 
 def _split_docs(spark, sf):
-    return prep.stratified_split(labelled_docs(spark, sf), "quality", "doc_id")
+    return prep.stratified_split(landed_docs(spark, sf), "quality", "doc_id")
 
 
 def _train(spark, sf):
@@ -136,7 +138,7 @@ _VALUE_SPLIT = split_sql(
 
 
 def _split_events(spark, sf):
-    typed = ingest(messy_events(spark, sf), EVENT_SPEC)
+    typed = landed_events(spark, sf)
     return prep.stratified_split(prep.drop_missing_target(typed, "code"), "code", "event_id")
 
 
@@ -323,7 +325,7 @@ def transformed_documents(spark, sf):
     "AS feature) WHERE (SELECT count(*) FROM labels) > 0"
 )
 def transformed_null_audit(spark, sf):
-    docs = _labelled(labelled_docs(spark, sf))
+    docs = _labelled(landed_docs(spark, sf))
     model = feats.build_feature_pipeline(DOC_SPEC).fit(docs)
     return prep.null_audit(model.transform(docs), "features", feats.feature_names(model))
 
@@ -548,5 +550,5 @@ def heuristic_baseline(spark, sf):
     "FROM r JOIN c USING (quality)"
 )
 def oversampled(spark, sf):
-    docs = labelled_docs(spark, sf).select("doc_id", "quality")
+    docs = landed_docs(spark, sf).select("doc_id", "quality")
     return oversample(docs, "quality", "doc_id")

@@ -32,7 +32,7 @@ def _parallel(tasks: Sequence, work, threads: int) -> list:
     if threads <= 1 or len(tasks) <= 1:
         return [work(t) for t in tasks]
     with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(inheritable_thread_target(work), tasks))
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), tasks))
 
 
 @contextmanager
@@ -309,7 +309,7 @@ def learning_curve(
             counts = class_counts(inside, y)
             ranks = {c: [max(1, round(f * n)) for f in fractions] for c, n in counts.items()}
             cuts = fit_cuts(inside, y, key, seed, ranks, counts)
-            return inside.withColumn("__step", cuts.passed())
+            return cuts.mark(inside, "__step")
 
         ordered = {i: order(i) for i in folds}
 
