@@ -30,7 +30,9 @@ SKETCH_ACCURACY = 10_000
 WHOLE_ROWS = 20_000  # columns (or groups) up to this size are counted whole, without a bracket
 BRACKET_ROWS = 2_000_000  # most values one bracket may hold before it is counted value by value
 LEAF_ROWS = 200_000  # most rows that are ranked by one task
-GRID = 500  # sub-brackets tried when a bracket is still too full
+GRID = 500  # steps of the quantile grid that sampled brackets are read from
+SAMPLE_ABOVE = 20_000_000  # from this size on brackets come from a sample, to keep sketches small
+SAMPLE_ROWS = 1_000_000  # sampled values aimed at
 PREFIX_DIGITS = 3  # hash digits that one refinement step looks at
 BUCKET_ROWS = 1_000_000  # distinct values aimed at per bucket of a running total
 MAX_BUCKETS = 20_000
@@ -126,36 +128,73 @@ def _with_brackets(df: DataFrame, state: Settled, by: Sequence[str]):
     return df, lambda k, f: _number(brackets[k][f])
 
 
+def _sampled(df: DataFrame, share: float) -> tuple[DataFrame, str]:
+    """The rows with one random number each, and the condition of being in the sample.
+
+    A sample only places brackets; the counts that decide the result see every row.
+    """
+    if share >= 1.0:
+        return df, "true"
+    return df.withColumn("__r", F.rand(17)), f"__r < {share!r}D"
+
+
+def _grid_step(prob: str, sampled: str, up: bool) -> str:
+    """Grid position safely below (or above) a share, given how many values were sampled."""
+    slack = f"(2 + ceil(3 * {GRID} / sqrt(greatest({sampled}, 1))))"
+    return f"int(ceil({prob} * {GRID}) + {slack})" if up else f"int(floor({prob} * {GRID}) - {slack})"
+
+
 def _first_brackets(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str],
     extras: Mapping[str, str],
+    share: float,
+    widen: int,
 ) -> DataFrame:
-    """One pass: counts, extremes, the caller's extra aggregates and sketched brackets."""
-    slack = 3.0 / SKETCH_ACCURACY
-    ends = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
+    """One pass: counts, extremes, the caller's extra aggregates and sketched brackets.
+
+    ``widen`` counts earlier attempts; brackets grow tenfold with each.
+    """
+    rows, inside_sample = _sampled(df, share)
+    slack = 3.0 / SKETCH_ACCURACY * 10**widen
+    if share < 1.0:
+        ends = [g / GRID for g in range(GRID + 1)]
+    else:
+        ends = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
     points = "array(" + ", ".join(_number(float(e)) for e in ends) + ")"
     aggs, stats, brackets = [], [], []
     for i, c in enumerate(cols):
         x = f"double({quoted(c)})"
+        held = x if share >= 1.0 else f"if({inside_sample}, {x}, NULL)"
         aggs += [f"count({x}) AS __n{i}", f"min({x}) AS __min{i}", f"max({x}) AS __max{i}"]
-        if ends:
-            aggs.append(f"percentile_approx({x}, {points}, {SKETCH_ACCURACY}) AS __q{i}")
+        if probs:
+            aggs.append(f"percentile_approx({held}, {points}, {SKETCH_ACCURACY}) AS __q{i}")
+            aggs.append(f"count({held}) AS __m{i}")
         aggs += [f"{agg.format(x=x)} AS __x{i}_{name}" for name, agg in extras.items()]
         told = "".join(f", '{name}', __x{i}_{name}" for name in extras)
         stats.append(f"named_struct('count', __n{i}, 'min', __min{i}, 'max', __max{i}{told})")
         for j, q in enumerate(probs):
             # the slack covers the sketch error and both neighbouring ranks from this size on
             whole = f"__n{i} <= {WHOLE_ROWS}"
-            low = f"if({whole} OR {q - slack!r}D <= 0, __min{i}, __q{i}[{2 * j}])"
-            high = f"if({whole} OR {q + slack!r}D >= 1, __max{i}, __q{i}[{2 * j + 1}])"
+            if share < 1.0:
+                spread = f"(least(__m{i}, 1e15D) / {100**widen})"
+                first = _grid_step(_number(float(q)), spread, up=False)
+                last = _grid_step(_number(float(q)), spread, up=True)
+                low = f"coalesce(if({whole} OR {first} <= 0, NULL, get(__q{i}, {first})), __min{i})"
+                high = f"coalesce(if({whole} OR {last} >= {GRID}, NULL, get(__q{i}, {last})), __max{i})"
+                share_inside = f"double({last} - {first}) / {GRID}"
+            else:
+                low = f"if({whole} OR {q - slack!r}D <= 0, __min{i}, __q{i}[{2 * j}])"
+                high = f"if({whole} OR {q + slack!r}D >= 1, __max{i}, __q{i}[{2 * j + 1}])"
+                share_inside = f"{4 * slack!r}D"
             guess = (
-                f"if({low} = {high}, 1, if({whole}, __n{i}, ceil(__n{i} * {4 * slack!r}D) + 2))"
+                f"if({low} = {high}, 1, if({whole}, __n{i}, "
+                f"least(__n{i}, ceil(__n{i} * {share_inside}) + 2)))"
             )
             brackets.append(_struct(f"__n{i}", "0", guess, low, high))
-    return _grouped(df, by, aggs).select(
+    return _grouped(rows, by, aggs).select(
         *by,
         F.expr(f"array({', '.join(stats)}) AS __stats"),
         F.expr(f"array({', '.join(brackets)}) AS __br" if brackets else "NULL AS __br"),
@@ -169,28 +208,31 @@ def _narrow(
     by: Sequence[str],
     state: Settled,
 ) -> DataFrame:
-    """Shrink every bracket by one more pass; needed beyond about a billion rows only."""
+    """Shrink every bracket by one more pass."""
     rows, at = _with_brackets(df, state, by)
+    rows, inside_sample = _sampled(rows, min(1.0, SAMPLE_ROWS / max(_fullest(state), 1)))
     grid = "array(" + ", ".join(_number(g / GRID) for g in range(GRID + 1)) + ")"
     aggs, brackets = [], []
     for k in range(len(cols) * len(probs)):
         x, q = f"double({quoted(cols[k // len(probs)])})", float(probs[k % len(probs)])
         low, high = at(k, "low"), at(k, "high")
-        held = f"if({x} >= {low} AND {x} <= {high}, {x}, NULL)"
+        within = f"{x} >= {low} AND {x} <= {high}"
+        held = f"if({within} AND {inside_sample}, {x}, NULL)"
         aggs += [
             f"count(if({x} < {low}, 1, NULL)) AS __b{k}",
-            f"count({held}) AS __i{k}",
+            f"count(if({within}, 1, NULL)) AS __i{k}",
+            f"count({held}) AS __m{k}",
             f"percentile_approx({held}, {grid}, {SKETCH_ACCURACY}) AS __g{k}",
         ]
         old = f"__br[{k}]"
         rank = f"(bigint(floor(({old}.n - 1) * {_number(q)})) - __b{k})"
-        first = f"(int(floor({rank} * {GRID} / __i{k})) - 2)"
-        last = f"(int(ceil(({rank} + 2) * {GRID} / __i{k})) + 2)"
-        new_low = f"if({first} < 0, {old}.low, get(__g{k}, {first}))"
-        new_high = f"if({last} > {GRID}, {old}.high, get(__g{k}, {last}))"
+        first = _grid_step(f"(double({rank}) / greatest(__i{k}, 1))", f"__m{k}", up=False)
+        last = _grid_step(f"(double({rank} + 2) / greatest(__i{k}, 1))", f"__m{k}", up=True)
+        new_low = f"if({first} <= 0, {old}.low, coalesce(get(__g{k}, {first}), {old}.low))"
+        new_high = f"if({last} >= {GRID}, {old}.high, coalesce(get(__g{k}, {last}), {old}.high))"
         guess = (
             f"if({new_low} = {new_high}, 1, "
-            f"least(__i{k}, ceil(__i{k} * double({last} - {first} + 2) / {GRID}) + 2))"
+            f"least(__i{k}, ceil(__i{k} * double({last} - {first}) / {GRID}) + 2))"
         )
         brackets.append(_struct(f"{old}.n", f"__b{k}", guess, new_low, new_high))
     counted = attach(_grouped(rows, by, aggs), state, by, ["__stats", "__br"])
@@ -226,16 +268,15 @@ def _count_brackets(
     for k in range(len(cols) * len(probs)):
         x = f"double({quoted(cols[k // len(probs)])})"
         n, low, high = at(k, "n"), at(k, "low"), at(k, "high")
-        # a bracket of one value needs no counting: its end points are the answer
+        # rows of a bracket that holds one value are counted without being listed
         inside = f"({x} >= {low} AND {x} <= {high} AND {low} < {high})"
         within.append(inside)
         held.append(f"if({inside}, named_struct('k', {k}, 'n', {n}, 'v', {x}), NULL)")
         below.append(f"count(if({x} < {low}, 1, NULL)) AS __b{k}")
+        below.append(f"count(if({x} = {low} AND {low} = {high}, 1, NULL)) AS __e{k}")
         b = f"__br[{k}]"
-        places.append(
-            f"named_struct('k', {k}, 'n', {b}.n, 'v', if({b}.low = {b}.high, {b}.low, NULL), "
-            f"'count', if({b}.low = {b}.high, {b}.n, __b{k}))"
-        )
+        places.append(f"named_struct('k', {k}, 'n', {b}.n, 'v', double(NULL), 'count', __b{k})")
+        places.append(f"named_struct('k', {k}, 'n', {b}.n, 'v', {b}.low, 'count', __e{k})")
     members = (
         rows.filter(" OR ".join(within))
         .selectExpr(*map(quoted, by), f"explode(array({', '.join(held)})) AS p")
@@ -280,8 +321,8 @@ def order_stats(
 
     One row per group and column: ``by…, column, count, min, max, <extras…>, quantiles`` where
     ``quantiles`` follows ``probs``; an extra aggregate is SQL text over ``{x}``. Missing values
-    are left out. Two scans of the needed columns at ordinary sizes, one more per further factor
-    of about a hundred.
+    are left out. Three scans of the needed columns at ordinary sizes, one more per further factor
+    of about sixty beyond a hundred million rows.
     """
     cols, probs, by = list(cols), list(probs), list(by)
     extras = dict(extras or {})
@@ -327,19 +368,30 @@ def order_stats(
 
 def _fit_quantiles(df, cols, probs, by, extras) -> tuple[Settled, Settled | None]:
     base = df.select(*by, *[F.col(c) for c in dict.fromkeys(cols) if c not in by])
-    state = settle(_first_brackets(base, cols, probs, by, extras))
     if not probs:
-        return state, None
-    if state.small and all(s["count"] <= WHOLE_ROWS for r in state.rows for s in r["__stats"]):
-        return state, settle(_count_whole(base, cols, probs, by))
-    for _ in range(6):
-        if _fullest(state) <= BRACKET_ROWS:
-            break
-        state = settle(_narrow(base, cols, probs, by, state))
-    found = settle(_count_brackets(base, cols, probs, by, state))
-    if found.small and any(r["value"] is None for r in found.rows):
-        raise RuntimeError("a quantile lies outside its bracket")
-    return state, found
+        return settle(_first_brackets(base, cols, probs, by, extras, 1.0, 0)), None
+    rows = base.count()
+    share = 1.0 if rows <= SAMPLE_ABOVE else SAMPLE_ROWS / rows
+    for widen in range(5):
+        state = settle(_first_brackets(base, cols, probs, by, extras, share, widen))
+        if state.small and all(s["count"] <= WHOLE_ROWS for r in state.rows for s in r["__stats"]):
+            return state, settle(_count_whole(base, cols, probs, by))
+        for _ in range(6):
+            if _fullest(state) <= BRACKET_ROWS:
+                break
+            state = settle(_narrow(base, cols, probs, by, state))
+        found = settle(_count_brackets(base, cols, probs, by, state))
+        if not _missed(state, found, len(probs)):
+            return state, found
+    raise RuntimeError("a quantile lies outside its bracket")
+
+
+def _missed(state: Settled, found: Settled, wanted: int) -> bool:
+    """Whether a wanted rank was not among the values of its bracket."""
+    if state.small and found.small:
+        held = sum(s["count"] > 0 for r in state.rows for s in r["__stats"])
+        return sum(r["value"] is not None for r in found.rows) < held * wanted
+    return not found.frame.filter("value IS NULL").isEmpty()
 
 
 def _fullest(state: Settled) -> int:
@@ -544,9 +596,10 @@ def running_totals(
     cells = cells.checkpoint()  # read three times below
     buckets = min(max(2, -(-n // BUCKET_ROWS) * 2), MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
-    inner = cells.agg(
-        F.percentile_approx(F.col(order).cast("double"), probs, max(10 * buckets, 10_000))
-    ).first()[0]
+    sample = cells.sample(min(1.0, 100.0 * buckets / n), seed=17)  # ranges need to be even, not exact
+    inner = sample.agg(
+        F.percentile_approx(F.col(order).cast("double"), probs, 10 * buckets)
+    ).first()[0] or [0.0]
     splits = [float("-inf"), *sorted(set(inner)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="__o", outputCol="__b", handleInvalid="keep")
     ranged = cut.transform(cells.withColumn("__o", F.col(order).cast("double"))).drop("__o")

@@ -397,25 +397,25 @@ def row_contributions(spark, sf):
     )
 
 
-@query(
-    "WITH u AS ("
-    + " UNION ALL ".join(
-        f"SELECT l_orderkey, l_partkey, l_linenumber, '{n}' AS feature, {c} * ({v!r})::DOUBLE AS contribution FROM lineitem"
+_SORTED_SQL = "list_sort(list_value({})) AS ends".format(
+    ", ".join(
+        f"{{'contribution': CASE WHEN {c} = 0 THEN 0.0::DOUBLE ELSE round({c} * ({v!r})::DOUBLE, 8) END, "
+        f"'feature': '{n}'}}"
         for c, v, n in zip(_COLS, _COEF, _NAMES)
     )
-    + "), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_linenumber ORDER BY "
-    "contribution, feature) AS rn FROM u WHERE (l_orderkey, l_partkey, l_linenumber) IN "
-    "(SELECT (l_orderkey, l_partkey, l_linenumber) FROM lineitem GROUP BY ALL HAVING count(*) = 1)) "
-    "SELECT l_orderkey, l_partkey, l_linenumber, CASE rn WHEN 1 THEN 1::BIGINT ELSE 2::BIGINT END AS place, "
-    "feature, CASE WHEN contribution = 0 THEN 0.0::DOUBLE ELSE round(contribution, 8) END AS contribution "
-    "FROM r WHERE rn IN (1, 4)"
+)
+
+
+@query(
+    "SELECT l_orderkey, l_partkey, l_linenumber, place, ends[CASE place WHEN 1 THEN 1 ELSE 4 END].feature "
+    "AS feature, ends[CASE place WHEN 1 THEN 1 ELSE 4 END].contribution AS contribution FROM "
+    f"(SELECT l_orderkey, l_partkey, l_linenumber, {_SORTED_SQL} FROM lineitem), "
+    "(SELECT unnest([1::BIGINT, 2::BIGINT]) AS place)"
 )
 def extreme_contributions(spark, sf):
-    """Lowest and highest contribution of every row whose key names one row."""
+    """Lowest and highest contribution of every row."""
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
-    single = table(spark, sf, "lineitem").groupBy(*keys).count().filter("count = 1").select(*keys)
-    rows = _linear(spark, sf).join(single, keys, "left_semi")
-    out = interpret.extreme_contributions(rows, _NAMES, keys, count=2)
+    out = interpret.extreme_contributions(_linear(spark, sf), _NAMES, keys, count=2)
     return rounded(out, 8, "contribution")
 
 

@@ -31,7 +31,7 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("limits", ["plain", "brackets", "narrowed"])
+@pytest.mark.parametrize("limits", ["plain", "brackets", "narrowed", "sampled"])
 def test_quantiles_equal_numpy(spark, monkeypatch, shape, limits):
     if limits != "plain":
         monkeypatch.setattr(o, "WHOLE_ROWS", 2 if limits == "brackets" else 100)
@@ -39,6 +39,12 @@ def test_quantiles_equal_numpy(spark, monkeypatch, shape, limits):
         monkeypatch.setattr(o, "SKETCH_ACCURACY", 100)
         monkeypatch.setattr(o, "BRACKET_ROWS", 60)
         monkeypatch.setattr(o, "GRID", 20)
+    if limits == "sampled":
+        monkeypatch.setattr(o, "SAMPLE_ABOVE", 100)
+        monkeypatch.setattr(o, "SAMPLE_ROWS", 300)
+        monkeypatch.setattr(o, "BRACKET_ROWS", 500)
+        monkeypatch.setattr(o, "GRID", 20)
+        monkeypatch.setattr(o, "WHOLE_ROWS", 50)
     if limits == "brackets":
         monkeypatch.setattr(o, "SKETCH_ACCURACY", 50)
         monkeypatch.setattr(o, "WHOLE_ROWS", 200)
@@ -67,6 +73,14 @@ def test_grouped_quantiles_with_null_group_and_large_fit(spark, monkeypatch, sma
         assert np.isclose(r["mean"], np.mean(mine))
 
 
+def test_a_missed_bracket_is_tried_again_wider(spark, monkeypatch):
+    monkeypatch.setattr(o, "WHOLE_ROWS", 5)
+    monkeypatch.setattr(o, "SKETCH_ACCURACY", 10_000_000)  # far too narrow for the neighbour rank
+    values = list(np.random.default_rng(9).normal(size=1000))
+    got = o.quantile_values(numbers(spark, values), ["x"], [0.25, 0.5])["x"]
+    assert np.allclose(got, np.percentile(values, [25, 50]), atol=1e-12)
+
+
 def brute_order(ids, seed=42):
     return sorted(ids, key=lambda i: hashlib.md5(f"{i}|{seed}".encode()).hexdigest())
 
