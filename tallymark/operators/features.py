@@ -296,7 +296,10 @@ class YeoJohnson(Estimator, _Stage):
                     lams[c] = 1.0
                     del spans[c]
                 elif best in (0, LAMBDA_POINTS - 1) and abs(grid[best]) < LAMBDA_LIMIT:
-                    spans[c] = (grid[best] - 4 * step, grid[best] + 4 * step)
+                    reach = 2 * (LAMBDA_POINTS - 1) * step  # the peak lies outside: move on, twice as far
+                    ends = (-step, reach) if best else (-reach, step)
+                    spans[c] = (grid[best] + ends[0], grid[best] + ends[1])
+                    left[c] += 1
                 elif left[c] <= 1:
                     lams[c] = _peak(grid, score, best)
                     del spans[c]
