@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontaminate, licenses, packing, reputation, sharding, warc
+from tallymark.llm import decontaminate, jaccard, language, licenses, packing, quality, reputation, sharding, topk, warc
 from tallymark.llm.common import table
 from tallymark.session import scratch_path
 
@@ -34,11 +34,26 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query(jaccard.SQL)
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.documents_components(table(spark, sf_dir, "documents"))
+
+
 @query(warc.SQL)
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
 
 
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.documents_languages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.documents_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(licenses.sql())
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.documents_licenses(table(spark, sf_dir, "documents"))
@@ -50,6 +65,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.url_filter(table(spark, sf_dir, "pages"), outcomes)
 
 
+@query(topk.SQL)
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.embeddings_top(table(spark, sf_dir, "embeddings"))
+
+
 @query(decontaminate.SQL)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.documents_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
