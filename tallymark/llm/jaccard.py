@@ -27,8 +27,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallymark.llm.common import saved
+from tallymark.llm.common import fresh, saved
 from tallymark.llm.components import components
 from tallymark.llm.words import SPACED, hash_words, mix, slices, windows
 
@@ -380,3 +381,28 @@ least AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN words ON w
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
 FROM words LEFT JOIN sized USING (r) LEFT JOIN least USING (r)
 """
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = Likeness()) -> DataFrame:
+    """`docs` with one document of each component: that of the smallest key (a null key only if there is no other).
+
+    Documents without words are in no component and all stay. Of rows that repeat a key and a set of shingles one stays.
+    """
+    found = similar_documents(docs, key, text, like).filter("set_id is not null")
+    best = found.groupBy("set_component").agg(F.min(F.struct(F.col(key).isNull(), F.col(key).alias("key"), F.col("set_id").alias("own"))).alias("best"))
+    own, wanted, its = (fresh(c, docs.columns) for c in ("set_id", "wanted_key", "wanted_set"))
+    best = best.select(F.col("best.key").alias(wanted), F.col("best.own").alias(its))
+    names = [*docs.columns, own]
+
+    def batches(them):
+        for batch in them:
+            for piece in slices(batch, text):
+                sets, ids = _sets(piece, text, like.width)
+                mine = pa.array(ids.view(np.int64), mask=np.array([len(s) == 0 for s in sets]))
+                yield pa.RecordBatch.from_arrays([*piece.columns, mine], names=names)
+
+    marked = docs.mapInArrow(batches, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(wanted)) & (F.col(own) == F.col(its))
+    chosen = marked.filter(F.col(own).isNotNull()).join(best, same, "left_semi")
+    wordless = ~F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return chosen.dropDuplicates([key, own]).drop(own).unionByName(docs.filter(wordless))
