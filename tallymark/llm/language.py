@@ -167,10 +167,11 @@ _LONG = 1 << 20
 def sample(df: DataFrame, text: str, lang: str, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """At most `rows` rows (text, lang) of each language: those whose texts have the smallest hashes.
 
-    A first cut by the share that is needed keeps the candidates few; the exact cut is made on those.
+    A first cut by the share of the different texts that is needed keeps the candidates few; the exact cut is made on those.
     """
     known = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counts = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()}
+    texts = known.groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.lit(1)).groupBy("lang").count()
+    counts = {r[0]: r[1] for r in texts.orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()}
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     share = F.lit(0.0)

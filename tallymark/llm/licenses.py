@@ -5,6 +5,7 @@ All steps are column expressions on the row itself; nothing is shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import LOWER, UPPER, ascii_lower
 
-#: Known licence sentences by identifier, as public licence notices write them (fixed values).
+#: Known licence sentences by identifier, as public licence notices write them (fixed values); none goes beyond the place where a
+#: text is cut (so the one of the Mozilla licence ends before its version).
 SENTENCES: dict[str, str] = {
     "mit-notice": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
@@ -31,7 +33,7 @@ SENTENCES: dict[str, str] = {
     "cc-by-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-name": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "reserved": "All rights reserved.",
 }
 
@@ -70,6 +72,8 @@ def _plain(sentence: str) -> str:
 
 def _checked(sentences: Mapping[str, str], rules: Sequence[tuple[str, tuple[str, ...]]]) -> dict[str, str]:
     known = {_plain(s): name for name, s in sentences.items()}
+    if any(re.search(CUT, s) for s in sentences.values()):
+        raise ValueError("a known sentence would be cut in two")
     if len(known) < len(sentences):
         raise ValueError("two known sentences are the same once normalised")
     unknown = {s for _, steps in rules for s in steps} - set(sentences)

@@ -118,10 +118,10 @@ def sql(z: float = 2.0, threshold: float = 0.5) -> str:
     verdict = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r.verdict}'" for r in cases) + " END"
 
     def level(name: str, keys: str, parent: str, source: str) -> str:
-        mean = f"(SELECT rate FROM total) AS mean FROM ({source})"
+        mean = f"(k - bad) / (m - n) AS mean FROM ({source}), total"
         if parent:
-            rate = f"(SELECT {parent}, alpha / (alpha + beta) AS mean FROM {parent})"
-            mean = f"mean FROM ({source}) JOIN {rate} USING ({parent})"
+            above = f"(SELECT {parent}, alpha AS k, alpha + beta AS m FROM {parent})"
+            mean = f"(k - bad) / (m - n) AS mean FROM ({source}) JOIN {above} USING ({parent})"
         return f"""{name}_m AS (SELECT {keys}, n, bad, {mean}),
 {name}_s AS (
   SELECT CASE WHEN coalesce(w, 0) = 0 THEN {UNKNOWN} WHEN s <= e THEN {STRONGEST}
@@ -143,7 +143,7 @@ sites AS (
   SELECT host, n, bad, CASE WHEN two IN ({two}) THEN two ELSE labels[-1] END AS suffix,
     CASE WHEN two IN ({two}) THEN array_to_string(labels[-3:], '.') ELSE two END AS domain
   FROM (SELECT *, string_split(host, '.') AS labels, array_to_string(string_split(host, '.')[-2:], '.') AS two FROM hosts)),
-total AS (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS rate FROM hosts),
+total AS (SELECT coalesce(sum(bad), 0) + 0.5::DOUBLE AS k, coalesce(sum(n), 0) + 1.0::DOUBLE AS m FROM hosts),
 {level("suffix", "suffix", "", "SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM sites GROUP BY suffix")},
 {level("domain", "suffix, domain", "suffix", "SELECT suffix, domain, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM sites GROUP BY ALL")},
 {level("site", "host", "domain", "SELECT suffix, domain, host, n, bad FROM sites")},

@@ -27,20 +27,19 @@ def posteriors(groups: DataFrame, levels: Sequence[str], n: str = "n", bad: str
     """Beta posteriors of the finest groups.
 
     `groups` has one row for each combination of `levels` (coarse to fine, no nulls) with its outcomes `n` and bad outcomes `bad`;
-    groups without outcomes keep their parent's rate. Result: levels, n, bad, `alpha`, `beta`. Each level is one grouped
-    aggregation; only its strength (three sums) and the total reach the driver. Without any outcome the global rate is one half.
+    groups without outcomes keep their parent's rate. Result: levels, n, bad, `alpha`, `beta`. A group's prior is its parent's
+    posterior without the group's own outcomes, so no outcome counts twice. Each level is one grouped aggregation; only its
+    strength (three sums) and the total reach the driver. Without any outcome the global rate is one half.
     """
     total = groups.agg(F.sum(n), F.sum(bad)).first()
-    rate = ((total[1] or 0) + 0.5) / ((total[0] or 0) + 1.0)
+    top = {"above_bad": F.lit((total[1] or 0) + 0.5), "above": F.lit((total[0] or 0) + 1.0)}
     parent, found = None, None
     for i in range(len(levels)):
         keys = list(levels[: i + 1])
         level = groups.groupBy(*keys).agg(F.sum(n).alias(n), F.sum(bad).alias(bad)) if i + 1 < len(levels) else groups.select(*keys, n, bad)
-        if parent is None:
-            level = level.withColumn("mean", F.lit(rate))
-        else:
-            level = joined_small(level, parent, keys[:-1])
-        level = saved(level, "shrinkage")
+        level = level.withColumns(top) if parent is None else joined_small(level, parent, keys[:-1])
+        own = (F.col("above_bad") - F.col(bad)) / (F.col("above") - F.col(n))
+        level = saved(level.withColumn("mean", own), "shrinkage")
         m, count = F.col("mean"), F.col(n)
         sums = level.filter(count > 0).agg(
             F.sum(count * F.pow(F.col(bad) / count - m, F.lit(2.0))),
@@ -51,7 +50,7 @@ def posteriors(groups: DataFrame, levels: Sequence[str], n: str = "n", bad: str
         found = level.select(
             *keys, n, bad, (m * s + F.col(bad)).alias("alpha"), ((1 - m) * s + count - F.col(bad)).alias("beta")
         )
-        parent = found.select(*keys, (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("mean"))
+        parent = found.select(*keys, F.col("alpha").alias("above_bad"), (F.col("alpha") + F.col("beta")).alias("above"))
     return found
 
 
