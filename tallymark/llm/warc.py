@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import repeated
+from tallymark.llm.common import joined_small, repeated, saved
 from tallymark.llm.reputation import PARTS
 
 DATE = "2024-01-01T00:00:00Z"
@@ -64,12 +64,18 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0) -> None:
     target; line ends in a url are percent-encoded. Other columns are not written; an empty table gives no records.
     """
     html, low = F.coalesce("html", F.lit("")), F.lit(-(1 << 63))
-    digests = pages.select("page_id", sha1_base32(F.encode(html, "UTF-8")).alias("digest"), F.octet_length(html).alias("bytes"))
-    first = digests.filter(F.col("bytes") >= smallest).groupBy("digest", "bytes").agg(F.max(F.coalesce("page_id", low)).alias("first"))
-    rows = pages.select(
-        "page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("uri"), html.alias("html"),
-        sha1_base32(F.encode(html, "UTF-8")).alias("digest"), F.octet_length(html).alias("bytes"),
-    ).join(first, ["digest", "bytes"], "left")
+    size = F.octet_length(html)
+    digests = pages.select("page_id", sha1_base32(F.encode(html, "UTF-8")).alias("digest"), size.alias("bytes"))
+    # only payloads that repeat need to know their first; those are few as a rule, and then no payload is shuffled
+    first = digests.filter(F.col("bytes") >= smallest).groupBy("digest", "bytes").agg(
+        F.max(F.coalesce("page_id", low)).alias("first"), F.min(F.coalesce("page_id", low)).alias("last")
+    ).filter("first <> last").drop("last")
+    rows = joined_small(
+        pages.select(
+            "page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("uri"), html.alias("html"),
+            sha1_base32(F.encode(html, "UTF-8")).alias("digest"), size.alias("bytes"),
+        ), saved(first, "payloads"), ["digest", "bytes"],
+    )
     own = _id("capture", F.col("page_id"), F.col("digest"), F.col("bytes"), F.col("uri"))
     again = F.col("first").isNotNull() & (F.coalesce("page_id", low) != F.col("first"))
     page = F.when(F.col("first") != low, F.col("first"))
