@@ -185,6 +185,9 @@ class RobustScale(Estimator, _Stage):
         ins = self.getOrDefault(self.inputs)
         probs = [self.getOrDefault(self.lower), 0.5, self.getOrDefault(self.upper)]
         q = quantile_values(df, ins, probs)
+        empty = [c for c in ins if q[c][1] is None]
+        if empty:
+            raise ValueError(f"no value to learn a scale from in {empty}")
         model = RobustScaleModel(*map(list, zip(*self.pairs())))
         return model._set(
             centers=[q[c][1] for c in ins], scales=[(q[c][2] - q[c][0]) or 1.0 for c in ins]
@@ -224,7 +227,7 @@ def lambda_likelihoods(df: DataFrame, points: dict[str, Sequence[float]]) -> dic
         f"'l', log1p(abs(double({quoted(c)}))))"
         for i, c in enumerate(cols)
     )
-    long = df.selectExpr(f"inline(array({cells}))").filter("x IS NOT NULL")
+    long = df.selectExpr(f"inline(array({cells}))").filter("x IS NOT NULL AND NOT isnan(x)")
     aggs = [F.expr("count(x) AS n"), F.expr("sum(x * l) AS s")]
     aggs.append(F.expr("min(x * l) = max(x * l) AS same"))
     for j in range(width):

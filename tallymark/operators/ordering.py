@@ -366,8 +366,15 @@ def order_stats(
     return joined.drop("__i", "__j", *[f"__by_{b}" for b in by])
 
 
+def _no_nan(df: DataFrame, c: str) -> Column:
+    """The column with NaN as missing."""
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(quoted(c)), F.lit(None)).alias(c)
+    return F.col(quoted(c))
+
+
 def _fit_quantiles(df, cols, probs, by, extras) -> tuple[Settled, Settled | None]:
-    base = df.select(*by, *[F.col(c) for c in dict.fromkeys(cols) if c not in by])
+    base = df.select(*by, *[_no_nan(df, c) for c in dict.fromkeys(cols) if c not in by])
     if not probs:
         return settle(_first_brackets(base, cols, probs, by, extras, 1.0, 0)), None
     rows = base.count()
@@ -623,10 +630,19 @@ def running_totals(
 def most_frequent(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Most frequent value per column, the smallest one on ties: ``by…, column, value, count``.
 
-    Values are counted first, so a column with many distinct values is never held by one task.
+    Values are counted first, so a column with many distinct values is never held by one task. Columns
+    of different types are counted in their own types; their ``value`` is a double if all are numbers,
+    else text.
     """
-    kinds = {df.schema[c].dataType for c in cols}
-    cast = kinds.pop() if len(kinds) == 1 else T.DoubleType()
+    kinds: dict[T.DataType, list[str]] = {}
+    for c in cols:
+        kinds.setdefault(df.schema[c].dataType, []).append(c)
+    if len(kinds) > 1:
+        numbers = all(isinstance(k, T.NumericType) for k in kinds)
+        parts = [most_frequent(df, some, by) for some in kinds.values()]
+        shown = [p.withColumn("value", F.col("value").cast("double" if numbers else "string")) for p in parts]
+        return reduce(DataFrame.unionByName, shown)
+    (cast,) = kinds
     long = df.select(
         *by,
         F.explode(
@@ -645,6 +661,33 @@ def most_frequent(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     )
 
 
+def top_k(df: DataFrame, k: int, by: Sequence[str], ascending: bool = False) -> DataFrame:
+    """The k rows with the largest (or smallest) values of ``by``, nulls last; one bounded merge, no full sort."""
+    if k < 0:
+        raise ValueError("k is negative")
+    order = [F.asc_nulls_last(quoted(c)) if ascending else F.desc_nulls_last(quoted(c)) for c in by]
+    return df.orderBy(*order).limit(k)
+
+
+def head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first n rows in the order of ``order_by``: rows have no order of their own."""
+    return top_k(df, n, order_by, ascending=True)
+
+
+def outer_align(frames: Mapping[str, DataFrame], on: Sequence[str], value: str) -> DataFrame:
+    """``value`` of several frames side by side for every key that any of them has: ``on…, <one column per name>``.
+
+    Keys are unique within a frame (else the largest value counts); a null key matches a null key. All
+    frames meet in one shuffle.
+    """
+    parts = [
+        f.select(*[F.col(quoted(c)) for c in on], F.lit(i).alias("__i"), F.col(quoted(value)).alias("__value"))
+        for i, f in enumerate(frames.values())
+    ]
+    cells = [F.max(F.when(F.col("__i") == i, F.col("__value"))).alias(n) for i, n in enumerate(frames)]
+    return reduce(DataFrame.unionByName, parts).groupBy(*on).agg(*cells)
+
+
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
     """A reproducible random sample of n rows: the n lowest hashes, found without a sort."""
     total = df.count()

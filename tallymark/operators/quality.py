@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.columns import safe_ratio
+from tallymark.functions.columns import quoted, safe_ratio
 
 COPIES_PER_TASK_STEP = 100_000
 
@@ -26,7 +26,7 @@ def null_profile(
     """Missing values per column: ``column, nulls, pct``, the emptiest first."""
     cols = list(cols or df.columns)
     counts = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(cols)]
+        F.count(F.lit(1)).alias("n"), *[F.count(F.col(quoted(c))).alias(f"c{i}") for i, c in enumerate(cols)]
     )
     cells = F.array(
         *[

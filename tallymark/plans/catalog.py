@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from tallymark.plans import (  # noqa: F401
+    queries_ingest,
     queries_models,
     queries_profile,
     queries_supervised,

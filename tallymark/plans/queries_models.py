@@ -554,34 +554,38 @@ _EDGES = [5.0, 20.0, 60.0]
 WITH ref AS (SELECT (count(*) FILTER (WHERE value <= 5))::DOUBLE / count(*) AS e0,
   (count(*) FILTER (WHERE value > 5 AND value <= 20))::DOUBLE / count(*) AS e1,
   (count(*) FILTER (WHERE value > 20 AND value <= 60))::DOUBLE / count(*) AS e2,
-  (count(*) FILTER (WHERE value > 60))::DOUBLE / count(*) AS e3 FROM events),
+  (count(*) FILTER (WHERE value > 60))::DOUBLE / count(*) AS e3 FROM events WHERE value IS NOT NULL),
+m AS (SELECT ts, event_type, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events),
 w AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS n,
   (count(*) FILTER (WHERE event_type NOT IN ('click', 'view', 'purchase')))::DOUBLE / count(*) AS unseen,
-  (count(*) FILTER (WHERE value <= 5))::DOUBLE / count(*) AS b0,
-  (count(*) FILTER (WHERE value > 5 AND value <= 20))::DOUBLE / count(*) AS b1,
-  (count(*) FILTER (WHERE value > 20 AND value <= 60))::DOUBLE / count(*) AS b2,
-  (count(*) FILTER (WHERE value > 60))::DOUBLE / count(*) AS b3 FROM events GROUP BY 1)
-SELECT strftime(window_start, '%Y-%m-%d') AS day, n, 0.0::DOUBLE AS null_rate, round(unseen, 6) AS unseen_rate,
+  (count(*) FILTER (WHERE value IS NULL))::DOUBLE / count(*) AS nulls,
+  (count(*) FILTER (WHERE value <= 5))::DOUBLE / count(value) AS b0,
+  (count(*) FILTER (WHERE value > 5 AND value <= 20))::DOUBLE / count(value) AS b1,
+  (count(*) FILTER (WHERE value > 20 AND value <= 60))::DOUBLE / count(value) AS b2,
+  (count(*) FILTER (WHERE value > 60))::DOUBLE / count(value) AS b3 FROM m GROUP BY 1)
+SELECT strftime(window_start, '%Y-%m-%d') AS day, n, round(nulls, 6) AS null_rate, round(unseen, 6) AS unseen_rate,
   round((greatest(b0, 1e-4) - greatest(e0, 1e-4)) * ln(greatest(b0, 1e-4) / greatest(e0, 1e-4))
   + (greatest(b1, 1e-4) - greatest(e1, 1e-4)) * ln(greatest(b1, 1e-4) / greatest(e1, 1e-4))
   + (greatest(b2, 1e-4) - greatest(e2, 1e-4)) * ln(greatest(b2, 1e-4) / greatest(e2, 1e-4))
   + (greatest(b3, 1e-4) - greatest(e3, 1e-4)) * ln(greatest(b3, 1e-4) / greatest(e3, 1e-4)), 6) AS psi
-FROM w, ref WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+FROM w, ref""")
 def streamed_drift(spark, sf):
-    """Drift of every closed day of the event stream against the whole table's histogram."""
+    """Drift of every day of the event stream, a seventh of its values missing, against the whole table's histogram."""
     events = table(spark, sf, "events")
     place = sum((F.when(F.col("value") > e, 1).otherwise(0) for e in _EDGES), F.lit(0))
     reference = {r[0]: r[1] for r in events.groupBy(place).count().collect()}
     total = sum(reference.values())
     expected = [reference.get(i, 0) / total for i in range(len(_EDGES) + 1)]
+    masked = lambda df: df.withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
     stream = live.read_parquet_stream(spark, f"{sf}/events.parquet", events.schema)
     sink = scratch_path(spark, "drift")
-    live.drift_stream(
-        stream, expected, sink, scratch_path(spark, "log"), ts="ts", value="value",
-        category="event_type", known=["click", "view", "purchase"], edges=_EDGES,
-    ).awaitTermination()
-    out = spark.read.parquet(sink)
-    return rounded(out, 6, "unseen_rate", "psi").select(
+    profile = {
+        "ts": "ts", "value": "value", "category": "event_type", "known": ["click", "view", "purchase"],
+        "edges": _EDGES,
+    }
+    live.drift_stream(masked(stream), expected, sink, scratch_path(spark, "log"), **profile).awaitTermination()
+    out = live.with_open_windows(spark.read.parquet(sink), masked(events), expected, **profile)
+    return rounded(out, 6, "null_rate", "unseen_rate", "psi").select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", "null_rate", "unseen_rate", "psi"
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Mapping
-from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import map_values
 from tallymark.operators.models import positive_score
 from tallymark.operators.quality import validate
-from tallymark.sources.ingest import SourceUnreadable, load_artifact
+from tallymark.sources.ingest import ArtifactMissing, SourceUnreadable, load_artifact
 from tallymark.spec import TableSpec
 
 
@@ -55,7 +56,21 @@ def check_contract(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame
     return valid, rejected
 
 
-@lru_cache(maxsize=8)
-def cached_model(path: str) -> PipelineModel:
-    """Load a saved model once per driver process."""
-    return load_artifact(SparkSession.active(), path)[0]
+_MODELS: OrderedDict[tuple, PipelineModel] = OrderedDict()
+
+
+def cached_model(path: str, most: int = 8) -> PipelineModel:
+    """Load a saved model once per session, and again after it was saved anew; the last ``most`` are kept."""
+    spark = SparkSession.active()
+    try:
+        files = spark.read.format("binaryFile").load(f"{path}/metadata").select("path", "modificationTime")
+        saved = tuple(sorted(map(tuple, files.collect())))
+    except AnalysisException as error:
+        raise ArtifactMissing(f"no model at {path}") from error
+    key = (spark.sparkContext.applicationId, path, saved)
+    if key not in _MODELS:
+        _MODELS[key] = load_artifact(spark, path)[0]
+    _MODELS.move_to_end(key)
+    while len(_MODELS) > most:
+        _MODELS.popitem(last=False)
+    return _MODELS[key]

@@ -7,10 +7,12 @@ stages are fitted once per training part and shared by all models and parameters
 from __future__ import annotations
 
 import itertools
+import math
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -63,17 +65,30 @@ def combinations(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
 
 
 def fit_and_score(
-    family: Family, train: DataFrame, parts: Mapping[str, DataFrame], y: str, counts: Mapping
-) -> tuple[Any, dict[str, dict[str, float]], float]:
-    """Fit once, measure the fit, and evaluate on each named part."""
-    start = time.perf_counter()
-    model = family.fit(train, y, counts)
-    seconds = time.perf_counter() - start
-    metrics = {
-        name: evaluate(positive_score(model.transform(part)), y).first().asDict()
-        for name, part in parts.items()
-    }
-    return model, metrics, seconds
+    families: Mapping[str, Family], train: DataFrame, parts: Mapping[str, DataFrame], y: str, counts: Mapping
+) -> tuple[dict[tuple[str, str], dict[str, float]], dict[str, float]]:
+    """Fit every family, measure each fit, and evaluate all models on all named parts in one go.
+
+    Returns the metrics by (model, part) and the seconds by model.
+    """
+    seconds, scored = {}, []
+    for name, family in families.items():
+        start = time.perf_counter()
+        model = family.fit(train, y, counts)
+        seconds[name] = time.perf_counter() - start
+        for part, frame in parts.items():
+            scored.append(
+                positive_score(model.transform(frame)).select(
+                    F.lit(name).alias("model"), F.lit(part).alias("part"), y,
+                    F.col("prediction").cast("double").alias("prediction"), F.col("score").cast("double").alias("score"),
+                )
+            )
+    table = evaluate(reduce(DataFrame.unionAll, scored), y, by=["model", "part"])
+    metrics = {}
+    for r in table.collect():
+        row = r.asDict()
+        metrics[row.pop("model"), row.pop("part")] = row
+    return metrics, seconds
 
 
 def cross_validate(
@@ -98,12 +113,11 @@ def cross_validate(
             with transformed(stages(), y, inside, outside) as (_, (train, valid)):
                 counts = class_counts(train, y)
                 parts = {"test": valid, **({"train": train} if train_scores else {})}
-                for name, family in models.items():
-                    _, metrics, seconds = fit_and_score(family, train, parts, y, counts)
-                    rows += [
-                        {"model": name, "fold": i, "part": p, "fit_time": seconds, **m}
-                        for p, m in metrics.items()
-                    ]
+                metrics, seconds = fit_and_score(models, train, parts, y, counts)
+                rows += [
+                    {"model": name, "fold": i, "part": p, "fit_time": seconds[name], **metrics[name, p]}
+                    for name in models for p in parts if (name, p) in metrics
+                ]
             return rows
 
         return [r for rows in _parallel(folds, work, parallelism) for r in rows]
@@ -161,6 +175,12 @@ def fold_fit_times(scores: DataFrame) -> DataFrame:
     return scores.filter(F.col("part") == "test").select("model", "fold", "fit_time")
 
 
+def _mean(values: Sequence[float | None]) -> float | None:
+    """The mean over the folds in which the metric is defined."""
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
 def search(
     catalog: Mapping[str, Family],
     grids: Mapping[str, Mapping[str, Sequence[Any]]],
@@ -187,11 +207,12 @@ def search(
         results[name] = []
         for i, params in enumerate(listed):
             mine = [r for r in rows if r["model"] == f"{name}:{i}"]
-            means = {
-                m: sum(r[m] or 0.0 for r in mine) / len(mine) for m in (*METRICS, "specificity")
-            }
+            means = {m: _mean([r[m] for r in mine]) for m in (*METRICS, "specificity")}
             results[name].append({"combination": i, "params": params, **means})
-        best = max(results[name], key=lambda r: (r[refit], -r["combination"]))
+        # where the metric is undefined in every fold, the first combination stays
+        best = max(
+            results[name], key=lambda r: (-math.inf if r[refit] is None else r[refit], -r["combination"])
+        )
         chosen[name] = models[f"{name}:{best['combination']}"]
     return chosen, results
 
@@ -320,15 +341,16 @@ def learning_curve(
             with transformed(stages(), y, part, outside) as (_, (train, valid)):
                 counts = class_counts(train, y)
                 parts = {"train": train, "test": valid}
-                _, m, seconds = fit_and_score(family, train, parts, y, counts)
-            return step, sum(counts.values()), m["train"][metric], m["test"][metric], seconds
+                m, seconds = fit_and_score({"model": family}, train, parts, y, counts)
+            scores = (m["model", "train"][metric], m["model", "test"][metric])
+            return step, sum(counts.values()), *scores, seconds["model"]
 
         tasks = [(i, step) for i in folds for step in range(len(fractions))]
         rows = _parallel(tasks, work, parallelism)
     out = []
     for step, fraction in enumerate(fractions):
         mine = [r for r in rows if r[0] == step]
-        mean = lambda j: sum(r[j] for r in mine) / len(mine)  # noqa: B023, E731
+        mean = lambda j: _mean([r[j] for r in mine])  # noqa: B023, E731
         out.append(
             {
                 "fraction": float(fraction), "train_size": mean(1), "train_score_mean": mean(2),

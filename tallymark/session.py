@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,13 +31,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is named (tests on one
-    machine) a temporary folder is set.
+    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is named and driver and executors
+    are one process (tests on one machine) a temporary folder is set; a cluster without a name is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current is None:
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallymark-"))
         current = sc.getCheckpointDir()
     return named or current

@@ -77,8 +77,10 @@ def cast_column(c, kind: str):
     """Cast without raising: what does not parse (or is no whole number, for integers) is null."""
     column = as_column(c)
     if kind in ("bigint", "int", "smallint", "tinyint"):
+        # the text form keeps all 64 bits; "65.0" and the like go through a double
         number = column.try_cast("double")
-        return F.when(number == F.floor(number), number.try_cast(kind))
+        whole = F.when(number == F.floor(number), number.try_cast(kind))
+        return F.coalesce(column.cast("string").try_cast(kind), whole)
     return column.try_cast(kind)
 
 

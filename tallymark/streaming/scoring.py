@@ -19,12 +19,21 @@ EPSILON = 1e-4  # share used for an empty histogram bin
 def read_parquet_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream the Parquet files of a path (one file, a folder, or a pattern)."""
+    """Stream the Parquet files of a path (one file, a folder, or a pattern); siblings are not read."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # a pattern, because a plain path of a streaming source has to be a folder
-    return reader.parquet(path if any(c in path for c in "*?[{") else f"{path.rstrip('/')}*")
+    plain = path.rstrip("/")
+    if not any(c in plain for c in "*?[{") and _is_file(spark, plain):
+        # a streaming source has to be a folder
+        folder, _, name = plain.rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
 def write_stream(
@@ -107,6 +116,18 @@ def drift(
     )
 
 
+def with_open_windows(
+    written: DataFrame, arrived: DataFrame, expected: Sequence[float], **profile
+) -> DataFrame:
+    """Drift of all windows once a stream has ended: the ``written`` ones and those still open then.
+
+    ``arrived`` holds the rows the stream has read; only windows that were not written are taken from it.
+    """
+    every = drift(window_profile(arrived, **profile), expected)
+    tail = every.join(written.select("window_start"), "window_start", "left_anti")
+    return written.select(*every.columns).unionByName(tail)
+
+
 def drift_stream(
     stream: DataFrame, expected: Sequence[float], sink: str, checkpoint: str, **profile
 ) -> StreamingQuery:
