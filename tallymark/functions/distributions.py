@@ -51,18 +51,18 @@ def t_two_sided(t: float | None, dof: float | None) -> float | None:
 
 
 def signed_rank_two_sided(
-    w_plus: float | None, n: int | None, tie_term: float, tied: bool, exact_limit: int = 50
+    w_plus: float | None, n: int | None, tie_term: float, normal: bool
 ) -> float | None:
     """Two-sided p-value of the signed-rank statistic over n non-zero differences.
 
-    Without ties and up to ``exact_limit`` differences the exact null distribution is counted;
-    otherwise the normal approximation with its tie correction is used.
+    By the exact null distribution, which is counted (n * n^2 / 2 steps), or by the normal approximation
+    with its tie correction.
     """
     if w_plus is None or not n:
         return None
     total = n * (n + 1) / 2.0
     w = min(w_plus, total - w_plus)
-    if n <= exact_limit and not tied:
+    if not normal:
         ways = [1] + [0] * int(total)
         for rank in range(1, n + 1):
             for s in range(int(total), rank - 1, -1):

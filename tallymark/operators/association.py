@@ -12,7 +12,7 @@ from tallymark.functions.columns import bin_index, quoted
 from tallymark.operators.ordering import order_stats, sample_rows
 from tallymark.operators.quality import percent
 
-MAX_COLUMNS = 1000  # most columns a pivoted table may get; wider ones stay in long form
+MAX_COLUMNS = 1000  # most columns a pivoted table gets unless the caller allows more
 
 
 def _corr(a: str, b: str) -> Column:
@@ -71,10 +71,10 @@ def distinct_values(df: DataFrame, c: str) -> DataFrame:
     return df.select(c).distinct()
 
 
-def _value_list(df: DataFrame, c: str) -> list:
-    rows = df.filter(F.col(c).isNotNull()).select(c).distinct().limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"{c!r} has more than {MAX_COLUMNS} values; use two_way_counts instead")
+def _value_list(df: DataFrame, c: str, most: int) -> list:
+    rows = df.filter(F.col(c).isNotNull()).select(c).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{c!r} has more than {most} values: raise max_columns or use the long form (crosstab_long)")
     return sorted(r[0] for r in rows)
 
 
@@ -85,12 +85,20 @@ def two_way_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def crosstab_long(df: DataFrame, row: str, col: str, decimals: int | None = 2) -> DataFrame:
+    """``row, col, n, pct`` of the pairs that occur, ``pct`` within each row value; any number of values."""
+    counts = two_way_counts(df, row, col)
+    whole = counts.groupBy(row).agg(F.sum("n").alias("__n"))
+    return counts.join(whole, row).select(row, col, "n", percent(F.col("n"), F.col("__n"), decimals).alias("pct"))
+
+
 def crosstab_pct(
-    df: DataFrame, row: str, col: str, values: Sequence | None = None, decimals: int = 2
+    df: DataFrame, row: str, col: str, values: Sequence | None = None, decimals: int = 2,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """Percentages within each row value, one column per value of ``col``; absent pairs are 0."""
     present = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-    values = list(values) if values is not None else _value_list(present, col)
+    values = list(values) if values is not None else _value_list(present, col, max_columns)
     counts = present.groupBy(row).agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.count(F.when(F.col(col) == v, 1)).alias(f"__v{i}") for i, v in enumerate(values)],
@@ -133,11 +141,12 @@ def rate_by(
 
 
 def unstack(
-    df: DataFrame, row: str | Sequence[str], col: str, value: str, values: Sequence | None = None
+    df: DataFrame, row: str | Sequence[str], col: str, value: str, values: Sequence | None = None,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """A grouped result as a matrix; absent cells stay null."""
     rows = [row] if isinstance(row, str) else list(row)
-    values = list(values) if values is not None else _value_list(df, col)
+    values = list(values) if values is not None else _value_list(df, col, max_columns)
     return df.groupBy(*rows).pivot(col, values).agg(F.first(value, ignorenulls=True))
 
 

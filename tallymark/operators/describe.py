@@ -102,9 +102,12 @@ def automatic_bins(n: int, spread: float, iqr: float) -> int:
 def histogram(
     df: DataFrame, c: str, bins: int | str = "auto", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Equal-width bins with their counts: ``by…, bin, low, high, n``; empty bins are left out
-    of grouped histograms and kept otherwise."""
-    by = list(by)
+    """Equal-width bins with their counts: ``by…, bin, low, high, n``.
+
+    Empty bins are left out of grouped histograms and where the number of bins is automatic (one extreme
+    value makes it as large as it likes); with a given number of bins they are kept.
+    """
+    by, sparse = list(by), bins == "auto" or bool(by)
     stats = order_stats(df, [c], [0.25, 0.75] if bins == "auto" else []).first()
     n, low, high = stats["count"], stats["min"], stats["max"]
     if n == 0:
@@ -119,7 +122,7 @@ def histogram(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     edge = lambda i: F.lit(low) + F.lit(width) * i
-    if not by:
+    if not sparse:
         every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
         counted = every.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return counted.select(

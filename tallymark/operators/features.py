@@ -7,6 +7,7 @@ fitted pipeline saves and loads like a built-in one. Applying a stage is column
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
@@ -304,6 +305,8 @@ class YeoJohnson(Estimator, _Stage):
                     spans[c] = (grid[best] + ends[0], grid[best] + ends[1])
                     left[c] += 1
                 elif left[c] <= 1:
+                    if best in (0, LAMBDA_POINTS - 1):
+                        warnings.warn(f"lambda of {c!r} ends at {grid[best]:g}, where the likelihood still rises", stacklevel=2)
                     lams[c] = _peak(grid, score, best)
                     del spans[c]
                 else:

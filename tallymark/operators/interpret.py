@@ -18,7 +18,7 @@ def coefficient_table(coefficients: Sequence[float], names: Sequence[str]) -> Da
     """``feature, coefficient, odds_ratio, abs_coefficient``, the strongest first."""
     rows = [
         {
-            "feature": n, "coefficient": float(c), "odds_ratio": math.exp(min(float(c), 700.0)),
+            "feature": n, "coefficient": float(c), "odds_ratio": math.exp(c) if c < 709 else math.inf,
             "abs_coefficient": abs(float(c)),
         }
         for n, c in zip(names, coefficients, strict=True)

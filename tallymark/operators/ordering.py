@@ -448,14 +448,14 @@ class HashCuts:
         return hashed.withColumn(out, step).drop("__h")
 
 
-def class_counts(df: DataFrame, y: str | None) -> dict:
+def class_counts(df: DataFrame, y: str | None, most: int = 1000) -> dict:
     """Rows per class on the driver. The label of a supervised table has few values; more than
-    the bound is an error in the choice of the label column."""
+    ``most`` is an error in the choice of the label column."""
     if y is None:
         return {None: df.count()}
-    rows = df.groupBy(y).count().limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{y!r} has more than 1000 values and is not a class label")
+    rows = df.groupBy(y).count().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{y!r} has more than {most} values and is not a class label")
     return {r[0]: r[1] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0]))}
 
 

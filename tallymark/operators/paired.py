@@ -22,16 +22,21 @@ def mean_difference(df: DataFrame, by: Sequence[str], a: str, b: str) -> DataFra
     return df.groupBy(*by).agg(F.count(d).alias("pairs"), F.avg(d).alias("mean_difference"))
 
 
-def paired_tests(df: DataFrame, by: Sequence[str], a: str, b: str) -> DataFrame:
+def paired_tests(
+    df: DataFrame, by: Sequence[str], a: str, b: str, method: str = "auto", exact_limit: int = 50
+) -> DataFrame:
     """Paired t-test and signed-rank test of a against b, one row per group.
 
-    ``by…, pairs, mean_difference, t, paired_t_pvalue, w_plus, w_minus, wilcoxon_pvalue``; a test that cannot
-    be made is null. Absolute differences are ranked through their counts and running totals, so
+    ``by…, pairs, mean_difference, t, paired_t_pvalue, w_plus, w_minus, wilcoxon_pvalue, wilcoxon_method``; a
+    test that cannot be made is null. ``method`` is "exact" (null for groups with ties or zero differences),
+    "normal", or "auto": exact up to ``exact_limit`` differences without ties; ``wilcoxon_method`` tells which one was used. Absolute differences are ranked through their counts and running totals, so
     a group of any size is spread over tasks.
     """
     if not by:
         one = df.select(F.lit(0).alias("__all"), a, b)
-        return paired_tests(one, ["__all"], a, b).drop("__all")
+        return paired_tests(one, ["__all"], a, b, method, exact_limit).drop("__all")
+    if method not in ("auto", "exact", "normal"):
+        raise ValueError("method is 'auto', 'exact' or 'normal'")
     by = list(by)
     t_tail = distributions.t_two_sided
     rank_tail = distributions.signed_rank_two_sided
@@ -86,10 +91,16 @@ def paired_tests(df: DataFrame, by: Sequence[str], a: str, b: str) -> DataFrame:
         F.col("std") > 0,
         F.col("mean_difference") / (F.col("std") / F.sqrt(F.col("pairs").cast("double"))),
     )
-    inexact = (F.col("largest") > 1) | (F.col("nonzero") < F.col("pairs"))
+    tied = (F.col("largest") > 1) | (F.col("nonzero") < F.col("pairs"))
+    if method == "exact":
+        exact, possible = ~tied, ~tied
+    else:
+        exact = ~tied & (F.col("nonzero") <= exact_limit) & F.lit(method == "auto")
+        possible = F.lit(True)
     return joined.withColumn("t", t).select(
         *by, "pairs", "mean_difference", "t",
         t_pvalue(F.col("t"), (F.col("pairs") - 1).cast("double")).alias("paired_t_pvalue"),
         "w_plus", "w_minus",
-        rank_pvalue("w_plus", "nonzero", "ties", inexact).alias("wilcoxon_pvalue"),
+        F.when(possible, rank_pvalue("w_plus", "nonzero", "ties", ~exact)).alias("wilcoxon_pvalue"),
+        F.when(F.col("nonzero") > 0, F.when(exact, "exact").when(possible, "normal")).alias("wilcoxon_method"),
     )

@@ -371,6 +371,12 @@ def test_paired_tests(spark, monkeypatch, limit):
     assert got["m"]["wilcoxon_pvalue"] == 0.0625 and got["m"]["w_minus"] == 0.0
     assert got["same"]["t"] is None and got["same"]["wilcoxon_pvalue"] is None
     assert got["long"]["w_plus"] + got["long"]["w_minus"] == 40 * 41 / 2
+    assert [got[m]["wilcoxon_method"] for m in ("m", "same", "long")] == ["exact", None, "normal"]
+    frame = spark.createDataFrame(rows, "m string, a double, b double")
+    exact = {r["m"]: r for r in paired_tests(frame, ["m"], "a", "b", "exact").collect()}
+    normal = {r["m"]: r for r in paired_tests(frame, ["m"], "a", "b", "normal").collect()}
+    assert exact["m"]["wilcoxon_pvalue"] == 0.0625 and exact["long"]["wilcoxon_pvalue"] is None
+    assert normal["m"]["wilcoxon_method"] == "normal" and normal["m"]["wilcoxon_pvalue"] != 0.0625
     whole = paired_tests(spark.createDataFrame(rows[:5], "m string, a double, b double"), [], "a", "b")
     assert math.isclose(whole.first()["t"], t, rel_tol=1e-9)
 
