@@ -157,7 +157,10 @@ class Model:
         one, two, three = _runs(plain)
         for (weights, _), m in zip(self.machines.values(), margins.values()):
             w = weights.astype(np.float32)
-            sums = np.concatenate([[0.0], np.cumsum(w[one].astype(np.float64) + w[two] + w[three])])
+            each = w[one]
+            each += w[two]
+            each += w[three]
+            sums = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
             m[first:stop] += sums[ends] - sums[starts]
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -117,12 +117,13 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about SLICE_BYTES of text, a longer text alone."""
+def slices(batch: pa.RecordBatch, text: str, size: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about `size` (SLICE_BYTES) bytes of text, a longer text alone."""
+    size = size or SLICE_BYTES
     if batch.num_rows == 0:
         return
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
-    piece = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    piece = (np.cumsum(sizes) - sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts, cuts[1:]):
         yield batch.slice(lo, hi - lo)
