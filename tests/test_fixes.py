@@ -99,6 +99,15 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
         session.shared_dir(Session())
 
 
+def test_intermediate_tables_can_be_cleared(spark):
+    path = scratch_path(spark, "layer")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.clear_scratch(spark) > 0 and session.clear_scratch(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_top_head_and_outer_align(spark):
     df = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0), (None, 6.0)], "k int, v double")
     assert [r.k for r in top_k(df, 2, ["v"]).collect()] == [3, None]
