@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; a cluster is given it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    seen = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in seen.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, seen]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
