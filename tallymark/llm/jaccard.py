@@ -25,7 +25,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,13 +34,14 @@ from tallymark.llm.components import components
 from tallymark.llm.words import SPACED, hash_words, mix, slices, windows
 
 #: Lists of at most so many sets are light.
-LIGHT = 64
+LIGHT = 8
 #: Sets that are compared with each other at once in a heavy list.
 BLOCK = 2048
-#: Shingles that count as very frequent, at most; any choice gives the same links.
-FREQUENT = 65_536
+#: Shingles that count as very frequent, at most (8 bytes each are broadcast); any choice gives the same links.
+FREQUENT = 262_144
 #: Occurrences within one piece of a batch from which a shingle is reported as perhaps frequent.
-REPORTED = 4
+REPORTED = 2
+REPORT_BYTES = 4 << 20
 #: Small sizes that are considered as the boundary.
 SMALLEST_LARGE = 40
 #: Set ids that may be broadcast (16 bytes each) once they have been counted.
@@ -109,8 +110,11 @@ def _sets(piece: pa.RecordBatch, text: str, width: int) -> tuple[list[np.ndarray
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles by their low bits, in at least as many bits (a power of two) as there are shingles."""
-    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    """Parities of the shingles by their low bits, in at least twice as many bits (a power of two) as there are shingles.
+
+    With fewer bits the sketches of sets that just miss the threshold come too near, and their shingles are fetched in vain.
+    """
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
     counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
@@ -129,7 +133,7 @@ def digests(docs: DataFrame, key: str, text: str, like: Likeness) -> tuple[DataF
 
     def batches(them):
         for batch in them:
-            for piece in slices(batch, text):
+            for piece in slices(batch, text, REPORT_BYTES):
                 sets, ids = _sets(piece, text, like.width)
                 sizes = [len(s) for s in sets]
                 seen, at = np.unique(ids, return_index=True)
@@ -169,6 +173,8 @@ def _entries(docs: DataFrame, text: str, like: Likeness, boundary: int, shared)
 
     def batches(them):
         frequent = shared.value
+        perhaps = np.zeros(1 << 22, bool)
+        perhaps[frequent >> np.uint64(42)] = True
         for batch in them:
             for piece in slices(batch, text):
                 sets, ids = _sets(piece, text, like.width)
@@ -185,9 +191,10 @@ def _entries(docs: DataFrame, text: str, like: Likeness, boundary: int, shared)
                         small.setdefault(n, []).append(i)
                     if n > boundary:
                         p = like.prefix(n)
-                        if len(frequent):
-                            late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
-                            s = np.concatenate([s[~late], s[late]]) if late.any() else s
+                        late = perhaps[s >> np.uint64(42)]
+                        if late.any():
+                            late[late] = frequent[np.minimum(np.searchsorted(frequent, s[late]), len(frequent) - 1)] == s[late]
+                            s = np.concatenate([s[~late], s[late]])
                         add(s[:p], 0, int(ids[i : i + 1].view(np.int64)[0]), n, np.arange(p))
                 for n, rows in small.items():
                     mixed = mix(np.stack([sets[i] for i in rows]))
@@ -216,9 +223,9 @@ def _fits(like: Likeness) -> str:
 
 def _near_sketches(pairs: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (a, b) whose sketches don't rule a link out."""
-    both = pairs.join(sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x")), "a").join(
-        sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y")), "b"
-    )
+    x = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
+    y = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
+    both = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b")
 
     def batches(them: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in them:
@@ -254,7 +261,7 @@ def _verified(docs: DataFrame, text: str, pairs: DataFrame, like: Likeness) -> D
     sets = saved(sets, "sets")
     x, y = (sets.select(F.col("set_id").alias(k), F.col("shingles").alias(s)) for k, s in (("a", "x"), ("b", "y")))
     common = F.size(F.array_intersect("x", "y"))
-    linked = pairs.join(x, "a").join(y, "b").withColumn("common", common)
+    linked = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").withColumn("common", common)
     return linked.filter(F.col("common") * (like.den + like.num) >= (F.size("x") + F.size("y")) * like.num).select("a", "b")
 
 
@@ -297,12 +304,11 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     entries = _entries(docs, text, like, boundary, spark.sparkContext.broadcast(_frequent(frequent)))
     sketches = rows.filter("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
 
-    # lists with at least two sets; copies of a set count once
+    # lists with at least two sets; copies of a set count once (sides that grow with the corpus are never broadcast)
     lists = entries.groupBy("token", "kind").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
     several = lists.filter("kind > 1 or lo < hi").select("token", "kind")
-    members = saved(entries.join(several, ["token", "kind"]).dropDuplicates(["token", "kind", "set_id"]), "lists")
+    members = saved(entries.join(several.hint("merge"), ["token", "kind"]).dropDuplicates(["token", "kind", "set_id"]), "lists")
 
-    same = Window.partitionBy("token")
     subsets = members.filter("kind > 0")
     hubs = subsets.groupBy("token").agg(
         F.min(F.when(F.col("kind") == 1, F.col("set_id"))).alias("one"),
@@ -315,7 +321,7 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     large = members.filter("kind = 0").drop("kind")
     heads = large.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("place", "set_id", "size")).alias("hub"))
     scanned = large.alias("a").join(
-        heads.select("token", F.col("hub.place").alias("place"), F.col("hub.set_id").alias("set_id"), F.col("hub.size").alias("size")).alias("b"),
+        heads.select("token", F.col("hub.place").alias("place"), F.col("hub.set_id").alias("set_id"), F.col("hub.size").alias("size")).alias("b").hint("merge"),
         "token",
     ).filter("a.set_id <> b.set_id").filter(_fits(like))
     ordered = [F.least("a.set_id", "b.set_id").alias("a"), F.greatest("a.set_id", "b.set_id").alias("b")]

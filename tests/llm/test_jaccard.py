@@ -68,8 +68,10 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("like,light,block", [(Likeness(), 64, 2048), (Likeness(), 3, 16), (WIDE, 3, 7)])
-def test_components_equal_brute_force(spark, monkeypatch, like, light, block):
+@pytest.mark.parametrize("like,light,block,boundary", [(Likeness(), 64, 2048, None), (Likeness(), 3, 16, 17), (WIDE, 3, 7, 9)])
+def test_components_equal_brute_force(spark, monkeypatch, like, light, block, boundary):
+    if boundary:
+        monkeypatch.setattr(jaccard, "best_boundary", lambda *_: boundary)
     monkeypatch.setattr(jaccard, "LIGHT", light)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = corpus(light)
@@ -102,9 +104,8 @@ def test_empty_tables(spark):
 
 def test_boundary_and_subsets():
     like = Likeness()
-    assert best_boundary(like, {500: 10}) == 0 or best_boundary(like, {500: 10}) < 40
-    x = best_boundary(like, {n: 100 for n in range(1, 80)})
-    assert 10 <= x < 40
+    assert best_boundary(like, {500: 10}) < 10 and best_boundary(like, {}) == 0
+    assert best_boundary(like, {n: 100 for n in range(10, 18)}) == 17
     for n in range(1, 30):
         for m in like.partners(n):
             c = like.overlap(n, m)
