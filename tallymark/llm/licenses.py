@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import LOWER, UPPER, ascii_lower
 
-#: Known licence sentences by identifier, as public licence notices write them (fixed values); none goes beyond the place where a
-#: text is cut (so the one of the Mozilla licence ends before its version).
+#: Known licence sentences by identifier, as public licence notices write them (fixed values); none goes beyond the place where the
+#: SQL cuts a text (so the one of the Mozilla licence ends before its version).
 SENTENCES: dict[str, str] = {
     "mit-notice": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
@@ -60,9 +60,12 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("proprietary", ("reserved",)),
 )
 
-#: Where a text is cut: line ends, and a full stop, question or exclamation mark before white space.
+#: Where the SQL cuts a text: line ends, and a full stop, question or exclamation mark before white space.
 CUT = r"[\r\n]+|[.!?]+[ \t]+"
-OTHER = "[^a-z0-9]+"
+#: Known sentences of so many words count wherever they stand, shorter ones only where a sentence may begin (_marked).
+LONG = 12
+#: Stands before each word at which a sentence may begin.
+START = "~"
 
 
 def _plain(sentence: str) -> str:
@@ -72,8 +75,6 @@ def _plain(sentence: str) -> str:
 
 def _checked(sentences: Mapping[str, str], rules: Sequence[tuple[str, tuple[str, ...]]]) -> dict[str, str]:
     known = {_plain(s): name for name, s in sentences.items()}
-    if any(re.search(CUT, s) for s in sentences.values()):
-        raise ValueError("a known sentence would be cut in two")
     if len(known) < len(sentences):
         raise ValueError("two known sentences are the same once normalised")
     unknown = {s for _, steps in rules for s in steps} - set(sentences)
@@ -93,14 +94,30 @@ def _anchors(plain: Sequence[str]) -> list[str]:
     return chosen
 
 
+def _marked(text: Column) -> Column:
+    """The words of a text in lower case, one space before each and one at the end; line ends and comment marks are spaces.
+
+    START stands before a capital, and before a word that follows more than blanks: a line end, a mark or the start of the text.
+    """
+    lines = F.regexp_replace(F.concat(F.lit("\n"), text), r"(?i)([\r\n][ \t]*)(?:dnl|rem)(?![a-z0-9])", "$1")
+    words = F.regexp_replace(F.regexp_replace(lines, r"[^A-Za-z0-9 \t][^A-Za-z0-9]*", f" {START}"), r"[ \t]+", " ")
+    return F.concat(ascii_lower(F.regexp_replace(words, " (?=[A-Z])", f" {START}")), F.lit(" "))
+
+
+def _pattern(plain: Sequence[str]) -> str:
+    """Any of the sentences in a text of _marked(), of those that begin at one place the longest."""
+    each = [("" if len(s.split()) < LONG else "?") + f" {START}?".join(s.split()) for s in sorted(plain, key=len, reverse=True)]
+    return " (" + "|".join(START + s for s in each) + ")(?= )"
+
+
 def sentence_ids(text: Column, known: Mapping[str, str]) -> Column:
-    """The identifiers of the known sentences of a text, in order; no sentence for a null text."""
-    lowered = ascii_lower(text)
-    plain = F.transform(F.split(lowered, CUT), lambda s: F.trim(F.regexp_replace(s, OTHER, " ")))
+    """The identifiers of the known sentences of a text, in order of place; no sentence for a null text."""
+    if not known:
+        return F.array().cast("array<string>")
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    found = F.transform(F.filter(plain, lambda s: s.isin(list(known))), lambda s: names[s])
+    found = F.transform(F.regexp_extract_all(_marked(text), F.lit(_pattern(list(known))), F.lit(1)), lambda s: names[F.replace(s, F.lit(START), F.lit(""))])
     none = F.array().cast("array<string>")
-    return F.when(lowered.rlike("|".join(_anchors(list(known)))), found).otherwise(none)
+    return F.when(ascii_lower(text).rlike("|".join(_anchors(list(known)))), found).otherwise(none)
 
 
 def license_scan(
@@ -108,7 +125,8 @@ def license_scan(
 ) -> DataFrame:
     """`df` with `license_sentences` (known identifiers in order) and `licenses` (array, in the order of the rules, no repeats).
 
-    Sentences of a rule must follow each other among the known sentences; what lies between them in the text does not matter.
+    A known sentence may be wrapped, stand behind comment marks or between others on one line. Sentences of a rule must follow each
+    other among the known sentences; what lies between them in the text does not matter.
     A null, empty or licence-free text has two empty arrays. Each row is judged by itself, so repeated rows get equal results.
     Columns of `df` named like the results are replaced.
     """
@@ -143,6 +161,8 @@ def _quoted(text: str) -> str:
 
 def sql() -> str:
     known = _checked(SENTENCES, RULES)
+    if any(re.search(CUT, s) for s in SENTENCES.values()):
+        raise ValueError("a known sentence would be cut in two")
     values = ", ".join(f"({_quoted(s)}, {_quoted(name)})" for s, name in known.items())
     steps, layers, order = "ids", [], []
     for i, (name, parts) in enumerate(RULES):

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tallymark.llm.licenses import RULES, SENTENCES, documents_licenses, license_scan
@@ -41,3 +43,44 @@ def test_documents_and_bad_tables(spark):
         license_scan(docs, rules=(("X", ("no-such",)),))
     with pytest.raises(ValueError):
         license_scan(docs, sentences={"a": "Same.", "b": "same"}, rules=())
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+
+
+def test_full_texts_wrapped_commented_and_on_one_line(spark):
+    whole = {
+        "MIT": (MIT, ["mit-grant", "mit-condition"]), "Apache-2.0": (APACHE, ["apache-grant", "apache-copy", "apache-warranty"]),
+        "GPL-3.0-or-later": (GPL, ["gpl-grant", "gpl-warranty"]), "BSD-3-Clause": (BSD, ["bsd-grant", "bsd-name"]),
+    }
+    for name, (text, ids) in whole.items():
+        wrapped = "\n\n".join(textwrap.fill(p, 72) for p in text.split("\n\n"))
+        shapes = [wrapped, wrapped.replace("\n", "\r\n"), "/*\n" + textwrap.indent(wrapped, " * ", lambda _: True) + "\n */", " ".join(text.split()), " ".join(text.split()).lower()]
+        shapes += [textwrap.indent(wrapped, mark, lambda _: True) for mark in ("# ", "// ", "dnl ", "REM ", ";; ")]
+        assert found(spark, *shapes) == [(ids, [name])] * len(shapes)
+
+
+def test_short_notices_begin_a_sentence(spark):
+    got = found(spark, "It is not licensed under the MIT License.", "Copyright Jane Roe, all rights\n# reserved.", "Copyright Jane Roe All rights reserved")
+    assert got == [([], []), (["reserved"], ["proprietary"]), (["reserved"], ["proprietary"])]
