@@ -135,4 +135,4 @@ def cached_model_scores(spark, sf):
 def request_rows(spark, sf):
     """One request per language built from its longest document."""
     found = table(spark, sf, "documents").groupBy("lang").agg(F.max("n_chars").cast("double").alias("n_chars"), F.count(F.lit(1)).alias("documents"))
-    return to_frame(spark, [r.asDict() for r in found.limit(100).collect()], "lang string, n_chars double, documents bigint")
+    return to_frame(spark, found, "lang string, n_chars double, documents bigint")

@@ -131,10 +131,17 @@ def verify_roundtrip(df: DataFrame, path: str) -> bool:
 
 
 def to_frame(
-    spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: T.StructType | str
+    spark: SparkSession, rows: Sequence[Mapping[str, Any]] | DataFrame, schema: T.StructType | str
 ) -> DataFrame:
-    """Request values as a frame in the declared column order; unknown or absent names raise."""
+    """Request values as a frame in the declared column order; unknown or absent names raise.
+
+    Rows that are a frame already are cast to the declared types and never pass through the driver.
+    """
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if isinstance(rows, DataFrame):
+        if sorted(rows.columns) != sorted(kind.names):
+            raise SourceUnreadable(f"expected the columns {kind.names}, got {sorted(rows.columns)}")
+        return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in kind])
     for row in rows:
         if set(row) != set(kind.names):
             raise SourceUnreadable(f"expected the columns {kind.names}, got {sorted(row)}")

@@ -165,3 +165,14 @@ def test_correlation_is_pairwise_complete(spark):
             pairs = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
             want = np.corrcoef(*zip(*pairs))[0, 1]
             assert math.isclose(got[(p, q)], want, abs_tol=1e-12)
+
+
+def test_request_rows_of_more_than_a_hundred_languages(spark, tmp_path):
+    from tallymark.plans.queries_ingest import request_rows
+
+    docs = [(f"l{i % 150}" if i % 150 else None, i) for i in range(450)]
+    spark.createDataFrame(docs, "lang string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in request_rows(spark, str(tmp_path)).collect()}
+    assert got == {(f"l{i}" if i else None, 300.0 + i, 3) for i in range(150)}
+    with pytest.raises(ing.SourceUnreadable):
+        ing.to_frame(spark, spark.range(1), "k long")
