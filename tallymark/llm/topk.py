@@ -8,6 +8,9 @@ bounded pilot set, which every block searches first.
 
 from __future__ import annotations
 
+import sys
+from operator import mul
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -20,8 +23,29 @@ BLOCK_QUERIES = 4_096
 #: Vectors of the pilot set, at most.
 PILOT = 2_048
 LEAF = 128
-#: Scaled components beyond this size don't count as finite: their products would not fit 64 bits.
-LARGEST = 1 << 24
+#: Integer products whose norms multiply to less are exact in 64-bit floats; the others are made of whole Python numbers.
+EXACT = float(1 << 52)
+
+
+def _norms(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows**2).sum(axis=1))
+
+
+def _below(score: int) -> float:
+    """A float that is not greater than a whole number of any size."""
+    try:
+        return float(np.nextafter(float(score), -np.inf))
+    except OverflowError:
+        return sys.float_info.max if score > 0 else -np.inf
+
+
+def _place(score: int) -> str:
+    """A text that puts scores beyond 64 bits in order and around "5", which all the others have."""
+    if -(1 << 63) <= score < 1 << 63:
+        return "5"
+    digits = str(abs(score))
+    text = f"{len(digits):05d}{digits}"
+    return f"9{text}" if score > 0 else "1" + text.translate(str.maketrans("0123456789", "9876543210"))
 
 
 class BallTree:
@@ -31,8 +55,10 @@ class BallTree:
         self.order = np.lexsort((ids,))
         self.rows, self.ids = rows[self.order], ids[self.order]
         self.nodes: list[tuple[np.ndarray, float, int, int, int, int]] = []
-        if len(ids):
-            self._build(0, len(ids))
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.most = float(_norms(self.rows).max(initial=0.0))
+            if len(ids):
+                self._build(0, len(ids))
 
     def _build(self, lo: int, hi: int) -> int:
         rows = self.rows[lo:hi]
@@ -56,7 +82,11 @@ class Search:
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray):
         self.ids, self.queries, self.k = ids, queries, k
-        self.norms = np.sqrt((queries**2).sum(axis=1))
+        with np.errstate(over="ignore"):
+            self.norms = _norms(queries)
+        #: queries whose products may be too large for floats, and their best (negative score, id) so far
+        self.wide = np.zeros(len(ids), bool)
+        self.best: dict[int, list[tuple[int, int]]] = {}
         self.scores = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
         #: a score that k vectors are known to reach
@@ -66,15 +96,24 @@ class Search:
         """Nodes by depth first, of two children the one with the higher bound first, for all queries that still need them."""
         if not tree.nodes:
             return
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.wide = ~(self.norms * tree.most < EXACT)
+            self._walk(tree)
+
+    def _walk(self, tree: BallTree) -> None:
         stack = [(0, np.arange(len(self.ids)), self._bound(tree, 0, np.arange(len(self.ids))))]
         while stack:
             node, active, bound = stack.pop()
-            active = active[bound >= self.bar[active]]
+            active = active[~(bound < self.bar[active])]
             if not len(active):
                 continue
             _, _, lo, hi, left, right = tree.nodes[node]
             if left < 0:
-                self._leaf(active, tree.ids[lo:hi], tree.rows[lo:hi])
+                wide = self.wide[active]
+                if not wide.all():
+                    self._leaf(active[~wide], tree.ids[lo:hi], tree.rows[lo:hi])
+                if wide.any():
+                    self._wide_leaf(active[wide], tree.ids[lo:hi], tree.rows[lo:hi])
                 continue
             bounds = [(c, active, self._bound(tree, c, active)) for c in (left, right)]
             stack.extend(sorted(bounds, key=lambda b: b[2].max()))
@@ -82,7 +121,11 @@ class Search:
     def _bound(self, tree: BallTree, node: int, active: np.ndarray) -> np.ndarray:
         centre, radius = tree.nodes[node][:2]
         top = self.queries[active] @ centre + self.norms[active] * radius
-        return top + 1e-9 * np.abs(top) + 1e-6
+        return top + self._error(self.norms[active] * (np.sqrt((centre**2).sum()) + radius))
+
+    def _error(self, norms: np.ndarray) -> np.ndarray:
+        """More than rounding can change in a product of two vectors whose norms multiply to `norms`."""
+        return (self.queries.shape[1] + 16) * 2.0**-49 * norms + 1e-6
 
     def _leaf(self, active: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         scores = self.queries[active] @ rows.T
@@ -98,9 +141,31 @@ class Search:
         self.found[active] = np.take_along_axis(names, best, axis=1)
         self.bar[active] = np.maximum(self.bar[active], self.scores[active, -1])
 
+    def _wide_leaf(self, active: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Floats leave out what cannot reach the bar; the scores of the rest are made of whole numbers."""
+        near = self.queries[active] @ rows.T + self._error(self.norms[active][:, None] * _norms(rows)[None, :])
+        may = ~(near < self.bar[active][:, None]) & (self.ids[active][:, None] != ids[None, :])
+        whole = {j: [int(v) for v in rows[j]] for j in np.flatnonzero(may.any(axis=0)).tolist()}
+        for i in np.flatnonzero(may.any(axis=1)).tolist():
+            a = int(active[i])
+            query = [int(v) for v in self.queries[a]]
+            scored = [(-sum(map(mul, query, whole[j])), int(ids[j])) for j in np.flatnonzero(may[i]).tolist()]
+            self.best[a] = sorted(self.best.get(a, []) + scored)[: self.k]
+            if len(self.best[a]) == self.k:
+                self.bar[a] = max(self.bar[a], _below(-self.best[a][-1][0]))
+
     def frame(self) -> pd.DataFrame:
+        """query_id, vec_id, score (null beyond 64 bits) and the score's place (_place)."""
         row, at = np.nonzero(np.isfinite(self.scores))
-        return pd.DataFrame({"query_id": self.ids[row], "vec_id": self.found[row, at], "score": self.scores[row, at].astype(np.int64)})
+        plain = pd.DataFrame({"query_id": self.ids[row], "vec_id": self.found[row, at], "score": self.scores[row, at].astype(np.int64), "place": "5"})
+        wide = [(int(self.ids[a]), i, -s, _place(-s)) for a, best in self.best.items() for s, i in best]
+        if not wide:
+            return plain.astype({"score": "Int64"})
+        more = pd.DataFrame({
+            "query_id": [w[0] for w in wide], "vec_id": [w[1] for w in wide],
+            "score": pd.array([w[2] if w[3] == "5" else None for w in wide], "Int64"), "place": [w[3] for w in wide],
+        })
+        return pd.concat([plain.astype({"score": "Int64"}), more], ignore_index=True)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -108,24 +173,25 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, x, dims): floor(scale * component) of each vector that takes part, one row per id.
+    """(vec_id, x, dims): floor(scale * component) of each vector that takes part.
 
-    Vectors that are null or empty, hold a null or non-finite component or one beyond LARGEST once scaled, or have no id, take no part. If an id repeats, the
-    smallest of its vectors counts.
+    Vectors that are null or empty, hold a null or non-finite component (once scaled, as in the SQL), or have no id, take no part.
+    All different vectors of an id that repeats count; exact copies of a row are one row.
     """
-    x = F.transform(F.col(f"`{vector}`"), lambda v: F.floor(F.lit(float(scale)) * v.cast("double")).cast("double"))
-    usable = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= LARGEST)) & (F.size("x") > 0)
-    finite = F.transform(F.col(f"`{vector}`"), lambda v: v.cast("double"))
-    safe = F.when(F.forall(finite, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= float(LARGEST))), F.col(f"`{vector}`"))
-    rows = vectors.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), safe.alias(vector)).select("vec_id", x.alias("x"))
-    kept = rows.filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & usable)
-    return kept.groupBy("vec_id").agg(F.min("x").alias("x")).withColumn("dims", F.size("x"))
+    raw = F.transform(F.col(f"`{vector}`"), lambda v: F.lit(float(scale)) * v.cast("double"))
+    usable = F.forall("raw", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & (F.size("raw") > 0)
+    # from 2^52 on a float has no fraction, and floor() would not fit 64 bits
+    x = F.transform("raw", lambda v: F.when(F.abs(v) < EXACT, F.floor(F.when(F.abs(v) < EXACT, v)).cast("double")).otherwise(v))
+    rows = vectors.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), raw.alias("raw"))
+    kept = rows.filter(F.col("vec_id").isNotNull() & F.col("raw").isNotNull() & usable).select("vec_id", x.alias("x"))
+    return kept.distinct().withColumn("dims", F.size("x"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest integer inner products of each query with the other vectors.
 
-    `queries` holds ids of `vectors`. Equal scores go to the smaller id. A query meets vectors of its own number of
+    `queries` holds ids of `vectors`. Equal scores go to the smaller id. Every finite vector takes part; ranks are exact for scores of any
+    size, and a score that does not fit 64 bits is null. The different vectors of one query id share its k places. A query meets vectors of its own number of
     dimensions. Fewer than k candidates give as many rows. No table is broadcast but the pilot set (PILOT rows at most).
     """
     spark = vectors.sparkSession
@@ -151,22 +217,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
                 yield pd.DataFrame({"vec_id": ids, "x": list(some["x"]), "dims": dims, "bar": bar})
 
     began = asked.mapInPandas(first_bars, "vec_id bigint, x array<double>, dims int, bar double")
-    began = began.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    dealt = table.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    began = began.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).cast("int"))
+    dealt = table.withColumn("shard", F.pmod(F.xxhash64("vec_id", "x"), F.lit(shards)).cast("int"))
     left = began.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     right = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or shard.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64").assign(place="")
         queries = queries.sort_values("vec_id")
         found = Search(queries["vec_id"].to_numpy(), _matrix(queries["x"]), k, queries["bar"].to_numpy())
         found.visit(BallTree(shard["vec_id"].to_numpy(), _matrix(shard["x"])))
         return found.frame()
 
     by = ["dims", "block", "shard"]
-    near = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    near = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint, place string")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("place"), F.desc("score"), "vec_id"))
     return near.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

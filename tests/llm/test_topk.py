@@ -59,3 +59,33 @@ def test_tree_visits_only_what_it_must():
     search.visit(topk.BallTree(np.arange(4000), rows.copy()))
     scores = np.sort(rows @ np.floor(centres[0]))[::-1][:5]
     assert sorted(search.scores[0], reverse=True) == scores.tolist() and sum(seen) < 2000
+
+
+def every_row(rows, k, every):
+    """The SQL on different rows, in whole numbers."""
+    xs = sorted({(i, tuple(math.floor(64 * float(np.float32(c))) for c in v)) for i, v, *_ in rows})
+    out = []
+    for q in sorted({i for i, _ in xs if i % every == 0}):
+        pairs = sorted((-sum(map(int.__mul__, a, b)), i) for p, a in xs if p == q for i, b in xs if i != q)
+        out += [(q, r + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for r, (s, i) in enumerate(pairs[:k])]
+    return out
+
+
+def test_large_components_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 90)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "PILOT", 40)
+    monkeypatch.setattr(topk, "LEAF", 16)
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) * 10 ** rng.choice([0, 0, 3, 6, 7]) for _ in range(8)], 0, 1, 2) for i in range(300)]
+    rows += [(300 + i, [float(rng.choice([-1, 1]) * 2**22 + rng.randint(0, 3)) for _ in range(8)], 0, 1, 2) for i in range(200)]  # close scores beyond 2^53
+    rows += [(i, [rng.gauss(0, 1e6) for _ in range(8)], 0, 1, 2) for i in range(0, 60, 3)]  # ids with two vectors, some of them queries
+    assert run(spark, rows) == every_row(rows, 20, 20)
+    rows += [(1000 + i, [s * rng.uniform(1, 3) * 10.0 ** rng.choice([12, 30, 37]) for s in (1, -1, 1, 1, -1, 1, 1, 1)], 0, 1, 2) for i in range(60)]  # scores beyond 2^63
+    key = lambda r: r[:3]
+    assert sorted(run_unsorted(spark, rows), key=key) == sorted(every_row(rows, 20, 20), key=key)
+
+
+def run_unsorted(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return [tuple(r) for r in top_k(df, df.filter("vec_id % 20 = 0"), 20).collect()]
