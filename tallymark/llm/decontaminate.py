@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import LOWER, UPPER
+from tallymark.llm.common import LOWER, UPPER, saved
 from tallymark.llm.words import ALPHANUMERIC, hash_words, slices, windows
 
 WIDTH = 10
@@ -119,8 +119,13 @@ def mark(
     spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_words", "hits", "items")])
     out = docs.withColumns({"n_words": F.lit(0).cast("bigint"), "hits": F.array().cast(HITS), "items": F.array().cast("array<string>")})
+    shared = None
     for index in _blocks(benchmark, item, item_text, width):
-        out = _lookup(out, text, spark.sparkContext.broadcast(index))
+        if shared is not None:  # no worker holds more than one block
+            out = saved(out, "marked")
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(index)
+        out = _lookup(out, text, shared)
     return out
 
 
@@ -154,13 +159,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    marked = mark(docs, benchmark, text, **options)
     if remove == "documents":
+        marked = mark(docs, benchmark, text, **options)
         return marked.filter(F.size("hits") == 0).select(*docs.columns)
-    indexes = list(_blocks(benchmark, options.get("item", "item_id"), options.get("item_text", "text"), options.get("width", WIDTH)))
-    if len(indexes) > 1:
-        raise ValueError("spans are cut only for a benchmark of one block; remove documents instead")
-    shared = docs.sparkSession.sparkContext.broadcast(indexes[0])
+    found = _blocks(benchmark, options.get("item", "item_id"), options.get("item_text", "text"), options.get("width", WIDTH))
+    index = next(found)
+    if next(found, None) is not None:
+        return _cut_in_rounds(docs, benchmark, text, options)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def batches(them):
         index = shared.value
@@ -177,6 +183,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     return docs.mapInArrow(batches, docs.schema)
 
 
+def _cut_in_rounds(docs: DataFrame, benchmark: DataFrame, text: str, options: dict) -> DataFrame:
+    """Spans of a benchmark of several blocks: what all blocks hit is cut, and texts that were cut are looked at again."""
+    rest, done = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text")), None
+    kind = rest.schema
+
+    def batches(them):
+        for batch in them:
+            pairs = zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist())
+            texts = pa.array([cut(t, [(x["start"], x["stop"]) for x in hits]) for t, hits in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), texts], names=["row", "text"])
+
+    while True:
+        marked = saved(mark(rest, benchmark, "text", **options), "spans")
+        clean = marked.filter(F.size("hits") == 0).select("row", "text")
+        done = clean if done is None else done.union(clean)
+        hit = marked.filter(F.size("hits") > 0)
+        if hit.isEmpty():
+            return done.select(*[(F.col("text") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
+        rest = hit.select("row", "text", "hits").mapInArrow(batches, kind)
+
+
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of the ranges and what stands between the words of one range."""
     data = text.encode()

@@ -86,3 +86,11 @@ def test_empty_tables(spark):
     none = d.documents_hits(df, bench.limit(0)).collect()
     assert len(none) == len(docs) and not any(r.contaminated for r in none)
     assert d.documents_hits(df.limit(0), bench).count() == 0
+
+
+def test_spans_of_a_benchmark_of_several_blocks(spark, monkeypatch):
+    docs, _, df, bench = tables(spark)
+    whole = sorted(map(repr, d.decontaminate(df, bench, remove="spans").collect()))
+    monkeypatch.setattr(d, "BLOCK_WINDOWS", -(-d.benchmark_windows(bench, "item_id", "text", d.WIDTH).count() // 3))
+    cut = d.decontaminate(df, bench, remove="spans")
+    assert cut.columns == df.columns and sorted(map(repr, cut.collect())) == whole
