@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontaminate, jaccard, language, licenses, packing, quality, reputation, sharding, topk, warc
+from tallymark.llm import decontaminate, jaccard, language, licenses, packing, quality, reputation, sharding, topk, warc, whitening
 from tallymark.llm.common import table
 from tallymark.session import scratch_path
 
@@ -73,3 +73,8 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(decontaminate.SQL)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.documents_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.embeddings_whitened(table(spark, sf_dir, "embeddings"))
