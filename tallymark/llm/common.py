@@ -15,6 +15,8 @@ from tallymark.session import scratch_path
 BROADCAST_ROWS = 100_000
 #: Copies of one row that are written out from one generated row.
 COPIES = 4096
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,10 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read back: lineage ends there, and a lost executor loses none of it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written to the shared folder and read back: lineage ends there, and a lost executor loses none of it.
+
+    What was shuffled for it is of no more use once it is written, so those files go at once and don't fill the disks until the driver
+    collects its garbage.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def joined_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:

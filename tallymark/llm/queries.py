@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontaminate, jaccard, language, licenses, packing, quality, reputation, resampling, sharding, topk, warc, whitening
+from tallymark.llm import decontaminate, jaccard, language, licenses, packing, quality, reputation, resampling, sharding, suffixes, topk, warc, whitening
 from tallymark.llm.common import table
 from tallymark.session import scratch_path
 
@@ -83,3 +83,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(resampling.SQL)
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.documents_draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.documents_repeats(table(spark, sf_dir, "documents"))
