@@ -72,6 +72,11 @@ def clear_scratch(spark: SparkSession) -> int:
     """Delete every intermediate table of this application, once all results that need them were consumed."""
     paths = _scratch.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        delete_path(spark, path)
     return len(paths)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table wherever Spark's file systems keep it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
