@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.session import scratch_path
+from tallymark.session import delete_path, scratch_path
 
 #: Rows of a side that may be broadcast once they have been counted; more are joined by shuffle.
 BROADCAST_ROWS = 100_000
@@ -18,6 +19,8 @@ COPIES = 4096
 #: Spark's setting that removes the shuffle files of a query once it has ended.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,7 +45,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that `saved` wrote, once all that was made from them is saved too."""
+    for df in tables:
+        path = _paths.pop(df, None)
+        if path is not None:
+            delete_path(df.sparkSession, path)
 
 
 def joined_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:

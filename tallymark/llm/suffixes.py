@@ -3,12 +3,13 @@
 A byte is removed if some string of `length` bytes that covers it also starts anywhere else. To see that, the suffixes of the texts are
 put into order by their first `length` bytes:
 
-* of every three neighbouring suffixes two are sampled; the sampled ones are sorted by a triple of eight-byte characters and named by
-  their place in that order;
-* recursion on the names: triples of names, sorted and named again, order the sampled suffixes by three times as many bytes, until
-  the names stand for length - 2 bytes. A name that only one suffix has can be in no repeated string, so it is dropped;
-* the remaining suffixes are merged through the sampled one that follows within two bytes: of any two suffixes some pair of sampled
-  ones lies equally far behind, so equal prefixes meet in one run of the order and adjacent ones are compared by their last two bytes.
+* suffixes are sampled by a difference cover: of every `period` neighbouring ones a few, so that of any two suffixes some pair of
+  sampled ones lies equally far behind (less than a period). The sampled ones are sorted by a triple of eight-byte characters and
+  named by their place in that order;
+* recursion on the names: triples of names, sorted and named again, order the sampled suffixes by about three times as many bytes, until
+  the names stand for nearly `length` bytes. A name that only one suffix has can be in no repeated string, so it is dropped;
+* the remaining suffixes are merged through the sampled ones that follow within a period: equal strings meet in one run of equal
+  sampled suffixes, where neighbours are compared by the bytes before and behind.
 
 What cannot repeat is left out of the order beforehand, without loss: the smallest hash in every stretch of w strings of k bytes is the
 same wherever a text repeats, so a string of `length` bytes with a smallest hash that occurs once is not repeated. The rest is
@@ -18,6 +19,7 @@ cut where the text itself says so (at chosen hashes), and equal pieces are one p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import fresh, saved
+from tallymark.llm.common import forget, fresh, saved
 from tallymark.llm.words import column_bytes, mix, slices
 
 LENGTH = 200
@@ -34,7 +36,12 @@ SLICE_BYTES, BLOCK_BYTES = 1 << 20, 1 << 16
 #: One of so many smallest hashes is a place to cut at; a piece has at most LONGEST starts.
 CUT, LONGEST = 8, 1 << 15
 #: Zero bytes between the pieces of a block.
-GAP = 3
+GAP = 1
+#: Bits of a place in a block; a block has less than BLOCK_BYTES + LONGEST + length bytes.
+PLACE = 17
+#: Sampled suffixes that are equal up to the last bytes and are compared within one task, at most.
+LONG_RUN = 1 << 14
+LAST_ROWS = "k0 bigint, k1 bigint, k2 bigint, at bigint, edge binary, near int"
 #: Texts and their ranges are joined by broadcast if at most so many ranges (16 bytes each) were counted.
 BROADCAST_RANGES = 200_000
 
@@ -194,7 +201,7 @@ def _blocks(distinct: DataFrame) -> DataFrame:
         def block() -> pa.RecordBatch:
             lists = (pa.array([places], pa.list_(pa.int32())), pa.array([starts], pa.list_(pa.int32())), pa.array([digests], pa.list_(pa.binary())))
             whole = pa.array([b"".join(data)], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + number], pa.int64()), whole, *lists], names=["block", "data", "places", "starts", "digests"])
+            return pa.RecordBatch.from_arrays([pa.array([(task << 20) + number], pa.int64()), whole, *lists], names=["block", "data", "places", "starts", "digests"])
 
         for batch in them:
             for piece, n, digest in zip(*(batch.column(c) for c in ("data", "starts", "digest"))):
@@ -212,83 +219,88 @@ def _blocks(distinct: DataFrame) -> DataFrame:
     return distinct.mapInArrow(batches, "block bigint, data binary, places array<int>, starts array<int>, digests array<binary>")
 
 
-ROWS = "k0 bigint, k1 bigint, k2 bigint, block bigint, pos int, edge bigint"
+#: Columns of the rows that are sorted: a triple, and where its suffix begins (block and place in it).
+ROWS = "k0 bigint, k1 bigint, k2 bigint, at bigint"
+KEYS = ["k0", "k1", "k2"]
 
 
-def first_cover(length: int) -> int:
-    """Bytes of the first triples: at most 24, and as many modulo 3 as the last names stand for."""
-    last = length - 2
-    return last if last <= 24 else 24 - (24 - last) % 3
+@dataclass(frozen=True)
+class Cover:
+    """A difference cover, and the bytes that the names of each level stand for."""
 
+    length: int
+    period: int
+    sampled: tuple[int, ...]
+    first: int
+    #: distances of the second and third name of a triple, by level
+    steps: tuple[tuple[int, int], ...]
+    #: bytes that the last names stand for
+    last: int
 
-def _sampled(data: np.ndarray, places: np.ndarray, starts: np.ndarray, length: int) -> list[np.ndarray]:
-    """k0, k1, k2, pos, edge of the sampled suffixes of a block.
+    @classmethod
+    def of(cls, length: int) -> Cover:
+        # any two places below the period differ by the same amount as some two sampled ones
+        period, sampled = next((p, s) for p, s in ((21, (0, 1, 4, 14, 16)), (7, (0, 1, 3)), (3, (0, 1))) if length >= 3 * p - 1)
+        cover = first = min(24, max(period, (length - period + 1) // 3))
+        steps = []
+        while two := min(2 * (cover // period), (length - period + 1 - cover) // period) * period:
+            steps.append((min(cover // period * period, two), two))
+            cover += two
+        return cls(length, period, sampled, first, tuple(steps), cover)
+
+
+def _places(block: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    for number, data, places, starts in zip(*(block.column(c) for c in ("block", "data", "places", "starts"))):
+        yield number.as_py(), np.frombuffer(data.as_buffer(), np.uint8), np.asarray(places.values), np.asarray(starts.values)
+
+
+def _first_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
+    """The first triples: eight-byte characters of the sampled suffixes of each piece."""
 
-    The edge holds the two bytes before the place, the two behind the last name's bytes, and bits of the distances at which a
-    string of the piece begins before the place.
-    """
-    cover = first_cover(length)
-    padded = np.concatenate([np.zeros(2, np.uint8), data, np.zeros(length + 32, np.uint8)])
-    ends = np.append(places[1:], len(data)) - GAP
-    position = np.arange(len(data))
-    piece = np.searchsorted(places, position, "right") - 1
-    pos = np.flatnonzero((position % 3 != 0) & (position + cover <= ends[piece]))
-    piece = piece[pos]
-    keys = []
-    for k in range(3):
-        key = np.zeros(len(pos), np.uint64)
-        for b in range(8):
-            key <<= np.uint64(8)
-            if 8 * k + b < cover:
-                key |= padded[pos + 2 + 8 * k + b].astype(np.uint64)
-        # the order of signed numbers is that of the bytes
-        keys.append((key ^ np.uint64(1 << 63)).view(np.int64))
-    edge = np.zeros(len(pos), np.int64)
-    for at in (-2, -1, length - 2, length - 1):
-        edge = edge * 256 + padded[pos + 2 + at]
-    for away in range(3):
-        begin = pos - away
-        edge += ((begin >= places[piece]) & (begin < places[piece] + starts[piece])).astype(np.int64) << (32 + away)
-    return [*keys, pos.astype(np.int32), edge]
-
-
-def _first_rows(blocks: DataFrame, length: int) -> DataFrame:
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
-            for block, data, places, starts in zip(*(batch.column(c) for c in ("block", "data", "places", "starts"))):
-                k0, k1, k2, pos, edge = _sampled(np.frombuffer(data.as_buffer(), np.uint8), *(np.asarray(x.values) for x in (places, starts)), length)
-                yield _rows([k0, k1, k2], block.as_py(), pos, edge)
+            for block, data, places, starts in _places(batch):
+                ends = np.append(places[1:], len(data)) - GAP
+                position = np.arange(len(data))
+                piece = np.searchsorted(places, position, "right") - 1
+                chosen = np.isin(position % cover.period, cover.sampled) & (position + cover.first <= ends[piece])
+                pos = np.flatnonzero(chosen)
+                padded = np.concatenate([data, np.zeros(24, np.uint8)])
+                keys = []
+                for k in range(0, 24, 8):
+                    key = np.zeros(len(pos), np.uint64)
+                    for b in range(k, k + 8):
+                        key <<= np.uint64(8)
+                        if b < cover.first:
+                            key |= padded[pos + b]
+                    # signed numbers in the order of the bytes
+                    keys.append((key ^ np.uint64(1 << 63)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(block << PLACE | pos)], names=[*KEYS, "at"])
 
     return blocks.select("block", "data", "places", "starts").mapInArrow(batches, ROWS)
 
 
-def _rows(keys: list[np.ndarray], block: int, pos: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
-    columns = [*map(pa.array, keys), pa.array(np.full(len(pos), block, np.int64)), pa.array(pos), pa.array(edge)]
-    return pa.RecordBatch.from_arrays(columns, names=["k0", "k1", "k2", "block", "pos", "edge"])
-
-
 def _sorted(rows: DataFrame) -> DataFrame:
     """Triples in order: ranges of triples in tasks, each sorted."""
-    keys = ["k0", "k1", "k2"]
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return rows.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS)
 
 
-def _run_numbers(batch: pa.RecordBatch, last: tuple | None, number: int) -> np.ndarray:
-    """The number of each row's run of equal triples; `last` and `number` are the triple and number of the row before."""
-    keys = [np.asarray(batch.column(c)) for c in ("k0", "k1", "k2")]
+def _new_runs(batch: pa.RecordBatch, last: tuple | None) -> np.ndarray:
+    """Whether each row's triple differs from the one before; `last` is the triple before the batch."""
     new = np.zeros(batch.num_rows, bool)
-    for k, before in zip(keys, last or (None,) * 3):
+    for c, before in zip(KEYS, last or (None,) * 3):
+        k = np.asarray(batch.column(c))
         new[1:] |= k[1:] != k[:-1]
         new[0] |= before is None or k[0] != before
-    return number + np.cumsum(new)
+    return new
 
 
 def _last(batch: pa.RecordBatch) -> tuple:
-    return tuple(batch.column(c)[-1].as_py() for c in ("k0", "k1", "k2"))
+    return tuple(batch.column(c)[-1].as_py() for c in KEYS)
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    """(block, pos, edge, name) of the rows whose triple occurs at least twice; a name is the triple's place in the order of all.
+    """(at, name) of the rows whose triple occurs at least twice; a name is the triple's place in the order of all.
 
     Equal triples are in one task, one behind the other. A task holds one batch and one row whose run may go on.
     """
@@ -296,99 +308,186 @@ def _named(rows: DataFrame) -> DataFrame:
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
         last, number, held, several = None, 0, None, False
-
-        def out(block, pos, edge, runs) -> pa.RecordBatch:
-            columns = [pa.array(block), pa.array(pos), pa.array(edge), pa.array(runs + task)]
-            return pa.RecordBatch.from_arrays(columns, names=["block", "pos", "edge", "name"])
-
         for batch in them:
             if not batch.num_rows:
                 continue
-            runs = _run_numbers(batch, last, number)
-            columns = [np.asarray(batch.column(c)) for c in ("block", "pos", "edge")] + [runs]
-            before = number
-            _, at, counts = np.unique(runs, return_inverse=True, return_counts=True)
-            often = counts > 1
-            if runs[0] == before and last is not None:
-                if held is not None:
-                    yield out(*held)
-                often[0] = True
-            held, several = None, bool(often[-1])
-            keep = often[at]
-            if not several:
-                held = [c[-1:].copy() for c in columns]
-            last, number = _last(batch), int(runs[-1])
+            new = _new_runs(batch, last)
+            runs, at = number + np.cumsum(new), np.asarray(batch.column("at"))
+            # a row is not alone if it or the next one goes on with a run
+            keep = ~new
+            keep[:-1] |= ~new[1:]
+            several = bool(keep[-1])
+            last = _last(batch)
+            if held is not None and not new[0]:
+                at, runs, keep = np.append(held, at), np.append(number, runs), np.append(True, keep)
+            held, number = None if several else int(at[-1]), int(runs[-1])
             if keep.any():
-                yield out(*[c[keep] for c in columns])
+                yield pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(runs[keep] + task)], names=["at", "name"])
+
+    return _sorted(rows).mapInArrow(batches, "at bigint, name bigint")
+
+
+def _named_blocks(named: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Blocks with the names of their places (64-bit numbers, -1 where there is none); a block's names meet in one task."""
 
-    return _sorted(rows).mapInArrow(batches, "block bigint, pos int, edge bigint, name bigint")
+    def whole(names: pa.Table, block: pa.Table) -> pa.Table:
+        block = block.select(["block", "data", "places", "starts"])
+        if not names.num_rows or not block.num_rows:
+            return block.slice(0, 0).append_column("names", pa.array([], pa.binary()))
+        found = np.full(len(block.column("data")[0].as_buffer()), -1, np.int64)
+        found[np.asarray(names.column("at")) & (1 << PLACE) - 1] = np.asarray(names.column("name"))
+        return block.append_column("names", pa.array([found.tobytes()], pa.binary()))
+
+    left = named.withColumn("block", F.shiftright("at", PLACE)).groupBy("block")
+    right = blocks.select("block", "data", "places", "starts").groupBy("block")
+    return left.cogroup(right).applyInArrow(whole, "block bigint, data binary, places array<int>, starts array<int>, names binary")
 
 
 def _next_rows(named: DataFrame, one: int, two: int) -> DataFrame:
-    """Triples of the names at a place and `one` and `two` bytes behind it; a block's names meet in one task (64 KB of text)."""
+    """Triples of the names at a place and `one` and `two` bytes behind it."""
+
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in them:
+            for block, found in zip(batch.column("block").to_pylist(), batch.column("names")):
+                pos, keys = _triples(np.frombuffer(found.as_buffer(), np.int64), one, two)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(block << PLACE | pos)], names=[*KEYS, "at"])
 
-    def triples(rows: pa.Table) -> pa.Table:
-        pos, edge, name = (np.asarray(rows.column(c)) for c in ("pos", "edge", "name"))
-        names = np.full(int(pos.max()) + two + 1, -1, np.int64)
-        names[pos] = name
-        keep = (names[pos + one] >= 0) & (names[pos + two] >= 0)
-        pos, edge = pos[keep], edge[keep]
-        return pa.Table.from_batches([_rows([names[pos], names[pos + one], names[pos + two]], rows.column("block")[0].as_py(), pos, edge)])
+    return named.select("block", "names").mapInArrow(batches, ROWS)
 
-    return named.groupBy("block").applyInArrow(triples, ROWS)
 
+def _triples(names: np.ndarray, one: int, two: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    names = np.append(names, np.full(two, -1))
+    pos = np.flatnonzero(names[: len(names) - two] >= 0)
+    pos = pos[(names[pos + one] >= 0) & (names[pos + two] >= 0)]
+    return pos, [names[pos], names[pos + one], names[pos + two]]
 
-def _entries(batch: pa.RecordBatch, runs: np.ndarray) -> list[np.ndarray]:
-    """(code, block, begin) of the strings that begin up to two bytes before each place; equal codes are equal strings."""
-    block, pos, edge = (np.asarray(batch.column(c)) for c in ("block", "pos", "edge"))
-    b0, b1, b2, b3 = ((edge >> s) & 255 for s in (24, 16, 8, 0))
-    out: list[list[np.ndarray]] = [[], [], []]
-    for away, (x, y) in enumerate(((b2, b3), (b1, b2), (b0, b1))):
-        valid = (edge >> (32 + away)) & 1 == 1
-        for column, value in zip(out, ((runs << 18) | (away << 16) | (x << 8) | y, block, pos - away)):
-            column.append(value[valid].astype(np.int64))
-    return [np.concatenate(c) for c in out]
 
+def _last_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
+    """The last triples, with the bytes before and behind what they stand for, and the distances at which strings begin before them.
+
+    `blocks` has the names of the last level but one.
+    """
+    before, behind = cover.period - 1, cover.length - cover.last
+
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in them:
+            for i, (block, data, places, starts) in enumerate(_places(batch)):
+                pos, keys = _triples(np.frombuffer(batch.column("names")[i].as_buffer(), np.int64), *cover.steps[-1])
+                piece = np.searchsorted(places, pos, "right") - 1
+                far = pos - places[piece]
+                lo, hi = np.maximum(0, far - starts[piece] + 1), np.minimum(before, far)
+                some = lo <= hi
+                pos, lo, hi = pos[some], lo[some], hi[some]
+                padded = np.concatenate([np.zeros(before, np.uint8), data, np.zeros(cover.length, np.uint8)])
+                around = np.append(np.arange(before), before + cover.last + np.arange(behind))
+                edges = padded[pos[:, None] + around[None, :]]
+                for a in range(0, len(pos), 10_000):
+                    s = slice(a, a + 10_000)
+                    lists = pa.FixedSizeBinaryArray.from_buffers(pa.binary(before + behind), len(pos[s]), [None, pa.py_buffer(np.ascontiguousarray(edges[s]))])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(k[some][s]) for k in keys), pa.array(block << PLACE | pos[s]), lists.cast(pa.binary()), pa.array((lo[s] << 8 | hi[s]).astype(np.int32))],
+                        names=[*KEYS, "at", "edge", "near"],
+                    )
+
+    return blocks.mapInArrow(batches, LAST_ROWS)
 
-def _equal_neighbours(rows: DataFrame) -> DataFrame:
-    """(block, begin) of the strings that another string equals, from the order of the sampled suffixes by all but two bytes.
 
-    Of a run that goes on in the next batch, one string of each kind is held (at most 3 * 65536), so no run is too long for a task.
+def _codes(batch: pa.RecordBatch, cover: Cover) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and distance below the period: the hash of the string that begins so far before, and whether a string does."""
+    before, behind = cover.period - 1, cover.length - cover.last
+    raw = batch.column("edge").cast(pa.large_binary())
+    edges = _LETTERS[np.frombuffer(raw.buffers()[2], np.uint8)[raw.offset * (before + behind) :][: len(raw) * (before + behind)].reshape(len(raw), before + behind)]
+    powers = _powers(_BASE, before + behind + 1)[1:]
+    zero = np.zeros((len(raw), 1), np.uint64)
+    left = np.concatenate([zero, np.cumsum(edges[:, :before][:, ::-1] * powers[:before], axis=1, dtype=np.uint64)], axis=1)
+    right = np.concatenate([zero, np.cumsum(edges[:, before:] * powers[before:], axis=1, dtype=np.uint64)], axis=1)
+    distance = np.arange(before + 1)
+    code = left + right[:, behind - distance]
+    for c in KEYS:
+        code = mix(code + np.asarray(batch.column(c)).view(np.uint64)[:, None] + distance.astype(np.uint64))
+    near = np.asarray(batch.column("near"))[:, None]
+    return code, (distance >= near >> 8) & (distance <= near & 255)
+
+
+def _bits(at: np.ndarray, distance: np.ndarray) -> pa.RecordBatch:
+    """(at, bits): the distances of each place as bits."""
+    places, row = np.unique(at, return_inverse=True)
+    bits = np.zeros(len(places), np.int64)
+    np.bitwise_or.at(bits, row, np.int64(1) << distance)
+    return pa.RecordBatch.from_arrays([pa.array(places), pa.array(bits.astype(np.int32))], names=["at", "bits"])
+
+
+def _equal_neighbours(rows: DataFrame, cover: Cover) -> DataFrame:
+    """(at, bits): the distances before each sampled suffix at which a string begins that another string equals.
+
+    Equal strings have sampled suffixes equally far behind their begin that are neighbours in the order; they are compared by hashes
+    of 64 bits of the bytes around. Of a run that goes on in the next batch one string of each kind is held, so runs of more than
+    LONG_RUN are not compared here (_equal_in_long_runs).
     """
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, number, held = None, 0, None
+        last, held = None, None
         for batch in them:
             if not batch.num_rows:
                 continue
-            runs = _run_numbers(batch, last, number)
-            last, number = _last(batch), int(runs[-1])
-            code, block, begin = _entries(batch, runs)
-            told = np.zeros(len(code), bool)
-            if held is not None:
-                code, block, begin, told = (np.concatenate(p) for p in zip(held, (code, block, begin, told)))
-            _, first, at, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            again = counts > 1
+            new = _new_runs(batch, last)
+            last = _last(batch)
+            codes, valid = _codes(batch, cover)
+            row, distance = np.nonzero(valid)
+            code, at = codes[row, distance], np.asarray(batch.column("at"))[row]
+            told, open_run = np.zeros(len(code), bool), row >= np.flatnonzero(np.append(True, new[1:]))[-1]
+            if held is not None and not new[0]:
+                whole = np.full(len(held[0]), not new.any())
+                code, at, distance, told, open_run = (np.concatenate(p) for p in zip(held, (code, at, distance, told, open_run)))
+                open_run[: len(whole)] = whole
+            order = np.lexsort((~told, code))
+            code, at, distance, told, open_run = (x[order] for x in (code, at, distance, told, open_run))
+            first = np.append(True, code[1:] != code[:-1])[: len(code)]
+            again = ~first
+            again[:-1] |= ~first[1:]
             # one that was shown before is held for the equal ones that may follow
-            again[at[told]] = True
-            show = again[at] & ~told
+            show = again & ~told
             if show.any():
-                yield pa.RecordBatch.from_arrays([pa.array(block[show]), pa.array(begin[show].astype(np.int32))], names=["block", "begin"])
-            stay = first[(code[first] >> 18) == number]
-            held = [code[stay], block[stay], begin[stay], again[at][stay]]
+                yield _bits(at[show], distance[show])
+            stay = first & open_run
+            held = [code[stay], at[stay], distance[stay], (again | told)[stay], open_run[stay]]
+
+    return _sorted(rows).mapInArrow(batches, "at bigint, bits int")
 
-    return _sorted(rows).mapInArrow(batches, "block bigint, begin int")
 
+def _equal_in_long_runs(rows: DataFrame, cover: Cover) -> DataFrame:
+    """The same for runs of any length: strings are counted by their hashes, each a row."""
 
-def _repeats(blocks: DataFrame, length: int) -> DataFrame:
-    """(block, begin) of the strings in `blocks` that occur at another place of them too."""
-    rows, cover = _first_rows(blocks, length), first_cover(length)
-    while cover < length - 2:
-        step = cover // 3 * 3
-        two = min(2 * step, length - 2 - cover)
-        rows = saved(_next_rows(_named(rows), min(step, two), two), "triples")
-        cover += two
-    return _equal_neighbours(rows)
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in them:
+            codes, valid = _codes(batch, cover)
+            row, distance = np.nonzero(valid)
+            columns = [codes[row, distance].view(np.int64), np.asarray(batch.column("at"))[row], (1 << distance).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["code", "at", "bits"])
+
+    each = rows.mapInArrow(batches, "code bigint, at bigint, bits int")
+    often = each.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("code")
+    return each.join(often, "code", "left_semi").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+
+
+def _repeats(blocks: DataFrame, cover: Cover) -> DataFrame:
+    """(at, bits) of the strings in `blocks` that occur at another place of them too; see _equal_neighbours."""
+    now = blocks
+    for level in range(len(cover.steps)):
+        rows = _first_rows(blocks, cover) if level == 0 else _next_rows(now, *cover.steps[level - 1])
+        names = saved(_named(rows), "names")
+        before, now = now, saved(_named_blocks(names, blocks), "named")
+        forget(names, *([before] if level else []))
+    rows = saved(_last_rows(now, cover), "triples")
+    forget(now)
+    long = saved(rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LONG_RUN).select(*KEYS), "long")
+    if long.isEmpty():
+        out = saved(_equal_neighbours(rows, cover), "repeats")
+    else:
+        short = _equal_neighbours(rows.join(long, KEYS, "left_anti"), cover)
+        out = saved(short.unionAll(_equal_in_long_runs(rows.join(long, KEYS, "left_semi"), cover)), "repeats")
+    forget(rows, long)
+    return out
 
 
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -405,7 +504,8 @@ def _piece_ranges(repeats: DataFrame, blocks: DataFrame) -> DataFrame:
     def ranges(found: pa.Table, block: pa.Table) -> pa.Table:
         digests, out = [], []
         if found.num_rows and block.num_rows:
-            begin = np.unique(np.asarray(found.column("begin")))
+            place, bits = np.asarray(found.column("at")) & (1 << PLACE) - 1, np.asarray(found.column("bits"))
+            begin = np.unique(np.concatenate([place[(bits >> d) & 1 == 1] - d for d in range(32)]))
             places = np.asarray(block.column("places")[0].values)
             piece = np.searchsorted(places, begin, "right") - 1
             for p in np.unique(piece).tolist():
@@ -416,7 +516,7 @@ def _piece_ranges(repeats: DataFrame, blocks: DataFrame) -> DataFrame:
         return pa.table([pa.array(digests, pa.binary()), pa.array(out, _RANGES)], names=["digest", "ranges"])
 
     right = blocks.select("block", "places", "digests").groupBy("block")
-    return repeats.groupBy("block").cogroup(right).applyInArrow(ranges, f"digest binary, ranges {RANGES}")
+    return repeats.withColumn("block", F.shiftright("at", PLACE)).groupBy("block").cogroup(right).applyInArrow(ranges, f"digest binary, ranges {RANGES}")
 
 
 def digest_of(text: Column) -> Column:
@@ -435,15 +535,23 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     runs = saved(_stretch_rows(texts, width(length)), "stretches")
     several = runs.groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1").select("hash")
     repeated = saved(runs.join(several, "hash", "left_semi").select("no", "first", "last", "hash"), "repeated")
+    forget(runs)
     pieces = saved(_pieces(texts, repeated, length, repeated.count()), "pieces")
+    named = saved(texts.select("no", "digest"), "numbers")
+    forget(texts, repeated)
     distinct = saved(pieces.groupBy("data", "digest").agg(F.sum("copies").alias("copies"), F.first("starts").alias("starts")), "distinct")
+    places = saved(pieces.select("no", "start", "digest"), "places")
+    forget(pieces)
     blocks = saved(_blocks(distinct.select("data", "starts", "digest")), "blocks")
-    found = saved(_piece_ranges(saved(_repeats(blocks, length), "repeats"), blocks), "found")
     # of a piece that occurs several times all strings repeat
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("starts").cast("bigint").alias("stop")))
-    every = distinct.filter("copies > 1").select("digest", whole.alias("ranges"))
+    every = saved(distinct.filter("copies > 1").select("digest", whole.alias("ranges")), "every")
+    forget(distinct)
+    repeats = _repeats(blocks, Cover.of(length))
+    found = saved(_piece_ranges(repeats, blocks), "found")
+    forget(repeats, blocks)
     known = found.join(every.select("digest"), "digest", "left_anti").unionAll(every)
-    each = pieces.select("no", "start", "digest").join(known, "digest").select("no", "start", F.explode("ranges").alias("r"))
+    each = places.join(known, "digest").select("no", "start", F.explode("ranges").alias("r"))
     spans = each.groupBy("no").agg(F.collect_list(F.struct((F.col("start") + F.col("r.start")).alias("start"), (F.col("start") + F.col("r.stop") + length - 1).alias("stop"))).alias("spans"))
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,7 +562,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
                 out.append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, _RANGES)], names=["digest", "spans"])
 
-    return saved(spans.join(texts.select("no", "digest"), "no").select("digest", "spans").mapInArrow(batches, f"digest binary, spans {RANGES}"), "spans")
+    out = saved(spans.join(named, "no").select("digest", "spans").mapInArrow(batches, f"digest binary, spans {RANGES}"), "spans")
+    forget(named, places, every, found)
+    return out
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, spans: str = "spans", kept: str = "kept") -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -99,13 +100,26 @@ def test_stretches_do_not_depend_on_parts(monkeypatch):
     assert [x.tolist() for x in sx.stretches(texts, 16)] == whole
 
 
-def test_runs_over_batches():
-    """A run of equal triples that reaches over batches keeps one name, and a triple of its own none."""
-    import numpy as np
+def test_long_runs_are_counted_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(sx, "LONG_RUN", 2)
+    docs = corpus(random.Random(11), 60)
+    assert run(spark, docs, 60) == brute(docs, 60)
 
-    def batch(keys):
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())] * 3, names=["k0", "k1", "k2"])
 
-    assert sx._run_numbers(batch([5, 5, 7]), None, 0).tolist() == [1, 1, 2]
-    assert sx._run_numbers(batch([7, 7, 8]), (7, 7, 7), 2).tolist() == [2, 2, 3]
-    assert np.array_equal(sx.merged(np.array([5, 0, 2]), np.array([6, 2, 4]))[0], [0, 5])
+@pytest.mark.parametrize("length", [8, 12, 25, 30, 43, 44, 60, 128, 200, 1000])
+def test_covers(length):
+    """Any two places have sampled ones equally far behind, and a string of `length` bytes holds the names of the last level."""
+    c = sx.Cover.of(length)
+    for i in range(c.period):
+        for j in range(c.period):
+            assert any((i + d) % c.period in c.sampled and (j + d) % c.period in c.sampled for d in range(c.period))
+    cover = c.first
+    for one, two in c.steps:
+        assert one % c.period == two % c.period == 0 and one <= cover and two - one <= cover
+        cover += two
+    assert cover == c.last <= length - c.period + 1 and c.last > length - 2 * c.period - 2
+
+
+def test_merged_ranges():
+    a, b = sx.merged(np.array([5, 0, 2, 9]), np.array([6, 2, 4, 10]))
+    assert a.tolist() == [0, 5, 9] and b.tolist() == [4, 6, 10]
