@@ -32,7 +32,7 @@ from tallymark.llm.words import column_bytes, mix, slices
 
 LENGTH = 200
 #: Bytes of a text batch that are hashed at once, and of the pieces that share a block.
-SLICE_BYTES, BLOCK_BYTES = 1 << 20, 1 << 16
+SLICE_BYTES, BLOCK_BYTES = 1 << 19, 1 << 16
 #: One of so many smallest hashes is a place to cut at; a piece has at most LONGEST starts.
 CUT, LONGEST = 8, 1 << 15
 #: Zero bytes between the pieces of a block.
@@ -41,6 +41,7 @@ GAP = 1
 PLACE = 17
 #: Sampled suffixes that are equal up to the last bytes and are compared within one task, at most.
 LONG_RUN = 1 << 14
+BLOCKS = "block bigint, data binary, places array<int>, starts array<int>, numbers array<bigint>, begins array<int>"
 LAST_ROWS = "k0 bigint, k1 bigint, k2 bigint, at bigint, edge binary, near int"
 #: Texts and their ranges are joined by broadcast if at most so many ranges (16 bytes each) were counted.
 BROADCAST_RANGES = 200_000
@@ -191,32 +192,61 @@ def _piece_batch(out: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["no", "start", "starts", "copies", "data"])
 
 
-def _blocks(distinct: DataFrame) -> DataFrame:
-    """(block, data, places, starts, digests): distinct pieces one after the other with GAP zero bytes behind each."""
+def _joined(single: DataFrame) -> DataFrame:
+    """(no, start, starts, data): pieces that occur once, those that follow each other in a text as one (of at most LONGEST starts)."""
+    grouped = single.groupBy("no").agg(F.collect_list(F.struct("start", "starts", "data")).alias("parts"))
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        number, data, places, starts, digests, size = 0, [], [], [], [], 0
+        for batch in them:
+            for no, parts in zip(batch.column("no").to_pylist(), batch.column("parts")):
+                start, starts = (np.asarray(parts.values.field(c)) for c in ("start", "starts"))
+                out: list[list] = [[], [], []]
+                for i in np.argsort(start).tolist():
+                    data = parts.values.field("data")[i].as_py()
+                    if out[0] and out[0][-1] + out[1][-1] == start[i] and out[1][-1] + starts[i] <= LONGEST:
+                        out[2][-1][out[1][-1] :] = data
+                        out[1][-1] += int(starts[i])
+                    else:
+                        for column, value in zip(out, (int(start[i]), int(starts[i]), bytearray(data))):
+                            column.append(value)
+                columns = [pa.array([no] * len(out[0]), pa.int64()), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(map(bytes, out[2]), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["no", "start", "starts", "data"])
+
+    return grouped.mapInArrow(batches, "no bigint, start int, starts int, data binary")
+
+
+def _blocks(pieces: DataFrame) -> DataFrame:
+    """(block, data, places, starts, numbers, begins): pieces (no, start, starts, data), GAP zero bytes behind each.
+
+    Pieces without a number (`no` null) occur several times, so their strings are known to repeat; their blocks have odd numbers.
+    """
 
-        def block() -> pa.RecordBatch:
-            lists = (pa.array([places], pa.list_(pa.int32())), pa.array([starts], pa.list_(pa.int32())), pa.array([digests], pa.list_(pa.binary())))
-            whole = pa.array([b"".join(data)], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([(task << 20) + number], pa.int64()), whole, *lists], names=["block", "data", "places", "starts", "digests"])
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId() << 20, 0
+        held: dict[bool, list] = {False: [0, [], [], [], [], []], True: [0, [], [], [], [], []]}
+
+        def block(known: bool) -> pa.RecordBatch:
+            nonlocal number
+            _, data, *lists = held[known]
+            held[known] = [0, [], [], [], [], []]
+            number += 1
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            columns = [pa.array([task + 2 * number + known], pa.int64()), pa.array([b"".join(data)], pa.binary()), *(pa.array([x], pa.list_(k)) for x, k in zip(lists, kinds))]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "data", "places", "starts", "numbers", "begins"])
 
         for batch in them:
-            for piece, n, digest in zip(*(batch.column(c) for c in ("data", "starts", "digest"))):
-                places.append(size)
-                starts.append(n.as_py())
-                digests.append(digest.as_py())
-                data += [piece.as_py(), bytes(GAP)]
-                size += len(data[-2]) + GAP
-                if size >= BLOCK_BYTES:
-                    yield block()
-                    number, data, places, starts, digests, size = number + 1, [], [], [], [], 0
-        if data:
-            yield block()
+            for piece, n, no, start in zip(batch.column("data"), *(batch.column(c).to_pylist() for c in ("starts", "no", "start"))):
+                mine = held[no is None]
+                for column, value in zip(mine[1:], (piece.as_py() + bytes(GAP), mine[0], n, -1 if no is None else no, start or 0)):
+                    column.append(value)
+                mine[0] += len(mine[1][-1])
+                if mine[0] >= BLOCK_BYTES:
+                    yield block(no is None)
+        for known in (False, True):
+            if held[known][0]:
+                yield block(known)
 
-    return distinct.mapInArrow(batches, "block bigint, data binary, places array<int>, starts array<int>, digests array<binary>")
+    return pieces.select("data", "starts", "no", "start").mapInArrow(batches, BLOCKS)
 
 
 #: Columns of the rows that are sorted: a triple, and where its suffix begins (block and place in it).
@@ -281,8 +311,13 @@ def _first_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    """Triples in order: ranges of triples in tasks, each sorted."""
-    return rows.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS)
+    """Triples in order: ranges of triples in tasks, each sorted; of equal ones those first whose strings are not known to repeat."""
+    return rows.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS, F.shiftright("at", PLACE).bitwiseAND(F.lit(1)))
+
+
+def _known(at: np.ndarray) -> np.ndarray:
+    """Whether the places lie in pieces that occur several times."""
+    return (at >> PLACE) & 1 == 1
 
 
 def _new_runs(batch: pa.RecordBatch, last: tuple | None) -> np.ndarray:
@@ -300,25 +335,28 @@ def _last(batch: pa.RecordBatch) -> tuple:
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    """(at, name) of the rows whose triple occurs at least twice; a name is the triple's place in the order of all.
+    """(at, name) of the rows whose triple occurs at least twice, once in a piece that occurs once; a name is the triple's place in order.
 
     Equal triples are in one task, one behind the other. A task holds one batch and one row whose run may go on.
     """
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
-        last, number, held, several = None, 0, None, False
+        last, number, held, wanted = None, 0, None, False
         for batch in them:
             if not batch.num_rows:
                 continue
             new = _new_runs(batch, last)
-            runs, at = number + np.cumsum(new), np.asarray(batch.column("at"))
-            # a row is not alone if it or the next one goes on with a run
+            steps, at = np.cumsum(new), np.asarray(batch.column("at"))
+            # a row is not alone if it or the next one goes on with a run; the first row of a run tells whether it is wanted
             keep = ~new
             keep[:-1] |= ~new[1:]
             several = bool(keep[-1])
-            last = _last(batch)
-            if held is not None and not new[0]:
+            each = np.append(wanted, ~_known(at[new]))
+            keep &= each[steps]
+            runs = number + steps
+            last, wanted = _last(batch), bool(each[-1])
+            if held is not None and not new[0] and each[0]:
                 at, runs, keep = np.append(held, at), np.append(number, runs), np.append(True, keep)
             held, number = None if several else int(at[-1]), int(runs[-1])
             if keep.any():
@@ -418,7 +456,7 @@ def _bits(at: np.ndarray, distance: np.ndarray) -> pa.RecordBatch:
 
 
 def _equal_neighbours(rows: DataFrame, cover: Cover) -> DataFrame:
-    """(at, bits): the distances before each sampled suffix at which a string begins that another string equals.
+    """(at, bits): the distances before each sampled suffix of single pieces at which a string begins that another string equals.
 
     Equal strings have sampled suffixes equally far behind their begin that are neighbours in the order; they are compared by hashes
     of 64 bits of the bytes around. Of a run that goes on in the next batch one string of each kind is held, so runs of more than
@@ -446,7 +484,7 @@ def _equal_neighbours(rows: DataFrame, cover: Cover) -> DataFrame:
             again = ~first
             again[:-1] |= ~first[1:]
             # one that was shown before is held for the equal ones that may follow
-            show = again & ~told
+            show = again & ~told & ~_known(at)
             if show.any():
                 yield _bits(at[show], distance[show])
             stay = first & open_run
@@ -467,7 +505,8 @@ def _equal_in_long_runs(rows: DataFrame, cover: Cover) -> DataFrame:
 
     each = rows.mapInArrow(batches, "code bigint, at bigint, bits int")
     often = each.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("code")
-    return each.join(often, "code", "left_semi").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    unsure = each.filter(F.shiftright("at", PLACE).bitwiseAND(F.lit(1)) == 0)
+    return unsure.join(often, "code", "left_semi").groupBy("at").agg(F.bit_or("bits").alias("bits"))
 
 
 def _repeats(blocks: DataFrame, cover: Cover) -> DataFrame:
@@ -499,24 +538,23 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _piece_ranges(repeats: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(digest, ranges) of the pieces in which strings repeat: where those begin, counted from the piece."""
+    """(no, start, stop): ranges of a text's places at which repeated strings of single pieces begin."""
 
     def ranges(found: pa.Table, block: pa.Table) -> pa.Table:
-        digests, out = [], []
+        no, a, b = (np.zeros(0, np.int64),) * 3
         if found.num_rows and block.num_rows:
             place, bits = np.asarray(found.column("at")) & (1 << PLACE) - 1, np.asarray(found.column("bits"))
             begin = np.unique(np.concatenate([place[(bits >> d) & 1 == 1] - d for d in range(32)]))
-            places = np.asarray(block.column("places")[0].values)
-            piece = np.searchsorted(places, begin, "right") - 1
-            for p in np.unique(piece).tolist():
-                mine = begin[piece == p].astype(np.int64) - places[p]
-                a, b = merged(mine, mine + 1)
-                digests.append(block.column("digests")[0][p].as_py())
-                out.append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
-        return pa.table([pa.array(digests, pa.binary()), pa.array(out, _RANGES)], names=["digest", "ranges"])
+            places, numbers, begins = (np.asarray(block.column(c)[0].values) for c in ("places", "numbers", "begins"))
+            # the gap behind each piece parts the ranges of different pieces
+            a, b = merged(begin, begin + 1)
+            piece = np.searchsorted(places, a, "right") - 1
+            away = begins[piece].astype(np.int64) - places[piece]
+            no, a, b = numbers[piece], a + away, b + away
+        return pa.table([pa.array(no), pa.array(a), pa.array(b)], names=["no", "start", "stop"])
 
-    right = blocks.select("block", "places", "digests").groupBy("block")
-    return repeats.withColumn("block", F.shiftright("at", PLACE)).groupBy("block").cogroup(right).applyInArrow(ranges, f"digest binary, ranges {RANGES}")
+    right = blocks.select("block", "places", "numbers", "begins").groupBy("block")
+    return repeats.withColumn("block", F.shiftright("at", PLACE)).groupBy("block").cogroup(right).applyInArrow(ranges, "no bigint, start bigint, stop bigint")
 
 
 def digest_of(text: Column) -> Column:
@@ -539,20 +577,22 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     pieces = saved(_pieces(texts, repeated, length, repeated.count()), "pieces")
     named = saved(texts.select("no", "digest"), "numbers")
     forget(texts, repeated)
-    distinct = saved(pieces.groupBy("data", "digest").agg(F.sum("copies").alias("copies"), F.first("starts").alias("starts")), "distinct")
-    places = saved(pieces.select("no", "start", "digest"), "places")
+    first = [F.first(c).alias(c) for c in ("starts", "no", "start")]
+    distinct = saved(pieces.groupBy("data", "digest").agg(F.sum("copies").alias("copies"), *first), "distinct")
+    places = saved(pieces.select("no", "start", "starts", "digest"), "places")
     forget(pieces)
-    blocks = saved(_blocks(distinct.select("data", "starts", "digest")), "blocks")
     # of a piece that occurs several times all strings repeat
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("starts").cast("bigint").alias("stop")))
-    every = saved(distinct.filter("copies > 1").select("digest", whole.alias("ranges")), "every")
-    forget(distinct)
+    several = distinct.filter("copies > 1").withColumn("no", F.lit(None).cast("bigint"))
+    columns = ["no", "start", "starts", "data"]
+    blocks = saved(_blocks(_joined(distinct.filter("copies = 1")).select(*columns).unionAll(several.select(*columns))), "blocks")
+    known = saved(places.join(distinct.filter("copies > 1").select("digest"), "digest", "left_semi"), "known")
+    forget(distinct, places)
     repeats = _repeats(blocks, Cover.of(length))
     found = saved(_piece_ranges(repeats, blocks), "found")
     forget(repeats, blocks)
-    known = found.join(every.select("digest"), "digest", "left_anti").unionAll(every)
-    each = places.join(known, "digest").select("no", "start", F.explode("ranges").alias("r"))
-    spans = each.groupBy("no").agg(F.collect_list(F.struct((F.col("start") + F.col("r.start")).alias("start"), (F.col("start") + F.col("r.stop") + length - 1).alias("stop"))).alias("spans"))
+    whole = known.select("no", F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("starts")).cast("bigint").alias("stop"))
+    each = found.unionAll(whole).select("no", F.struct("start", (F.col("stop") + (length - 1)).alias("stop")).alias("r"))
+    spans = each.groupBy("no").agg(F.collect_list("r").alias("spans"))
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
@@ -563,7 +603,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, _RANGES)], names=["digest", "spans"])
 
     out = saved(spans.join(named, "no").select("digest", "spans").mapInArrow(batches, f"digest binary, spans {RANGES}"), "spans")
-    forget(named, places, every, found)
+    forget(named, known, found)
     return out
 
 
