@@ -5,7 +5,8 @@ put into order by their first `length` bytes:
 
 * suffixes are sampled by a difference cover: of every `period` neighbouring ones a few, so that of any two suffixes some pair of
   sampled ones lies equally far behind (less than a period). The sampled ones are sorted by a triple of eight-byte characters and
-  named by their place in that order;
+  named by their place in that order (of mixed characters, not of the alphabet: it makes equal triples neighbours all the same, and a
+  beginning that many suffixes share is no hot key);
 * recursion on the names: triples of names, sorted and named again, order the sampled suffixes by about three times as many bytes, until
   the names stand for nearly `length` bytes. A name that only one suffix has can be in no repeated string, so it is dropped;
 * the remaining suffixes are merged through the sampled ones that follow within a period: equal strings meet in one run of equal
@@ -303,16 +304,21 @@ def _first_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
                         key <<= np.uint64(8)
                         if b < cover.first:
                             key |= padded[pos + b]
-                    # signed numbers in the order of the bytes
-                    keys.append((key ^ np.uint64(1 << 63)).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(block << PLACE | pos)], names=[*KEYS, "at"])
+                    keys.append(key.view(np.int64))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, _mixed(keys)), pa.array(block << PLACE | pos)], names=[*KEYS, "at"])
 
     return blocks.select("block", "data", "places", "starts").mapInArrow(batches, ROWS)
 
 
+def _mixed(keys: list[np.ndarray]) -> list[np.ndarray]:
+    """The triples with a first number that depends on all three (one to one), so that sorting seldom needs the others."""
+    a, b, c = (k.view(np.uint64) for k in keys)
+    return [mix(a ^ mix(b ^ mix(c + np.uint64(_BASE)))).view(np.int64), keys[1], keys[2]]
+
+
 def _sorted(rows: DataFrame) -> DataFrame:
-    """Triples in order: ranges of triples in tasks, each sorted; of equal ones those first whose strings are not known to repeat."""
-    return rows.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS, F.shiftright("at", PLACE).bitwiseAND(F.lit(1)))
+    """Triples in order, equal ones in one task; of those first the ones whose strings are not known to repeat."""
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS, F.shiftright("at", PLACE).bitwiseAND(F.lit(1)))
 
 
 def _known(at: np.ndarray) -> np.ndarray:
@@ -366,19 +372,20 @@ def _named(rows: DataFrame) -> DataFrame:
 
 
 def _named_blocks(named: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Blocks with the names of their places (64-bit numbers, -1 where there is none); a block's names meet in one task."""
+    """Blocks with their named places (32-bit numbers) and names (64-bit numbers); a block's names meet in one task."""
 
     def whole(names: pa.Table, block: pa.Table) -> pa.Table:
         block = block.select(["block", "data", "places", "starts"])
-        if not names.num_rows or not block.num_rows:
-            return block.slice(0, 0).append_column("names", pa.array([], pa.binary()))
-        found = np.full(len(block.column("data")[0].as_buffer()), -1, np.int64)
-        found[np.asarray(names.column("at")) & (1 << PLACE) - 1] = np.asarray(names.column("name"))
-        return block.append_column("names", pa.array([found.tobytes()], pa.binary()))
+        found = [[], []]
+        if names.num_rows and block.num_rows:
+            pos = np.asarray(names.column("at")) & (1 << PLACE) - 1
+            found = [[pos.astype(np.int32).tobytes()], [np.asarray(names.column("name")).tobytes()]]
+        block = block.slice(0, len(found[0]))
+        return block.append_column("named", pa.array(found[0], pa.binary())).append_column("names", pa.array(found[1], pa.binary()))
 
     left = named.withColumn("block", F.shiftright("at", PLACE)).groupBy("block")
     right = blocks.select("block", "data", "places", "starts").groupBy("block")
-    return left.cogroup(right).applyInArrow(whole, "block bigint, data binary, places array<int>, starts array<int>, names binary")
+    return left.cogroup(right).applyInArrow(whole, "block bigint, data binary, places array<int>, starts array<int>, named binary, names binary")
 
 
 def _next_rows(named: DataFrame, one: int, two: int) -> DataFrame:
@@ -386,18 +393,20 @@ def _next_rows(named: DataFrame, one: int, two: int) -> DataFrame:
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
-            for block, found in zip(batch.column("block").to_pylist(), batch.column("names")):
-                pos, keys = _triples(np.frombuffer(found.as_buffer(), np.int64), one, two)
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                pos, keys = _triples(batch, i, one, two)
                 yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(block << PLACE | pos)], names=[*KEYS, "at"])
 
-    return named.select("block", "names").mapInArrow(batches, ROWS)
+    return named.select("block", "named", "names").mapInArrow(batches, ROWS)
 
 
-def _triples(names: np.ndarray, one: int, two: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    names = np.append(names, np.full(two, -1))
-    pos = np.flatnonzero(names[: len(names) - two] >= 0)
-    pos = pos[(names[pos + one] >= 0) & (names[pos + two] >= 0)]
-    return pos, [names[pos], names[pos + one], names[pos + two]]
+def _triples(batch: pa.RecordBatch, i: int, one: int, two: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The named places of block `i` whose followers are named too, and the (mixed) triples of names."""
+    pos = np.frombuffer(batch.column("named")[i].as_buffer(), np.int32).astype(np.int64)
+    names = np.full(int(pos.max()) + two + 1, -1, np.int64)
+    names[pos] = np.frombuffer(batch.column("names")[i].as_buffer(), np.int64)
+    pos = np.sort(pos[(names[pos + one] >= 0) & (names[pos + two] >= 0)])
+    return pos, _mixed([names[pos], names[pos + one], names[pos + two]])
 
 
 def _last_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
@@ -410,7 +419,7 @@ def _last_rows(blocks: DataFrame, cover: Cover) -> DataFrame:
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in them:
             for i, (block, data, places, starts) in enumerate(_places(batch)):
-                pos, keys = _triples(np.frombuffer(batch.column("names")[i].as_buffer(), np.int64), *cover.steps[-1])
+                pos, keys = _triples(batch, i, *cover.steps[-1])
                 piece = np.searchsorted(places, pos, "right") - 1
                 far = pos - places[piece]
                 lo, hi = np.maximum(0, far - starts[piece] + 1), np.minimum(before, far)
