@@ -1,14 +1,13 @@
-"""What several operators of this subpackage share: the shared folder, gapless numbers, Arrow passes."""
+"""What several operators of this subpackage share: the shared folder, broadcasts, gapless numbers."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 from weakref import WeakKeyDictionary
 
-import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallymark.session import delete_path, scratch_path
 
@@ -50,6 +49,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+_shared: list[Broadcast] = []
+
+
+def share(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that `unshare` takes from the executors once the results that use it were written."""
+    _shared.append(spark.sparkContext.broadcast(value))
+    return _shared[-1]
+
+
+def unshare() -> int:
+    """Take all broadcasts of `share` from the executors; a plan that still uses one fetches it from the driver again."""
+    n = len(_shared)
+    while _shared:
+        _shared.pop().unpersist()
+    return n
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that `saved` wrote, once all that was made from them is saved too."""
     for df in tables:
@@ -72,6 +88,14 @@ def fresh(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+def set_aside(df: DataFrame, results: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with its columns that are named like `results` under other names, and the name that each of its columns has now."""
+    taken, now = {c.lower() for c in results}, {}
+    for c in df.columns:
+        now[c] = fresh(f"own_{c}", [*df.columns, *results, *now.values()]) if c.lower() in taken else c
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in now.items()]), now
+
+
 def spread(*cols: Column) -> Column:
     """A block of three hexadecimal digits (4096 blocks) that a row's values alone decide; SQL engines agree on it."""
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
@@ -101,13 +125,3 @@ def repeated(df: DataFrame, copies: str, first: str, out: str) -> DataFrame:
     pieces = F.explode(F.expr(f"sequence(0L, (`{copies}` - 1) div {COPIES})"))
     each = F.explode(F.expr(f"sequence(`{first}` + `{piece}` * {COPIES}, `{first}` + least(`{copies}`, (`{piece}` + 1) * {COPIES}) - 1)"))
     return df.withColumn(piece, pieces).withColumn(out, each).drop(piece)
-
-
-def arrow_pass(df: DataFrame, columns: Sequence[str], fields: T.StructType, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """`rows` over the Arrow batches of `columns`: a narrow pass that keeps no more than a batch."""
-
-    def batches(them):
-        for batch in them:
-            yield from rows(batch)
-
-    return df.select(*columns).mapInArrow(batches, fields)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import saved
+from tallymark.llm.common import forget, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         if known == state or not known[0]:
             break
         state = known
-        now = saved(_star(_star(now, True), False), "edges")
+        before, now = now, saved(_star(_star(now, True), False), "edges")
+        forget(before)
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots.select(F.col("b").alias("id"), F.col("b").alias("component")))

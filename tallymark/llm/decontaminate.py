@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import LOWER, UPPER, saved
+from tallymark.llm.common import LOWER, UPPER, saved, set_aside, share
 from tallymark.llm.words import ALPHANUMERIC, hash_words, slices, windows
 
 WIDTH = 10
@@ -113,7 +113,7 @@ def mark(
 ) -> DataFrame:
     """`docs` with n_words, hits (ranges of hit words, from 0, merged) and items (their identifiers as sorted strings).
 
-    A null or empty text, or one without words, has no hits; an item without words is never found. Items of fewer words than
+    An item without an identifier marks words but adds no item. A null or empty text, or one without words, has no hits; an item without words is never found. Items of fewer words than
     `width` are one window. Repeated rows get equal results; columns of `docs` named like the results are replaced.
     """
     spark = docs.sparkSession
@@ -124,7 +124,7 @@ def mark(
         if shared is not None:  # no worker holds more than one block
             out = saved(out, "marked")
             shared.unpersist()
-        shared = spark.sparkContext.broadcast(index)
+        shared = share(spark, index)
         out = _lookup(out, text, shared)
     return out
 
@@ -160,13 +160,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     if remove == "documents":
-        marked = mark(docs, benchmark, text, **options)
-        return marked.filter(F.size("hits") == 0).select(*docs.columns)
+        rows, now = set_aside(docs, ("n_words", "hits", "items"))
+        clean = mark(rows, benchmark, now[text], **options).filter(F.size("hits") == 0)
+        return clean.select(*[F.col(f"`{n}`").alias(c) for c, n in now.items()])
     found = _blocks(benchmark, options.get("item", "item_id"), options.get("item_text", "text"), options.get("width", WIDTH))
     index = next(found)
     if next(found, None) is not None:
         return _cut_in_rounds(docs, benchmark, text, options)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = share(docs.sparkSession, index)
 
     def batches(them):
         index = shared.value

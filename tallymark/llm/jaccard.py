@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import fresh, saved
+from tallymark.llm.common import forget, fresh, saved, share
 from tallymark.llm.components import components
 from tallymark.llm.words import SPACED, hash_words, mix, slices, windows
 
@@ -262,7 +262,9 @@ def _verified(docs: DataFrame, text: str, pairs: DataFrame, like: Likeness) -> D
     x, y = (sets.select(F.col("set_id").alias(k), F.col("shingles").alias(s)) for k, s in (("a", "x"), ("b", "y")))
     common = F.size(F.array_intersect("x", "y"))
     linked = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").withColumn("common", common)
-    return linked.filter(F.col("common") * (like.den + like.num) >= (F.size("x") + F.size("y")) * like.num).select("a", "b")
+    out = saved(linked.filter(F.col("common") * (like.den + like.num) >= (F.size("x") + F.size("y")) * like.num).select("a", "b"), "verified")
+    forget(pairs, sets)
+    return out
 
 
 def _across(lists: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
@@ -301,7 +303,7 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     spark = docs.sparkSession
     sizes = rows.filter(F.col("n_shingles").between(1, 2 * SMALLEST_LARGE)).groupBy("n_shingles").count().collect()
     boundary = best_boundary(like, {r[0]: r[1] for r in sizes})
-    entries = _entries(docs, text, like, boundary, spark.sparkContext.broadcast(_frequent(frequent)))
+    entries = _entries(docs, text, like, boundary, share(spark, _frequent(frequent)))
     sketches = rows.filter("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
 
     # lists with at least two sets; copies of a set count once (sides that grow with the corpus are never broadcast)
@@ -333,11 +335,13 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     grouped = large.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     apart = grouped.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     rest = saved(grouped.join(apart.filter("lo < hi and rows > 2").select("token", "rows"), "token"), "rest")
+    forget(members)
     light = rest.filter(F.col("rows") <= LIGHT)
     near = light.alias("a").join(light.alias("b"), "token").filter("a.component < b.component").filter(_fits(like)).select(*ordered).distinct()
     more = _near_sketches(near, sketches, like).unionAll(_across(rest.filter(F.col("rows") > LIGHT).drop("rows"), sketches, like)).distinct()
     tested = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = _verified(docs, text, more.join(tested, ["a", "b"], "left_anti"), like)
+    forget(rest)
     return links.unionAll(second)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import fresh, saved
+from tallymark.llm.common import fresh, saved, share
 from tallymark.llm.words import column_bytes, slices
 
 FEATURES = 1 << 13
@@ -207,7 +207,9 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", families: Mapping
 
         def machine(some: pd.DataFrame) -> pd.DataFrame:
             some = some.sort_values(["side", "text"])
-            x = np.stack([shares(t.encode()) for t in some["text"]]).astype(np.float32)
+            x = np.empty((len(some), FEATURES), np.float32)
+            for i, t in enumerate(some["text"]):
+                x[i] = shares(t.encode())
             w, b = _svm(x, some["side"].to_numpy(np.float32))
             return pd.DataFrame({"pair": [int(some["pair"].iloc[0])], "weights": [w.tolist()], "intercept": [b]})
 
@@ -223,7 +225,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", out: str = "lang_pr
     A null text, or one without a letter of any script, is `und` with score 0, as is every text if no language was learned. Rows are judged one by
     one, so repeated rows get equal results; columns of `df` named like the results are replaced. Rows don't move.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = share(df.sparkSession, model)
     base = df.drop(*[c for c in df.columns if c.lower() in (out.lower(), score.lower())])
     letter = fresh("has_letter", [*base.columns, out, score])
     marked = base.withColumn(letter, F.coalesce(F.col(f"`{text}`").rlike(LETTER), F.lit(False)))

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import numbered
+from tallymark.llm.common import fresh, numbered, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUDGET, BUCKETS = 8192, 8
@@ -64,24 +64,26 @@ def pack(df: DataFrame, key: str, length: str, budget: int = BUDGET, buckets: in
 
     A row longer than the budget is a batch of its own in the bucket after the last, unpadded; no row is cut or dropped. Every
     other batch holds as many rows as fit the budget at its bucket's padded length. A null length counts as 0, and rows of length 0 take the shortest bucket; keys
-    may be null or repeat (equal rows get places of their own). An empty table gives an empty one.
+    may be null or repeat (equal rows get places of their own). An empty table gives an empty one. A result whose name the key or
+    length has gets underscores before its own.
     """
-    rows = df.select(F.col(f"`{key}`"), F.greatest(F.coalesce(F.col(f"`{length}`").cast("bigint"), F.lit(0)), F.lit(0)).alias(length))
-    histogram = rows.filter(F.col(length) <= budget).groupBy(length).agg(F.count(F.lit(1))).collect()
+    # a key or length named like a result keeps its values: results are made under names of their own
+    rows = saved(df.select(F.col(f"`{key}`").alias("k"), F.greatest(F.coalesce(F.col(f"`{length}`").cast("bigint"), F.lit(0)), F.lit(0)).alias("n")), "lengths")
+    histogram = rows.filter(F.col("n") <= budget).groupBy("n").agg(F.count(F.lit(1))).collect()
     ends = bucket_lengths([(r[0], r[1]) for r in histogram], buckets)
     bucket = F.lit(len(ends))
-    padded = F.col(length)
+    padded = F.col("n")
     for i in range(len(ends) - 1, -1, -1):
-        bucket = F.when(F.col(length) <= ends[i], F.lit(i)).otherwise(bucket)
-        padded = F.when(F.col(length) <= ends[i], F.lit(ends[i]).cast("bigint")).otherwise(padded)
+        bucket = F.when(F.col("n") <= ends[i], F.lit(i)).otherwise(bucket)
+        padded = F.when(F.col("n") <= ends[i], F.lit(ends[i]).cast("bigint")).otherwise(padded)
     marked = rows.withColumns({"bucket": bucket, "padded_length": padded})
-    placed = numbered(marked, "bucket", [key, length], "place")
+    placed = numbered(marked, "bucket", ["k", "n"], "slot")
     held = F.greatest(F.floor(F.lit(budget) / F.greatest("padded_length", F.lit(1))), F.lit(1)).cast("bigint")
-    return placed.select(
-        key, length, "bucket", "padded_length", F.expr("place").alias("slot"), held.alias("held")
-    ).select(
-        key, length, "bucket", "padded_length",
-        F.expr("slot div held").alias("batch"), F.expr("slot % held").alias("place"),
+    results = ["bucket", "padded_length", "batch", "place"]
+    names = [fresh(c, [key, length]) for c in results]
+    return placed.withColumn("held", held).select(
+        F.col("k").alias(key), F.col("n").alias(length), F.col("bucket").alias(names[0]), F.col("padded_length").alias(names[1]),
+        F.expr("slot div held").alias(names[2]), F.expr("slot % held").alias(names[3]),
     )
 
 

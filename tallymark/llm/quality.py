@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import fresh, joined_small, saved
+from tallymark.llm.common import fresh, joined_small, saved, share
 from tallymark.llm.shrinkage import posteriors
 from tallymark.llm.words import ALPHANUMERIC, column_bytes, hash_words, mix, slices
 
@@ -33,6 +33,9 @@ SHAPES = ("upper", "symbols", "repeated", "length", "spaces")
 ROUNDS = 30
 #: Ridge penalty of a weight, in rows.
 PENALTY = 0.5
+RESULTS = ("evidence", "site_outcomes", "site_rate", "bad_probability", "keep")
+#: Rows that a Newton step takes at once.
+CHUNK = 1024
 
 _SYMBOLS = np.zeros(256, np.uint64)
 _marks = [b for b in range(0x21, 0x7F) if not chr(b).isalnum()]
@@ -102,23 +105,37 @@ class Model:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic model with a small ridge penalty, by damped Newton steps."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    ridge = np.full(x.shape[1], PENALTY)
+    """Weights and intercept of a logistic model with a small ridge penalty, by damped Newton steps.
+
+    Sums go over chunks of rows, so no copy of the whole matrix is made.
+    """
+    n, width = x.shape
+    ridge = np.full(width + 1, PENALTY)
     ridge[-1] = 1e-9
-    w = np.zeros(x.shape[1])
+    w = np.zeros(width + 1)
+
+    def chunks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for lo in range(0, n, CHUNK):
+            part = np.ones((min(CHUNK, n - lo), width + 1))
+            part[:, :-1] = x[lo : lo + CHUNK]
+            yield part, y[lo : lo + CHUNK]
 
     def loss(w: np.ndarray) -> float:
-        return float(np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum() + 0.5 * (ridge * w * w).sum())
+        rows = sum(float(np.logaddexp(0, np.where(some > 0, -1, 1) * (part @ w)).sum()) for part, some in chunks())
+        return rows + 0.5 * float((ridge * w * w).sum())
 
     now = loss(w)
     for _ in range(ROUNDS):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6), x.T @ (y - p) - ridge * w)
-        part = 1.0
-        while part > 1e-3 and loss(w + part * step) > now:
-            part /= 2
-        w = w + part * step
+        bend, slope = np.diag(ridge + 1e-6), -ridge * w
+        for part, some in chunks():
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            bend += (part * (p * (1 - p))[:, None]).T @ part
+            slope += part.T @ (some - p)
+        step = np.linalg.solve(bend, slope)
+        size = 1.0
+        while size > 1e-3 and loss(w + size * step) > now:
+            size /= 2
+        w = w + size * step
         before, now = now, loss(w)
         if before - now < 1e-6 * max(now, 1.0):
             break
@@ -155,7 +172,7 @@ def fit(docs: DataFrame, outcomes: DataFrame, key: str, text: str, rows: int = S
     features_in = np.sort(np.array(best))
 
     def train(some: pd.DataFrame) -> pd.DataFrame:
-        x = np.zeros((len(some), len(features_in)), np.float32)
+        x = np.zeros((len(some), len(features_in)), np.int8)
         for i, found in enumerate(some["found"]):
             x[i, np.flatnonzero(np.isin(features_in, found))] = 1
         w, b = _logistic(x, some["is_bad"].to_numpy(np.float32))
@@ -190,9 +207,8 @@ def classify(
     named like the results are replaced. No text is shuffled unless there are more than 100,000 sites.
     """
     outcomes = saved(document_outcomes(labels, key), "outcomes")
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, outcomes, key, text))
-    results = ["evidence", "site_outcomes", "site_rate", "bad_probability", "keep"]
-    base = docs.drop(*[c for c in docs.columns if c.lower() in results])
+    model = share(docs.sparkSession, fit(docs, outcomes, key, text))
+    base = docs.drop(*[c for c in docs.columns if c.lower() in RESULTS])
     host, path = fresh("host", base.columns), fresh("path", base.columns)
     host_of, path_of = site(F.col(f"`{source}`"))
     counted = docs.select(key, host_of.alias(host), path_of.alias(path)).join(outcomes, key, "left").groupBy(host, path).agg(
@@ -213,7 +229,7 @@ def classify(
     judged = joined_small(scored, rates, [host, path])
     odds = F.col("evidence") + F.log(F.col("site_rate") / (1 - F.col("site_rate")))
     return judged.withColumn("bad_probability", 1 / (1 + F.exp(-odds))).withColumn("keep", F.col("bad_probability") < threshold).select(
-        *base.columns, *results
+        *base.columns, *RESULTS
     )
 
 

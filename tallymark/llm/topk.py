@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import saved
+from tallymark.llm.common import saved, share
 
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 4_096
@@ -204,7 +204,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
     for dims in {r["dims"] for r in pilot}:
         own = [r for r in pilot if r["dims"] == dims]
         known[dims] = (np.array([r["vec_id"] for r in own]), np.array([r["x"] for r in own], np.float64))
-    shared = spark.sparkContext.broadcast(known)
+    shared = share(spark, known)
 
     def first_bars(batches):
         for batch in batches:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1

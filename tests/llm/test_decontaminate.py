@@ -94,3 +94,10 @@ def test_spans_of_a_benchmark_of_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(d, "BLOCK_WINDOWS", -(-d.benchmark_windows(bench, "item_id", "text", d.WIDTH).count() // 3))
     cut = d.decontaminate(df, bench, remove="spans")
     assert cut.columns == df.columns and sorted(map(repr, cut.collect())) == whole
+
+
+def test_columns_named_like_results_come_back(spark):
+    docs, items, _, bench = tables(spark)
+    df = spark.createDataFrame([(d[0], d[1], i, -i) for i, d in enumerate(docs)], "hits bigint, items string, n_words int, own_hits int")
+    kept = d.decontaminate(df, bench, text="items")
+    assert kept.columns == df.columns and set(map(tuple, kept.collect())) <= set(map(tuple, df.collect())) and 0 < kept.count() < df.count()

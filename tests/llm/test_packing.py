@@ -49,3 +49,10 @@ def test_documents_with_nulls_and_long_texts(spark):
     got = {r.doc_id: (r.n_tokens, r.bucket) for r in pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {k: v[0] for k, v in got.items()} == {1: 0, 2: 0, 3: 2, 4: 9000, None: 1}
     assert got[4][1] == 3
+
+
+def test_keys_named_like_results(spark):
+    df = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "bucket int, place int")
+    out = pack(df, "bucket", "place", budget=20, buckets=2)
+    assert out.columns == ["bucket", "place", "_bucket", "padded_length", "batch", "_place"]
+    assert sorted((r.bucket or 0, r.place) for r in out.collect()) == [(0, 7), (1, 5), (2, 6)]

@@ -3,6 +3,7 @@
 import pytest
 
 import corpus_pipeline
+from tallymark.llm import common
 from tallymark.llm.common import saved, table
 from test_decontaminate import brute as hits
 from test_jaccard import shingles
@@ -69,3 +70,13 @@ def test_packing_covers_every_document(stages):
         if r.n_tokens <= 8192:
             histogram[r.n_tokens] = histogram.get(r.n_tokens, 0) + 1
     assert len(ends) <= 8 and sum(r.padded_length - r.n_tokens for r in out) == padding(list(histogram.items()), ends)
+
+
+def test_stages_leave_other_columns_alone_and_release_broadcasts(spark):
+    docs = table(spark, SMALL, "documents").selectExpr("*", "'a' AS keep", "'b' AS evidence", "'c' AS predicted_lang", "'d' AS hits")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = saved(stage(spark, docs, SMALL), name)
+        assert docs.columns == [*COLUMNS, "keep", "evidence", "predicted_lang", "hits"]
+        assert docs.count() > 0 and docs.filter("keep = 'a' AND evidence = 'b' AND predicted_lang = 'c' AND hits = 'd'").count() == docs.count()
+        assert len(common._shared) <= 1
+    assert common.unshare() <= 1 and common.unshare() == 0
