@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import decontaminate, jaccard, language, packing, quality
-from tallymark.llm.common import saved, table
+from tallymark.llm.common import forget, fresh, saved, set_aside, table, unshare
 
 #: A text whose language is less certain than this is rejected, as is one without a letter.
 LEAST_SCORE = 0.3
@@ -16,27 +16,35 @@ NEAR = jaccard.Likeness(width=5, num=80, den=100)
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; the machines learn from the documents' own `lang`."""
-    found = language.predict(docs, language.fit(docs), out="predicted_lang", score="predicted_score")
-    return found.filter((F.col("predicted_lang") != language.UNKNOWN) & (F.col("predicted_score") >= LEAST_SCORE)).select(*docs.columns)
+    unshare()
+    out, score = (fresh(c, docs.columns) for c in ("predicted_lang", "predicted_score"))
+    found = language.predict(docs, language.fit(docs), out=out, score=score)
+    return found.filter((F.col(out) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely good than of low quality or toxic."""
-    return quality.classify(docs, table(spark, sf_dir, "labels")).filter("keep").select(*docs.columns)
+    unshare()
+    rows, now = set_aside(docs, quality.RESULTS)
+    kept = quality.classify(rows, table(spark, sf_dir, "labels")).filter("keep")
+    return kept.select(*[F.col(f"`{n}`").alias(c) for c, n in now.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    unshare()
     return jaccard.one_of_each(docs, like=NEAR)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    unshare()
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and each document's bucket, batch and place."""
+    unshare()
     return packing.pack_documents(docs)
 
 
@@ -55,7 +63,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = saved(docs, name)
+            forget(before)
     return docs
