@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallymark.functions.columns import outcome_type
 from tallymark.operators import features as feats
-from tallymark.operators import interpret
+from tallymark.operators import interpret, newton
 from tallymark.operators import metrics as met
 from tallymark.operators import prepare as prep
 from tallymark.operators.models import CATALOG, DUMMY, GRIDS, Family, MajorityClass, positive_score
@@ -601,3 +601,58 @@ def cleaning_sensitivity(spark, sf):
     folded = _folded(train)
     variants = {"kept": folded, "fenced": diag.without_outliers(folded, ["n_chars", "n_words"])}
     return diag.sensitivity(variants, LOGISTIC, STAGES)
+
+
+# ------------------------------------------------------------------ batched logistic fits
+#: Penalties and class weights of the models that `batched_logistic` fits together.
+_RIDGES, _WEIGHTS = (0.1, 10.0), ((1.0, 1.0), (1.0, 2.5))
+_NEWTON_STEPS = 9
+
+
+def _batched_logistic_sql() -> str:
+    """The same models by plain Newton steps from zero: sums over the rows, then Cramer's rule for the three unknowns."""
+    steps = ["b0 AS (SELECT g, m, c, w, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b0 FROM models)"]
+    for k in range(_NEWTON_STEPS):
+        steps.append(f"""s{k} AS (
+  SELECT g, m, c, w, b1, b2, b0, sum(v * (p - y) * x1) + c * b1 AS g1, sum(v * (p - y) * x2) + c * b2 AS g2, sum(v * (p - y)) AS g3,
+    sum(v * p * (1 - p) * x1 * x1) + c AS a, sum(v * p * (1 - p) * x1 * x2) AS d, sum(v * p * (1 - p) * x1) AS e,
+    sum(v * p * (1 - p) * x2 * x2) + c AS f, sum(v * p * (1 - p) * x2) AS h, sum(v * p * (1 - p)) AS i
+  FROM (SELECT b{k}.*, y, x1, x2, CASE WHEN y = 1 THEN w ELSE 1 END AS v, 1 / (1 + exp(-(b1 * x1 + b2 * x2 + b0))) AS p FROM b{k} JOIN lines USING (g))
+  GROUP BY g, m, c, w, b1, b2, b0
+), b{k + 1} AS (
+  SELECT g, m, c, w, b1 - (g1 * (f * i - h * h) - d * (g2 * i - h * g3) + e * (g2 * h - f * g3)) / det AS b1,
+    b2 - (a * (g2 * i - h * g3) - g1 * (d * i - h * e) + e * (d * g3 - g2 * e)) / det AS b2,
+    b0 - (a * (f * g3 - g2 * h) - d * (d * g3 - g2 * e) + g1 * (d * h - f * e)) / det AS b0
+  FROM (SELECT *, a * (f * i - h * h) - d * (d * i - h * e) + e * (d * h - f * e) AS det FROM s{k})
+)""")
+    models = " UNION ALL ".join(
+        f"SELECT {g} AS g, {i * len(_WEIGHTS) + j} AS m, {c!r}::DOUBLE AS c, {w[1]!r}::DOUBLE AS w"
+        for g in (1, 2, 3) for i, c in enumerate(_RIDGES) for j, w in enumerate(_WEIGHTS)
+    )
+    return f"""
+WITH lines AS (
+  SELECT l_linenumber AS g, (l_returnflag = 'R')::INT AS y, l_quantity::DOUBLE / 50 AS x1, l_discount::DOUBLE * 10 AS x2
+  FROM lineitem WHERE l_linenumber <= 3
+), models AS ({models}), {", ".join(steps)}
+SELECT g::INT AS part, m::INT AS model, round(b1, 6) AS quantity, round(b2, 6) AS discount, round(b0, 6) AS intercept FROM b{_NEWTON_STEPS}
+"""
+
+
+@query(_batched_logistic_sql())
+def batched_logistic(spark, sf):
+    """Twelve logistic models of returned lines, four on each of three parts of the table, in one job a Newton step."""
+    lines = table(spark, sf, "lineitem").filter("l_linenumber <= 3").select(
+        F.col("l_linenumber").cast("int").alias("group"), (F.col("l_returnflag") == "R").cast("double").alias("y"),
+        F.array(F.col("l_quantity").cast("double") / 50, F.col("l_discount").cast("double") * 10).alias("x"),
+    )
+    tasks = [
+        newton.Task((g, i * len(_WEIGHTS) + j), g, c, w)
+        for g in (1, 2, 3) for i, c in enumerate(_RIDGES) for j, w in enumerate(_WEIGHTS)
+    ]
+    with sel.held(lines) as (kept,):
+        fitted = newton.fit_many(kept, tasks)
+    rows = [
+        {"part": g, "model": m, "quantity": round(f.coefficients[0], 6), "discount": round(f.coefficients[1], 6), "intercept": round(f.intercept, 6)}
+        for (g, m), f in fitted.items()
+    ]
+    return local_frame(spark, rows, T.StructType.fromDDL("part int, model int, quantity double, discount double, intercept double"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.operators import newton
 from tallymark.operators.metrics import METRICS, evaluate
 from tallymark.operators.models import Family, positive_score
 from tallymark.operators.ordering import class_counts, fit_cuts, local_frame
@@ -102,8 +103,12 @@ def cross_validate(
 ) -> list[dict[str, Any]]:
     """Metrics of every model on every fold: rows with model, fold, part, fit_time and metrics.
 
-    ``stages`` is a function that returns fresh feature stages.
+    ``stages`` is a function that returns fresh feature stages. Several logistic models are fitted together (`fit_batch`).
     """
+    if len(models) > 1 and _batched(models):
+        rows = _batched_folds(models, stages, df, y, fold, train_scores, parallelism)
+        if rows is not None:
+            return rows
     with held(df) as (kept,):
         folds = sorted(r[0] for r in kept.select(fold).distinct().collect())
 
@@ -123,6 +128,69 @@ def cross_validate(
         return [r for rows in _parallel(folds, work, parallelism) for r in rows]
 
 
+def _batched(models: Mapping[str, Family]) -> bool:
+    return len(models) > 0 and all(m.name == "logistic_regression" for m in models.values())
+
+
+def fit_batch(
+    models: Mapping[str, Family], groups: Mapping[int, Mapping[str, DataFrame]], y: str
+) -> dict[tuple[int, str, str], dict[str, Any]] | None:
+    """Metrics by (group, model, part) of logistic models, each fitted on the "train" part of every group.
+
+    ``groups`` holds frames of ``y`` and ``features``. All models of all groups share the jobs (one a Newton step and one that
+    evaluates). None if some group has not both classes; the models then need fits of their own. The fit time is each model's share.
+    """
+    train = newton.grouped_rows({g: parts["train"] for g, parts in groups.items()}, y)
+    with held(train) as (train,):
+        counts: dict[int, dict[float, int]] = {g: {} for g in groups}
+        for r in train.groupBy("group", "y").count().collect():
+            counts[r["group"]][r["y"]] = r["count"]
+        if any(set(c) != {0.0, 1.0} for c in counts.values()):
+            return None
+        tasks = []
+        for g, c in counts.items():
+            n = sum(c.values())
+            for name, family in models.items():
+                balanced = family.params.get("weight") == "balanced"
+                weights = (n / (2 * c[0.0]), n / (2 * c[1.0])) if balanced else (1.0, 1.0)
+                tasks.append(newton.Task((g, name), g, 1.0 / family.params.get("C", 1.0), weights))
+        start = time.perf_counter()
+        fitted = newton.fit_many(train, tasks)
+        seconds = (time.perf_counter() - start) / len(tasks)
+        scored = []
+        for part in sorted({p for parts in groups.values() for p in parts}):
+            rows = train if part == "train" else newton.grouped_rows({g: f[part] for g, f in groups.items() if part in f}, y)
+            scored.append(newton.score_many(rows, tasks, fitted).withColumn("part", F.lit(part)))
+        table = evaluate(reduce(DataFrame.unionAll, scored), "y", by=["task", "part"]).collect()
+    out = {}
+    for r in table:
+        row = r.asDict()
+        (g, name), part = tasks[row.pop("task")].name, row.pop("part")
+        out[g, name, part] = {"fit_time": seconds, "rows": sum(counts[g].values()), **row}
+    return out
+
+
+def _batched_folds(models, stages, df, y, fold, train_scores, parallelism) -> list[dict[str, Any]] | None:
+    """``cross_validate`` for logistic models: features are fitted fold by fold, the models of all folds together."""
+    with held(df) as (kept,):
+        folds = sorted(r[0] for r in kept.select(fold).distinct().collect())
+
+        def work(i):
+            inside, outside = kept.filter(F.col(fold) != i), kept.filter(F.col(fold) == i)
+            features = Pipeline(stages=list(stages())).fit(inside)
+            return {p: features.transform(f).select(y, "features") for p, f in (("train", inside), ("test", outside))}
+
+        groups = dict(enumerate(_parallel(folds, work, parallelism)))
+        found = fit_batch(models, groups, y)
+    if found is None:
+        return None
+    parts = ("test", "train") if train_scores else ("test",)
+    return [
+        {"model": name, "fold": i, "part": p, **{k: v for k, v in found[g, name, p].items() if k != "rows"}}
+        for g, i in enumerate(folds) for name in models for p in parts if (g, name, p) in found
+    ]
+
+
 SCORE_SCHEMA = T.StructType(
     [
         T.StructField("model", T.StringType()),
@@ -346,7 +414,23 @@ def learning_curve(
             return step, sum(counts.values()), *scores, seconds["model"]
 
         tasks = [(i, step) for i in folds for step in range(len(fractions))]
-        rows = _parallel(tasks, work, parallelism)
+        rows = None
+        if _batched({"model": family}):
+
+            def parts_of(task):
+                i, step = task
+                part, outside = ordered[i].filter(F.col("__step") <= step), kept.filter(F.col(fold) == i)
+                features = Pipeline(stages=list(stages())).fit(part)
+                return {p: features.transform(f).select(y, "features") for p, f in (("train", part), ("test", outside))}
+
+            found = fit_batch({"model": family}, dict(enumerate(_parallel(tasks, parts_of, parallelism))), y)
+            if found is not None:
+                rows = [
+                    (step, found[g, "model", "train"]["rows"], found[g, "model", "train"][metric], found[g, "model", "test"][metric], found[g, "model", "test"]["fit_time"])
+                    for g, (_, step) in enumerate(tasks)
+                ]
+        if rows is None:
+            rows = _parallel(tasks, work, parallelism)
     out = []
     for step, fraction in enumerate(fractions):
         mine = [r for r in rows if r[0] == step]
