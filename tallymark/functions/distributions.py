@@ -72,3 +72,26 @@ def signed_rank_two_sided(
     if variance <= 0:
         return None
     return math.erfc(abs(w - total / 2.0) / math.sqrt(variance) / math.sqrt(2.0))
+
+
+def tied_signed_rank_two_sided(w_plus: float | None, doubled: list[int], counts: list[int]) -> float | None:
+    """Two-sided exact p-value of the signed-rank statistic with ties.
+
+    ``doubled`` holds twice the mid-rank of each group of equal absolute differences (a whole number), ``counts`` their number. Under the
+    null every difference has either sign alike, so the ways to reach a sum are counted group by group, with binomial weights.
+    """
+    if w_plus is None or not counts:
+        return None
+    total = sum(r * c for r, c in zip(doubled, counts))
+    ways = [1] + [0] * total
+    top = 0
+    for rank, count in zip(doubled, counts):
+        chosen = [math.comb(count, k) for k in range(count + 1)]
+        fresh = [0] * (total + 1)
+        for s in range(top + 1):
+            if ways[s]:
+                for k, many in enumerate(chosen):
+                    fresh[s + k * rank] += ways[s] * many
+        ways, top = fresh, top + rank * count
+    low = min(round(2 * w_plus), total - round(2 * w_plus))
+    return min(1.0, 2.0 * (sum(ways[: low + 1]) / 2 ** sum(counts)))

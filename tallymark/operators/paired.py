@@ -28,8 +28,8 @@ def paired_tests(
     """Paired t-test and signed-rank test of a against b, one row per group.
 
     ``by…, pairs, mean_difference, t, paired_t_pvalue, w_plus, w_minus, wilcoxon_pvalue, wilcoxon_method``; a
-    test that cannot be made is null. ``method`` is "exact" (null for groups with ties or zero differences),
-    "normal", or "auto": exact up to ``exact_limit`` differences without ties; ``wilcoxon_method`` tells which one was used. Absolute differences are ranked through their counts and running totals, so
+    test that cannot be made is null. Zero differences are left out of the ranks. ``method`` is "exact" (of groups with ties or zero
+    differences only those of at most ``exact_limit`` differences, counted over their mid-ranks; larger ones are null), "normal", or "auto": exact up to ``exact_limit`` differences without ties; ``wilcoxon_method`` tells which one was used. Absolute differences are ranked through their counts and running totals, so
     a group of any size is spread over tasks.
     """
     if not by:
@@ -40,6 +40,7 @@ def paired_tests(
     by = list(by)
     t_tail = distributions.t_two_sided
     rank_tail = distributions.signed_rank_two_sided
+    tied_tail = distributions.tied_signed_rank_two_sided
 
     @F.pandas_udf("double")
     def t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
@@ -57,6 +58,16 @@ def paired_tests(
             dtype="float64",
         )
 
+    @F.pandas_udf("double")
+    def tied_pvalue(w: pd.Series, ranks: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                tied_tail(float(x), [int(v) for v in r], [int(v) for v in c]) if pd.notna(x) and r is not None else None
+                for x, r, c in zip(w, ranks, counts)
+            ],
+            dtype="float64",
+        )
+
     diffs = df.select(
         *by, (F.col(a).cast("double") - F.col(b).cast("double")).alias("d")
     ).filter(F.col("d").isNotNull())
@@ -77,6 +88,10 @@ def paired_tests(
         F.sum(rank * F.col("down")).alias("w_minus"),
         F.sum(count * count * count - count).alias("ties"),
         F.max("all").alias("largest"),
+        # whole for groups of at most exact_limit differences, and never longer than that
+        F.collect_list(
+            F.when(F.col("cum_all") <= exact_limit, F.struct((2 * rank).cast("bigint").alias("rank"), F.col("all").alias("count")))
+        ).alias("cells"),
     )
     means = diffs.groupBy(*by).agg(
         F.count("d").alias("pairs"),
@@ -93,14 +108,19 @@ def paired_tests(
     )
     tied = (F.col("largest") > 1) | (F.col("nonzero") < F.col("pairs"))
     if method == "exact":
-        exact, possible = ~tied, ~tied
+        exact = ~tied | (F.col("nonzero") <= exact_limit)
+        possible = exact
     else:
         exact = ~tied & (F.col("nonzero") <= exact_limit) & F.lit(method == "auto")
         possible = F.lit(True)
+    pvalue = rank_pvalue("w_plus", "nonzero", "ties", ~exact)
+    if method == "exact":
+        cells = F.when(tied & exact, F.col("cells"))
+        pvalue = F.coalesce(tied_pvalue("w_plus", F.transform(cells, lambda c: c["rank"]), F.transform(cells, lambda c: c["count"])), F.when(~tied, pvalue))
     return joined.withColumn("t", t).select(
         *by, "pairs", "mean_difference", "t",
         t_pvalue(F.col("t"), (F.col("pairs") - 1).cast("double")).alias("paired_t_pvalue"),
         "w_plus", "w_minus",
-        F.when(possible, rank_pvalue("w_plus", "nonzero", "ties", ~exact)).alias("wilcoxon_pvalue"),
+        F.when(possible, pvalue).alias("wilcoxon_pvalue"),
         F.when(F.col("nonzero") > 0, F.when(exact, "exact").when(possible, "normal")).alias("wilcoxon_method"),
     )
