@@ -514,9 +514,11 @@ def calibrated_scores(spark, sf):
 
 
 @query(
+    "SELECT *, round(100 * (fp + fn)::DOUBLE / n, 6) AS error_pct, round(fn::DOUBLE / nullif(fn + tp, 0), 6) AS miss_rate, "
+    "round(fp::DOUBLE / nullif(fp + tn, 0), 6) AS false_alarm_rate FROM ("
     f"SELECT o_orderpriority, round_price, CAST(grouping(o_orderpriority, round_price) AS BIGINT) AS level, "
     f"count(*) AS n, {_CELLS} FROM (SELECT *, floor(o_totalprice / 100000)::BIGINT AS round_price "
-    f"FROM ({ORDERS_SQL})) GROUP BY CUBE (o_orderpriority, round_price)"
+    f"FROM ({ORDERS_SQL})) GROUP BY CUBE (o_orderpriority, round_price))"
 )
 def subgroup_errors(spark, sf):
     rows = scored_orders(spark, sf).withColumn(
@@ -524,7 +526,7 @@ def subgroup_errors(spark, sf):
     )
     out = met.subgroup_errors(rows, ["o_orderpriority", "round_price"], cube=True)
     return out.select("o_orderpriority", "round_price", F.col("level").cast("bigint").alias("level"),
-                      "n", "tn", "fp", "fn", "tp")
+                      "n", "tn", "fp", "fn", "tp", *[F.round(c, 6).alias(c) for c in ("error_pct", "miss_rate", "false_alarm_rate")])
 
 
 @query(
