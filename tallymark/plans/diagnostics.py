@@ -4,28 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.calibration import isotonic
 from tallymark.operators.models import Family
 from tallymark.operators.ordering import class_counts, fit_cuts, quantile_values
 from tallymark.plans.selection import cross_validate, score_frame, summarise_folds
 
 
-def calibrate(train: DataFrame, y: str = "label", score: str = "score", digits: int = 6):
-    """A monotone map from scores to probabilities, fitted on held-out training scores.
+def calibrate(train: DataFrame, y: str = "label", score: str = "score", digits: int | None = None):
+    """A monotone map from scores to probabilities, fitted on held-out training scores of any range.
 
-    Rows are pooled per score (at ``digits`` decimals) with their number as weight, so the final
-    merge of neighbours sees at most one point per distinct score in [0, 1].
+    ``digits`` rounds the scores first; without it every distinct score is a point of its own.
     """
-    pooled = train.groupBy(F.round(score, digits).alias(score)).agg(
-        F.avg(F.col(y).cast("double")).alias(y),
-        F.count(F.lit(1)).cast("double").alias("__rows"),
-    )
-    return IsotonicRegression(
-        labelCol=y, featuresCol=score, predictionCol="calibrated", weightCol="__rows", isotonic=True
-    ).fit(pooled)
+    rows = train if digits is None else train.withColumn(score, F.round(score, digits))
+    return isotonic(rows, y, score)
 
 
 def ablation(

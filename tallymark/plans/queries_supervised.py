@@ -10,6 +10,7 @@ from tallymark.operators import association as assoc
 from tallymark.operators import features as feats
 from tallymark.operators import metrics as met
 from tallymark.operators import prepare as prep
+from tallymark.operators.calibration import platt
 from tallymark.plans.diagnostics import calibrate, oversample, quantile_rule
 from tallymark.plans.frames import (
     DOC_SPEC,
@@ -504,7 +505,20 @@ def calibration_bins(spark, sf):
     return rounded(met.calibration_bins(scored), 6, "mean_score", "observed")
 
 
-@query()
+@query(
+    _SPLIT_ORDERS
+    + """, p AS (SELECT score AS x, count(*)::DOUBLE AS w, sum(label)::DOUBLE AS s, row_number() OVER (ORDER BY score) AS i
+  FROM s WHERE split = 'train' GROUP BY score),
+cum AS (SELECT *, sum(w) OVER (ORDER BY i) AS cw, sum(s) OVER (ORDER BY i) AS cs FROM p),
+lowest AS (SELECT a.i AS a, b.i AS k, min((b.cs - a.cs + a.s) / (b.cw - a.cw + a.w)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS m
+  FROM cum a JOIN cum b ON b.i >= a.i),
+v AS (SELECT i, x, max(m) AS v FROM lowest JOIN p ON k = i GROUP BY i, x),
+pairs AS (SELECT x, v, lead(x) OVER (ORDER BY i) AS x2, lead(v) OVER (ORDER BY i) AS v2 FROM v),
+ends AS (SELECT min(x) AS x, min(v) AS v, max(v) AS top FROM v)
+SELECT o_orderkey, label, score, round(CASE WHEN score < ends.x THEN ends.v WHEN x2 IS NULL THEN top
+  ELSE pairs.v + (v2 - pairs.v) * (score - pairs.x) / (x2 - pairs.x) END, 6) AS calibrated
+FROM s CROSS JOIN ends LEFT JOIN pairs ON score >= pairs.x AND (x2 IS NULL OR score < x2) WHERE split = 'test'"""
+)
 def calibrated_scores(spark, sf):
     """A monotone score-to-probability map learned on training orders, applied to test orders."""
     rows = prep.stratified_split(scored_orders(spark, sf), "label", "o_orderkey")
@@ -513,6 +527,34 @@ def calibrated_scores(spark, sf):
     return out.select("o_orderkey", "label", "score", F.round("calibrated", 6).alias("calibrated"))
 
 
+#: Plain Newton steps of the SQL beside `platt_scores`.
+_CURVE_STEPS = 8
+
+
+def _platt_sql() -> str:
+    steps = ["b0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for k in range(_CURVE_STEPS):
+        steps.append(f"""h{k} AS (SELECT a, b, sum((n * p - t) * z) AS g1, sum(n * p - t) AS g0, sum(n * p * (1 - p) * z * z) AS h11,
+  sum(n * p * (1 - p) * z) AS h10, sum(n * p * (1 - p)) AS h00
+  FROM (SELECT *, 1 / (1 + exp(-(a * z + b))) AS p FROM cells, b{k}) GROUP BY a, b),
+b{k + 1} AS (SELECT a - (h00 * g1 - h10 * g0) / (h11 * h00 - h10 * h10) AS a, b - (h11 * g0 - h10 * g1) / (h11 * h00 - h10 * h10) AS b FROM h{k})""")
+    return f"""{_SPLIT_ORDERS}, t AS (SELECT score, label FROM s WHERE split = 'train'),
+m AS (SELECT avg(score) AS centre, stddev_pop(score) AS spread, sum(label)::DOUBLE AS n1, (count(*) - sum(label))::DOUBLE AS n0 FROM t),
+cells AS (SELECT (score - centre) / spread AS z, count(*)::DOUBLE AS n,
+  sum(CASE WHEN label = 1 THEN (n1 + 1) / (n1 + 2) ELSE 1 / (n0 + 2) END) AS t FROM t, m GROUP BY score, centre, spread),
+{", ".join(steps)}
+SELECT o_orderkey, label, score, round(1 / (1 + exp(-(a * (score - centre) / spread + b))), 6) AS calibrated
+FROM s, m, b{_CURVE_STEPS} WHERE split = 'test'"""
+
+
+@query(_platt_sql())
+def platt_scores(spark, sf):
+    """A logistic curve over the score learned on training orders, applied to test orders."""
+    rows = prep.stratified_split(scored_orders(spark, sf), "label", "o_orderkey")
+    out = platt(rows.filter("split = 'train'")).transform(rows.filter("split = 'test'"))
+    return out.select("o_orderkey", "label", "score", F.round("calibrated", 6).alias("calibrated"))
+
+
 @query(
     "SELECT *, round(100 * (fp + fn)::DOUBLE / n, 6) AS error_pct, round(fn::DOUBLE / nullif(fn + tp, 0), 6) AS miss_rate, "
     "round(fp::DOUBLE / nullif(fp + tn, 0), 6) AS false_alarm_rate FROM ("
