@@ -5,6 +5,7 @@ class or group into one task.
   only the values inside the brackets are counted, so next to nothing is shuffled.
 * ``HashCuts``: the hash values at which a stratified random order reaches given ranks. Applying
   them is a narrow comparison, with no window over a class.
+* ``CutTable``: the same for more classes than literals may hold, by joins.
 * ``running_totals``: prefix sums over an ordered column in two levels.
 """
 
@@ -29,6 +30,7 @@ SMALL_ROWS = 20_000  # most rows a fitted table may have to be held by the drive
 SKETCH_ACCURACY = 10_000
 WHOLE_ROWS = 20_000  # columns (or groups) up to this size are counted whole, without a bracket
 BRACKET_ROWS = 2_000_000  # most values one bracket may hold before it is counted value by value
+FEW_CLASSES = 1000  # most classes that literals may hold; more become a joined table
 LEAF_ROWS = 200_000  # most rows that are ranked by one task
 GRID = 500  # steps of the quantile grid that sampled brackets are read from
 SAMPLE_ABOVE = 20_000_000  # from this size on brackets come from a sample, to keep sketches small
@@ -448,9 +450,23 @@ class HashCuts:
         return hashed.withColumn(out, step).drop("__h")
 
 
+def few_class_counts(df: DataFrame, y: str) -> dict | None:
+    """Rows per class on the driver, or None for more than ``FEW_CLASSES`` classes."""
+    rows = df.groupBy(y).count().limit(FEW_CLASSES + 1).collect()
+    if len(rows) > FEW_CLASSES:
+        return None
+    return {r[0]: r[1] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0]))}
+
+
+def class_table(df: DataFrame, y: str) -> DataFrame:
+    """``c, n``: every class, null included, with its rows, for classes of any number."""
+    shared_dir(df.sparkSession)
+    return df.groupBy(F.col(quoted(y)).alias("c")).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+
+
 def class_counts(df: DataFrame, y: str | None, most: int = 1000) -> dict:
-    """Rows per class on the driver. The label of a supervised table has few values; more than
-    ``most`` is an error in the choice of the label column."""
+    """Rows per class on the driver, for models whose work grows with the classes. More than ``most``
+    is an error in the choice of the label column."""
     if y is None:
         return {None: df.count()}
     rows = df.groupBy(y).count().limit(most + 1).collect()
@@ -555,6 +571,82 @@ def fit_cuts(
     return HashCuts(y, keys, seed, cuts)
 
 
+@dataclass(frozen=True)
+class CutTable:
+    """``HashCuts`` for any number of classes: a table of ``c, cuts`` and whatever else a class was given."""
+
+    y: str
+    key: tuple[str, ...]
+    seed: int
+    fitted: Settled
+
+    def mark(self, df: DataFrame, out: str, told: Sequence[str] = ()) -> DataFrame:
+        """Add how many cuts of its class a row lies behind, and the columns ``told`` of its class."""
+        cuts = Settled(self.fitted.frame.withColumnRenamed("c", self.y), self.fitted.rows)
+        hashed = attach(df.withColumn("__h", hash_order(self.key, self.seed)), cuts, [self.y], ["__cuts", *told])
+        return hashed.withColumn(out, F.expr("size(filter(__cuts, e -> __h > e))")).drop("__h", "__cuts")
+
+
+def fit_cut_table(
+    df: DataFrame, y: str, key: str | Sequence[str], seed: int, classes: DataFrame, ranks: Column, told: Sequence[str] = ()
+) -> CutTable:
+    """``fit_cuts`` where the classes do not fit the driver.
+
+    ``classes`` holds ``c, n`` and what ``ranks`` (an array of 1-based ranks) and ``told`` need. Hash prefixes are counted as there, but
+    all wanted ranks stay a table: a hot class is split by its prefixes before any join, and a window sees either the prefixes of one
+    stretch or the hashes of one short stretch.
+    """
+    keys = (key,) if isinstance(key, str) else tuple(key)
+    hashed = df.select(F.col(quoted(y)).alias("c"), hash_order(keys, seed).alias("h"))
+    wanted = classes.select("c", "n", F.posexplode(ranks).alias("i", "rank")).select(
+        F.col("c").alias("w"), "i", F.col("rank").cast("bigint").alias("rank"), F.lit("").alias("prefix"), F.col("n").alias("rows")
+    )
+    outer = wanted.select(
+        "w", "i", F.expr("CASE WHEN rank <= 0 THEN '' WHEN rank >= rows THEN 'g' END").alias("h")  # 'g' is behind every hex digit
+    ).filter("h IS NOT NULL")
+    open_ = wanted.filter("rank > 0 AND rank < rows").checkpoint()
+    length = 0
+
+    def reached(cells: DataFrame, value: str) -> DataFrame:
+        """The cell of its class and stretch at which each open rank is reached."""
+        upto = F.sum("count").over(W.partitionBy("c", "start").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
+        hit = F.col("c").eqNullSafe(F.col("w")) & (F.col("start") == F.col("prefix"))
+        return cells.withColumn("upto", upto).join(open_, hit).filter("upto >= rank AND upto - count < rank")
+
+    def rows_of(table: DataFrame) -> DataFrame:
+        if not length:  # every class has an open rank or is small
+            return table
+        on = F.col("c").eqNullSafe(F.col("w")) & (F.substring("h", 1, length) == F.col("prefix"))
+        return table.join(open_.select("w", "prefix").distinct(), on, "left_semi")
+
+    while length + PREFIX_DIGITS <= 30 and (open_.agg(F.max("rows")).first()[0] or 0) > LEAF_ROWS:
+        counted = rows_of(hashed).groupBy("c", F.substring("h", 1, length + PREFIX_DIGITS).alias("next")).count()
+        cells = counted.withColumn("start", F.substring("next", 1, length))
+        open_ = reached(cells, "next").select(
+            "w", "i", (F.col("rank") - F.col("upto") + F.col("count")).alias("rank"), F.col("next").alias("prefix"), F.col("count").alias("rows")
+        ).checkpoint()
+        length += PREFIX_DIGITS
+    stretch = rows_of(hashed).groupBy("c", F.substring("h", 1, length).alias("start"), "h").count()
+    cuts = outer.unionByName(reached(stretch, "h").select("w", "i", "h"))
+    listed = cuts.groupBy("w").agg(F.sort_array(F.collect_list("h")).alias("__cuts"))
+    on = F.col("c").eqNullSafe(F.col("w"))
+    return CutTable(y, keys, seed, settle(classes.join(listed, on).select("c", "__cuts", *told), SMALL_ROWS))
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Gapless numbers from 1 in a global order: sorted stretches are numbered by themselves and moved by the rows before them.
+
+    Rows that ``order`` does not tell apart get any of their numbers.
+    """
+    shared_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order).withColumn("__at", F.spark_partition_id()).checkpoint()
+    sizes = ranged.groupBy("__at").count()
+    before = W.orderBy("__at").rowsBetween(W.unboundedPreceding, -1)  # one row a partition
+    starts = settle(sizes.select("__at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start")))
+    own = F.row_number().over(W.partitionBy("__at").orderBy(*order))
+    return attach(ranged.withColumn(out, own), starts, ["__at"], ["__start"]).withColumn(out, F.col(out) + F.col("__start")).drop("__at", "__start")
+
+
 def _inside(hashed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Rows whose class and hash prefix hold a wanted rank (at most classes x cuts prefixes)."""
     on = F.col("c").eqNullSafe(F.col("w"))

@@ -11,7 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import hash_fraction, map_values
-from tallymark.operators.ordering import class_counts, fit_cuts, split_evenly
+from tallymark.operators.ordering import (
+    attach,
+    class_counts,
+    class_table,
+    few_class_counts,
+    fit_cut_table,
+    fit_cuts,
+    numbered,
+    settle,
+    split_evenly,
+)
 from tallymark.operators.quality import percent
 from tallymark.sources.ingest import apply_casts
 from tallymark.spec import TableSpec
@@ -80,6 +90,18 @@ def allocate(counts: Mapping[Any, int], share: float) -> dict[Any, int]:
     return given
 
 
+def allocate_table(classes: DataFrame, share: float) -> DataFrame:
+    """``allocate`` for a table ``c, n`` of any size: adds ``given``."""
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    wanted = math.ceil(share * total)
+    quota = F.lit(float(wanted)) * F.col("n") / F.lit(float(total or 1))
+    base = classes.select("c", "n", F.floor(quota).alias("given"), (quota - F.floor(quota)).alias("__rest"))
+    short = wanted - (base.agg(F.sum("given")).first()[0] or 0)
+    name = F.coalesce(F.col("c").cast("string"), F.lit("None"))
+    placed = numbered(base, [F.desc("__rest"), name], "__place")
+    return placed.select("c", "n", (F.col("given") + (F.col("__place") <= short).cast("bigint")).alias("given"))
+
+
 def stratified_split(
     df: DataFrame,
     y: str,
@@ -97,9 +119,12 @@ def stratified_split(
     """
     if mode == "hash":
         return df.withColumn(out, F.when(hash_fraction(key, seed) < test, "test").otherwise("train"))
-    counts = class_counts(df, y)
-    ranks = {c: [n] for c, n in allocate(counts, test).items()}
-    cuts = fit_cuts(df, y, key, seed, ranks, counts)
+    counts = few_class_counts(df, y)
+    if counts is None:
+        cuts = fit_cut_table(df, y, key, seed, allocate_table(class_table(df, y), test), F.array("given"))
+    else:
+        ranks = {c: [n] for c, n in allocate(counts, test).items()}
+        cuts = fit_cuts(df, y, key, seed, ranks, counts)
     return cuts.mark(df, out).withColumn(out, F.when(F.col(out) == 0, "test").otherwise("train"))
 
 
@@ -116,9 +141,13 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold numbers 1..k: per class, k stretches of the hash order whose sizes differ by at most
     one."""
-    counts = class_counts(df, y)
-    ranks = {c: split_evenly(n, k)[:-1] for c, n in counts.items()}
-    cuts = fit_cuts(df, y, key, seed, ranks, counts)
+    counts = few_class_counts(df, y)
+    if counts is None:
+        ends = [F.expr(f"n div {k} * {i} + least(n % {k}, {i})") for i in range(1, k)]
+        cuts = fit_cut_table(df, y, key, seed, class_table(df, y), F.array(*ends) if ends else F.expr("array(n)"))
+    else:
+        ranks = {c: split_evenly(n, k)[:-1] for c, n in counts.items()}
+        cuts = fit_cuts(df, y, key, seed, ranks, counts)
     return cuts.mark(df, out).withColumn(out, (F.col(out) + 1).cast("bigint"))
 
 
@@ -140,6 +169,22 @@ def add_weights(
     return df.withColumn(out, map_values(y, weights).cast("double"))
 
 
+def weigh(train: DataFrame, y: str, out: str = "class_weight") -> DataFrame:
+    """Training rows with the balanced weight of their class, for classes of any number."""
+    counts = few_class_counts(train, y)
+    if counts is not None:
+        total, k = sum(counts.values()), len(counts)
+        known = {c: total / (k * n) for c, n in counts.items() if c is not None}
+        weight = map_values(y, known).cast("double")
+        if None in counts:
+            weight = F.when(F.col(y).isNull(), F.lit(total / (k * counts[None]))).otherwise(weight)
+        return train.withColumn(out, weight)
+    classes = class_table(train, y)
+    total, k = classes.agg(F.sum("n"), F.count(F.lit(1))).first()
+    weights = classes.select(F.col("c").alias(y), (F.lit(float(total)) / (F.lit(k) * F.col("n"))).alias("__weight"))
+    return attach(train, settle(weights), [y], ["__weight"]).withColumn(out, F.col("__weight")).drop("__weight")
+
+
 def null_audit(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
     """Missing entries per slot of a feature vector."""
     values = df.select(vector_to_array(vector).alias("v"))

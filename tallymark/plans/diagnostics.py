@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators.calibration import isotonic
 from tallymark.operators.models import Family
-from tallymark.operators.ordering import class_counts, fit_cuts, quantile_values
+from tallymark.operators.ordering import class_table, few_class_counts, fit_cut_table, fit_cuts, quantile_values
 from tallymark.plans.selection import cross_validate, score_frame, summarise_folds
 
 
@@ -85,8 +85,10 @@ def oversample(train: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
     Each row is repeated evenly; the remainder goes to the rows first in hash order. Adds
     ``copy``, 1 for the original.
     """
-    counts = class_counts(train, y)
-    largest = max(counts.values())
+    counts = few_class_counts(train, y)
+    if counts is None:
+        return _oversample_many(train, y, key, seed)
+    largest = max(counts.values(), default=0)
     cuts = fit_cuts(train, y, key, seed, {c: [largest % n] for c, n in counts.items()}, counts)
     extra = F.when(F.col("__step") == 0, 1).otherwise(0)
     times = F.lit(1)
@@ -95,3 +97,13 @@ def oversample(train: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
     numbers = F.sequence(F.lit(1).cast("bigint"), times.cast("bigint"))
     marked = cuts.mark(train, "__step")
     return marked.select(*train.columns, F.explode(numbers).alias("copy"))
+
+
+def _oversample_many(train: DataFrame, y: str, key: str, seed: int) -> DataFrame:
+    """``oversample`` with the classes in a table."""
+    classes = class_table(train, y)
+    largest = classes.agg(F.max("n")).first()[0]
+    classes = classes.select("*", F.expr(f"{largest} div n").alias("__times"), F.expr(f"{largest} % n").alias("__more"))
+    marked = fit_cut_table(train, y, key, seed, classes, F.array("__more"), ["__times"]).mark(train, "__step", ["__times"])
+    times = F.col("__times") + F.when(F.col("__step") == 0, 1).otherwise(0)
+    return marked.select(*train.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), times.cast("bigint"))).alias("copy"))
