@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import bin_index, quoted
 from tallymark.operators.ordering import order_stats, sample_rows
 from tallymark.operators.quality import percent
-
+from tallymark.session import shared_dir
+
+WIDE = 24  # columns up to which every pair is an aggregate of its own
+GRAM = ["i", "j", "n", "x", "y", "xx", "yy", "xy"]
+GRAM_DDL = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+GRAM_TASKS = 10_000  # most tasks that report a matrix
+UNSURE = 1e-8  # share of a column's squared distances that its spread has to reach
+PAIRS_PER_PASS = 200
 MAX_COLUMNS = 1000  # most columns a pivoted table gets unless the caller allows more
 
 
@@ -25,11 +34,16 @@ def _corr(a: str, b: str) -> Column:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form ``a, b, r``, all pairs in one pass."""
+    """Pairwise-complete Pearson matrix in long form ``a, b, r``.
+
+    Few columns are one aggregate; more than ``WIDE`` go through matrix products (``corr_blocks``).
+    """
+    if len(cols) > WIDE:
+        return corr_blocks(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     wide = df.agg(
         *[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.var_pop(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)],
+        *[F.var_pop(F.col(quoted(c)).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)],
     )
     cell = lambda a, b, r: F.struct(
         F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")
@@ -40,6 +54,67 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
 
 
+def _gram_sums(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One task's sums over the rows where both columns are present, a row ``i, j, n, x, y, xx, yy, xy`` for each i <= j.
+
+    Values are taken less ``centre``, one number a column, so that the products don't cancel.
+    """
+    width = len(centre)
+    n, first, square, cross = (np.zeros((width, width)) for _ in range(4))
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+        there = ~np.isnan(x)
+        x, there = np.where(there, x - centre, 0.0), there.astype(np.float64)
+        n += there.T @ there
+        first += x.T @ there
+        square += (x * x).T @ there
+        cross += x.T @ x
+    i, j = np.triu_indices(width)
+    sums = [n[i, j], first[i, j], first[j, i], square[i, j], square[j, i], cross[i, j]]
+    yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, sums)], names=GRAM)
+
+
+def corr_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``corr_matrix`` by masked matrix products of Arrow batches: one pass for the means, one for all pairs.
+
+    A task holds four matrices of columns x columns numbers and reports once, however many rows it reads; Spark adds the reports of at
+    most ``GRAM_TASKS`` tasks. Pairs for which the sums say too little (a spread that is tiny against the distance from the mean, or a
+    value that is not finite) are aggregated one by one.
+    """
+    cols = list(cols)
+    shared_dir(df.sparkSession)
+    values = df.select(*[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    odd = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    told = values.agg(*[F.avg(F.when(~odd(F.col(c)), F.col(c))).alias(c) for c in values.columns], *[F.max(odd(F.col(c))).alias(f"o{c}") for c in values.columns]).first()
+    centre = np.array([told[f"c{i}"] or 0.0 for i in range(len(cols))])
+    plain = [i for i in range(len(cols)) if not told[f"oc{i}"]]
+    kept, shift = values.select(*[f"c{i}" for i in plain]), centre[plain]
+    spark, width = df.sparkSession, len(plain)
+    none = spark.range(width * width).selectExpr(f"int(id div {max(width, 1)}) AS i", f"int(id % {max(width, 1)}) AS j", *[f"0D AS {c}" for c in GRAM[2:]])
+    sums = none.filter("i <= j")  # a table without rows has no tasks that report
+    if plain:
+        sums = sums.unionByName(kept.coalesce(GRAM_TASKS).mapInArrow(lambda batches: _gram_sums(batches, shift), GRAM_DDL))
+    added = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in GRAM[2:]])
+    spread = added.selectExpr("*", "xx - try_divide(x * x, n) AS vx", "yy - try_divide(y * y, n) AS vy", "xy - try_divide(x * y, n) AS vxy")
+    number = F.array(*[F.lit(i) for i in plain]) if plain else F.array(F.lit(0))
+    found = spread.select(
+        F.get(number, "i").alias("i"), F.get(number, "j").alias("j"), F.expr("if(i = j, 1D, try_divide(vxy, sqrt(vx) * sqrt(vy)))").alias("r"),
+        F.expr(f"n > 0 AND (vx <= {UNSURE!r}D * xx OR vy <= {UNSURE!r}D * yy)").alias("unsure"), F.expr("n = 0").alias("none"),
+    ).checkpoint()
+    named = F.array(*[F.lit(c) for c in cols])
+    cells = found.filter("NOT unsure").select("i", "j", F.expr("if(none, NULL, r)").alias("r"))
+    again = [(r["i"], r["j"]) for r in found.filter("unsure").select("i", "j").collect()]
+    again += [(min(i, j), max(i, j)) for i in range(len(cols)) if told[f"oc{i}"] for j in range(len(cols)) if j <= i or not told[f"oc{j}"]]
+    for start in range(0, len(again), PAIRS_PER_PASS):
+        some = again[start : start + PAIRS_PER_PASS]
+        one = lambda i, j: F.expr(f"if(var_pop(c{i}) > 0, 1D, NULL)") if i == j else _corr(f"c{i}", f"c{j}")
+        wide = values.agg(*[one(i, j).alias(f"r{k}") for k, (i, j) in enumerate(some)])
+        listed = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{k}").alias("r")) for k, (i, j) in enumerate(some)]
+        cells = cells.unionByName(wide.select(F.explode(F.array(*listed)).alias("p")).select("p.*"))
+    both = F.expr("if(i = j, array(struct(i, j)), array(struct(i, j), struct(j AS i, i AS j)))")
+    return cells.select("r", F.explode(both).alias("p")).select(F.get(named, "p.i").alias("a"), F.get(named, "p.j").alias("b"), "r")
+
+
 def target_corr(
     df: DataFrame, cols: Sequence[str], y: str, decimals: int | None = 3
 ) -> DataFrame:

@@ -69,6 +69,32 @@ def stratified_split(spark, sf):
     return prep.stratified_split(orders, "label", "o_orderkey")
 
 
+_DATED = "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders"
+
+
+def _dated_orders(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+
+
+@query(split_sql(_DATED, "day", "o_orderkey") + "SELECT o_orderkey, day, split FROM s")
+def many_class_split(spark, sf):
+    """Orders split with equal shares of every day, more classes than literals may hold."""
+    return prep.stratified_split(_dated_orders(spark, sf), "day", "o_orderkey")
+
+
+@query(folds_sql(_DATED, "day", "o_orderkey", 3))
+def many_class_folds(spark, sf):
+    return prep.stratified_folds(_dated_orders(spark, sf), "day", "o_orderkey", 3)
+
+
+@query(
+    "SELECT o_orderkey, day, round(sum(1) OVER ()::DOUBLE / ((SELECT count(DISTINCT day) FROM "
+    f"({_DATED})) * count(*) OVER (PARTITION BY day)), 8) AS class_weight FROM ({_DATED})"
+)
+def many_class_weights(spark, sf):
+    return rounded(prep.weigh(_dated_orders(spark, sf), "day"), 8, "class_weight")
+
+
 @query(
     "SELECT o_orderkey, CASE WHEN ('0x' || substr(" + order_sql("o_orderkey") + ", 1, 12))::BIGINT::DOUBLE "
     "/ 281474976710656.0::DOUBLE < 0.2::DOUBLE THEN 'test' ELSE 'train' END AS split FROM orders"
