@@ -22,6 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.columns import quoted
 from tallymark.operators.ordering import class_counts
 from tallymark.operators.prepare import add_weights
 
@@ -60,6 +61,32 @@ class MajorityClassModel(Model, _Labelled):
         )
 
 
+class Scorecard(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A logistic model whose coefficients are given: columns times points plus a constant.
+
+    A missing value counts as 0. It adds the columns that a fitted classifier adds.
+    """
+
+    columns = Param(Params._dummy(), "columns", "scored columns", TypeConverters.toListString)
+    points = Param(Params._dummy(), "points", "coefficient of each column", TypeConverters.toListFloat)
+    constant = Param(Params._dummy(), "constant", "intercept", TypeConverters.toFloat)
+
+    def __init__(self, points: Mapping[str, float] | None = None, constant: float = 0.0):
+        super().__init__()
+        given = dict(points or {})
+        self._set(columns=list(given), points=[float(v) for v in given.values()], constant=float(constant))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        margin = F.lit(self.getOrDefault(self.constant))
+        for c, v in zip(self.getOrDefault(self.columns), self.getOrDefault(self.points)):
+            margin = margin + F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)) * F.lit(v)
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+        pair = lambda a, b: array_to_vector(F.array(a, b))
+        return df.withColumns({
+            "rawPrediction": pair(-margin, margin), "probability": pair(F.lit(1.0) - p, p), "prediction": F.when(margin > 0, 1.0).otherwise(0.0),
+        })
+
+
 class RandomFourier(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Random cosine features whose inner products approximate an RBF kernel.
 

@@ -14,7 +14,7 @@ from tallymark.plans.queries_profile import rounded
 from tallymark.plans.registry import query, table
 from tallymark.plans.scoring import cached_model, score
 from tallymark.session import scratch_path
-from tallymark.sources.ingest import apply_casts, ingest, nan_to_null, read_csv, rename, save_artifact, to_frame
+from tallymark.sources.ingest import apply_casts, ingest, nan_to_null, read_csv, read_csv_checked, rename, save_artifact, to_frame
 from tallymark.spec import NULL_TOKENS, TableSpec
 
 _TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
@@ -40,6 +40,34 @@ def csv_ingest(spark, sf):
     return ingest(read_csv(spark, path, CSV_SPEC), CSV_SPEC)
 
 
+_LINES = '''CASE WHEN event_id % 97 = 5 THEN event_id || ',' || value || ',' || event_type || ',1,more'
+  WHEN event_id % 101 = 7 THEN event_id || ',' || value
+  WHEN event_id % 103 = 9 THEN event_id || ',' || value || ',"' || event_type || ',1'
+  ELSE event_id || ',' || value || ',"' || event_type || ', ""as such""",1' END'''
+MALFORMED_SPEC = TableSpec(
+    columns=("event_id", "event_type"), casts={"event_id": "bigint"}, target="event_type", target_map={}
+)
+
+
+@query(
+    "SELECT CASE WHEN kind = 'fine' THEN event_id END AS event_id, CASE WHEN kind = 'fine' THEN event_type || ', \"as such\"' END AS event_type, "
+    "kind, CASE WHEN kind <> 'fine' THEN line END AS line FROM (SELECT event_id, event_type, CASE WHEN event_id % 97 = 5 THEN 'too many cells' "
+    f"WHEN event_id % 101 = 7 THEN 'too few cells' WHEN event_id % 103 = 9 THEN 'open quote' ELSE 'fine' END AS kind, {_LINES} AS line "
+    "FROM (SELECT event_id, event_type, CAST(floor(value) AS BIGINT) AS value FROM events))"
+)
+def csv_quarantine(spark, sf):
+    """Events as CSV lines, some with too many or too few cells or a quote that stays open: typed rows beside the malformed lines."""
+    path = scratch_path(spark, "lines")
+    events = table(spark, sf, "events").withColumn("value", F.floor("value").cast("bigint"))
+    lines = events.select(F.expr(_LINES).alias("value"), F.pmod("event_id", F.lit(4)).alias("part"), F.lit(1).alias("place"))
+    heads = spark.range(4).select(F.lit("event_id,value,event_type,k").alias("value"), F.col("id").alias("part"), F.lit(0).alias("place"))
+    ordered = lines.unionByName(heads).repartition("part").sortWithinPartitions("part", "place")
+    ordered.select("value", "part").write.partitionBy("part").text(path)
+    good, bad = read_csv_checked(spark, f"{path}/part=*", MALFORMED_SPEC)
+    kept = apply_casts(good, MALFORMED_SPEC.casts).select("event_id", "event_type", F.lit("fine").alias("kind"), F.lit(None).cast("string").alias("line"))
+    return kept.unionByName(bad.withColumnRenamed("problem", "kind"), allowMissingColumns=True)
+
+
 _NAN_SQL = "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'NaN'::DOUBLE ELSE value END AS value FROM events"
 
 

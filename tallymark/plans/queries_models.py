@@ -14,7 +14,7 @@ from tallymark.operators import features as feats
 from tallymark.operators import interpret, newton
 from tallymark.operators import metrics as met
 from tallymark.operators import prepare as prep
-from tallymark.operators.models import CATALOG, DUMMY, GRIDS, Family, MajorityClass, positive_score
+from tallymark.operators.models import CATALOG, DUMMY, GRIDS, Family, MajorityClass, Scorecard, positive_score
 from tallymark.operators.ordering import local_frame, order_stats, settle
 from tallymark.operators.paired import mean_difference, paired_tests
 from tallymark.plans import diagnostics as diag
@@ -35,6 +35,7 @@ from tallymark.plans.queries_supervised import _CELLS, ranking_sql, rates_sql
 from tallymark.plans.registry import query, table
 from tallymark.session import scratch_path
 from tallymark.sources.ingest import load_artifact, save_artifact, to_frame
+from tallymark.spec import Bound, TableSpec
 from tallymark.streaming import scoring as live
 
 STAGES = partial(feats.feature_stages, DOC_SPEC)
@@ -538,6 +539,34 @@ def streamed_scores(spark, sf):
     return spark.read.parquet(sink).select("event_id", "predicted", "score")
 
 
+#: A scorecard over events and the contract that its stream is held to.
+_CARD, _CARD_CONSTANT = {"value": 0.05, "user_id": -0.01}, 0.25
+CARD_SPEC = TableSpec(
+    columns=("event_id", "user_id", "value", "event_type"), casts={}, target="event_type", target_map={}, regular=("value", "user_id"),
+    categorical=("event_type",), bounds={"value": Bound(1.0, 80.0)}, domains={"event_type": ("click", "view", "purchase")},
+)
+
+
+@query(
+    "SELECT event_id, CASE WHEN fine THEN (margin > 0)::BIGINT END AS predicted, CASE WHEN fine THEN round(1 / (1 + exp(-margin)), 6) END AS score, "
+    "CASE WHEN NOT fine THEN concat_ws('; ', CASE WHEN value < 1 THEN 'value >= 1' END, CASE WHEN value > 80 THEN 'value <= 80' END, "
+    "CASE WHEN event_type NOT IN ('click', 'view', 'purchase') THEN 'event_type in [''click'', ''view'', ''purchase'']' END) END AS broken "
+    "FROM (SELECT *, coalesce(value BETWEEN 1 AND 80, TRUE) AND coalesce(event_type IN ('click', 'view', 'purchase'), TRUE) AS fine, "
+    f"{_CARD_CONSTANT!r}::DOUBLE + coalesce(value, 0) * {_CARD['value']!r}::DOUBLE + coalesce(user_id, 0)::DOUBLE * {_CARD['user_id']!r}::DOUBLE AS margin "
+    "FROM events)"
+)
+def streamed_quarantine(spark, sf):
+    """The event stream scored by a scorecard, rows outside the contract set aside with the rules they break."""
+    model = PipelineModel([Scorecard(_CARD, _CARD_CONSTANT)])
+    stream = live.read_parquet_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
+    sink, aside = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
+    rows = stream.select("event_id", "user_id", "value", "event_type")
+    live.score_checked_stream(model, rows, CARD_SPEC, sink, aside, scratch_path(spark, "log")).awaitTermination()
+    scored = live.read_batches(spark, sink).select("event_id", "predicted", F.round("score", 6).alias("score"))
+    rejected = live.read_batches(spark, aside).select("event_id", F.array_join("broken_rules", "; ").alias("broken"))
+    return scored.unionByName(rejected, allowMissingColumns=True)
+
+
 _EDGES = [5.0, 20.0, 60.0]
 
 

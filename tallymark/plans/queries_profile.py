@@ -338,6 +338,18 @@ def correlation_matrix(spark, sf):
     return rounded(assoc.corr_matrix(table(spark, sf, "lineitem"), LINE), 6, "r")
 
 
+@query("""
+WITH v AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS x FROM embeddings)
+SELECT 'd' || a.i AS a, 'd' || b.i AS b, CASE WHEN a.i = b.i THEN 1.0::DOUBLE ELSE round(corr(a.x, b.x), 6) END AS r
+FROM v a JOIN v b USING (vec_id) GROUP BY a.i, b.i""")
+def wide_correlation(spark, sf):
+    """Every pair of vector components, one column each."""
+    vectors = table(spark, sf, "embeddings")
+    dims = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    columns = vectors.select(*[F.get("embedding", F.lit(i)).alias(f"d{i}") for i in range(dims)])
+    return rounded(assoc.corr_matrix(columns, columns.columns), 6, "r")
+
+
 _DOC_NUM = ["n_chars", "n_words", "n_lines", "n_digits"]
 
 

@@ -16,6 +16,10 @@ from tallymark.functions.columns import as_column
 from tallymark.spec import CSV_NULL_TOKENS, NULL_TOKENS, TableSpec
 
 
+#: A line in which a cell begins with a quote that no later quote closes.
+OPEN_QUOTE = r'^(?:(?:"(?:[^"]++|"")*+"|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
+
+
 class SourceMissing(FileNotFoundError):
     """The path of a source does not exist."""
 
@@ -46,6 +50,39 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool =
     return unify_nulls(raw.select(*[F.col(f"`{c}`") for c in spec.columns]), CSV_NULL_TOKENS)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, spec: TableSpec, strict: bool = False, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``read_csv`` that tells malformed rows: the well-formed ones, and ``line, problem`` of the others.
+
+    A row is malformed if it has more or fewer cells than the header, be it for a quote that swallows the cells behind it; an open quote
+    in the last cell ends with the line. With ``strict`` the first malformed row that is read fails the job with its text. Every cell
+    has to be parsed to know (a reader that prunes columns takes such rows for good ones), so no column is left out of the scan.
+    """
+    if spec.columns:
+        read_csv(spark, path, spec, multi_line)  # the path and the columns
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    header = reader.csv(path).columns
+    line = "line"
+    while line in header:
+        line += "_"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, line]])
+    cells = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", line).schema(schema).csv(path)
+    # a plan that reads nothing but the malformed text is not allowed, so the last cell comes along
+    text = F.element_at(F.array(F.col(f"`{line}`"), F.col(f"`{header[-1]}`")), 1)
+    open_quote = text.rlike(OPEN_QUOTE)
+    short = F.col(f"`{header[-1]}`").isNull()
+    problem = F.when(open_quote, "open quote").when(short, "too few cells").otherwise("too many cells")
+    listed = [F.col(f"`{c}`") for c in spec.columns]
+    if strict:
+        message = F.concat(F.lit(f"{path}: "), problem, F.lit(": "), text)
+        good = cells.filter(F.when(text.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
+    else:
+        good = cells.filter(text.isNull())
+    bad = cells.filter(text.isNotNull()).select(text.alias("line"), problem.alias("problem"))
+    return unify_nulls(good.select(*listed), CSV_NULL_TOKENS), bad
+
+
 def unify_nulls(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
     """Null instead of any of the tokens, in every text column, matched exactly."""
     listed = list(tokens)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.functions.columns import safe_ratio
-from tallymark.plans.scoring import score
+from tallymark.plans.scoring import check_contract, score
+from tallymark.sources.ingest import SourceUnreadable
+from tallymark.spec import TableSpec
 
 EPSILON = 1e-4  # share used for an empty histogram bin
 
@@ -55,6 +58,37 @@ def score_stream(
     return write_stream(score(model, stream, labels), sink, checkpoint, "append", available_now)
 
 
+def score_checked_stream(
+    model: PipelineModel, stream: DataFrame, spec: TableSpec, sink: str, rejected: str, checkpoint: str, labels=None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Score the rows that meet the contract, set the others aside with the names of the rules they break.
+
+    Both sinks hold a folder a micro-batch (``batch=<number>``), which is replaced as a whole. A batch that runs again after a failure
+    holds the same rows, so its folders end up as if it had run once; ``read_batches`` reads a sink.
+    """
+    absent = [c for c in spec.raw_features if c not in stream.columns]
+    if absent:
+        raise SourceUnreadable(f"missing columns {absent}")
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist(StorageLevel.DISK_ONLY)  # both sinks read it
+        try:
+            valid, broken = check_contract(held, spec)
+            score(model, valid, labels).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+            broken.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        finally:
+            held.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_batches(spark: SparkSession, sink: str) -> DataFrame:
+    """All batches of a sink of ``score_checked_stream``."""
+    return spark.read.parquet(sink).drop("batch")
+
+
 def window_profile(
     stream: DataFrame,
     ts: str,
