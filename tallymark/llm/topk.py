@@ -172,11 +172,11 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, x, dims): floor(scale * component) of each vector that takes part.
+def scaled(vectors: DataFrame, key: str, vector: str, scale: int, k: int) -> DataFrame:
+    """(vec_id, x, dims): floor(scale * component) of each row that takes part.
 
     Vectors that are null or empty, hold a null or non-finite component (once scaled, as in the SQL), or have no id, take no part.
-    All different vectors of an id that repeats count; exact copies of a row are one row.
+    Every row counts, those of an id that repeats too; of equal rows k are kept, as no more can be among k places.
     """
     raw = F.transform(F.col(f"`{vector}`"), lambda v: F.lit(float(scale)) * v.cast("double"))
     usable = F.forall("raw", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & (F.size("raw") > 0)
@@ -184,18 +184,20 @@ def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     x = F.transform("raw", lambda v: F.when(F.abs(v) < EXACT, F.floor(F.when(F.abs(v) < EXACT, v)).cast("double")).otherwise(v))
     rows = vectors.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), raw.alias("raw"))
     kept = rows.filter(F.col("vec_id").isNotNull() & F.col("raw").isNotNull() & usable).select("vec_id", x.alias("x"))
-    return kept.distinct().withColumn("dims", F.size("x"))
+    copies = kept.groupBy("vec_id", "x").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("n"))
+    return copies.select("vec_id", "x", F.size("x").alias("dims"), F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy")).drop("copy")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest integer inner products of each query with the other vectors.
 
     `queries` holds ids of `vectors`. Equal scores go to the smaller id. Every finite vector takes part; ranks are exact for scores of any
-    size, and a score that does not fit 64 bits is null. The different vectors of one query id share its k places. A query meets vectors of its own number of
+    size, and a score that does not fit 64 bits is null. All rows count, copies too: the rows of one query id share its k places (and are
+    no candidates of each other), a candidate row that occurs twice takes two. A query meets vectors of its own number of
     dimensions. Fewer than k candidates give as many rows. No table is broadcast but the pilot set (PILOT rows at most).
     """
     spark = vectors.sparkSession
-    table = saved(scaled(vectors, key, vector, scale), "vectors")
+    table = saved(scaled(vectors, key, vector, scale, k), "vectors")
     asked = table.join(queries.select(F.col(f"`{key}`").cast("bigint").alias("vec_id")).distinct(), "vec_id", "left_semi")
     rows, n = table.count(), asked.count()
     shards, blocks = max(1, -(-rows // SHARD_ROWS)), max(1, -(-n // BLOCK_QUERIES))

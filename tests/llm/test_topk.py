@@ -10,17 +10,16 @@ SCHEMA = "vec_id bigint, embedding array<float>, label int, score int, x int"
 
 
 def brute(rows, k, every):
-    usable = {}
+    """Every row but the query's own, copies included; the rows of one query id share its places."""
+    usable = []
     for vec_id, v, *_ in rows:
         if vec_id is None or not v or any(c is None or not math.isfinite(c) for c in v):
             continue
-        x = [math.floor(64 * float(np.float32(c))) for c in v]
-        usable[vec_id] = min(usable.get(vec_id, x), x)
+        usable.append((vec_id, [math.floor(64 * float(np.float32(c))) for c in v]))
     out = []
-    for q, x in usable.items():
-        if q % every:
-            continue
-        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in usable.items() if i != q and len(y) == len(x))
+    for q in sorted({i for i, _ in usable if i % every == 0}):
+        own = [x for i, x in usable if i == q]
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for x in own for i, y in usable if i != q and len(y) == len(x))
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -89,3 +88,15 @@ def test_large_components_and_repeated_ids(spark, monkeypatch):
 def run_unsorted(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     return [tuple(r) for r in top_k(df, df.filter("vec_id % 20 = 0"), 20).collect()]
+
+
+def test_every_copy_of_a_row_counts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 90)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "PILOT", 40)
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)], 0, 1, 2) for i in range(200)]
+    for i in range(200):
+        rows += [rows[i]] * rng.choice([0, 0, 1, 3, 40])
+    rows += [(7, [3.0] * 6, 0, 1, 2)] * 5 + [(20, [2.0] * 6, 0, 1, 2)] * 300
+    assert run(spark, rows) == brute(rows, 20, 20) and run(spark, rows, k=3) == brute(rows, 3, 20)
