@@ -71,6 +71,12 @@ def settle(df: DataFrame, bound: int = SMALL_ROWS) -> Settled:
     return Settled(df.checkpoint(eager=True), None)
 
 
+def settle_wide(df: DataFrame) -> Settled:
+    """``settle`` for a table that has a few rows a column by construction: no limit, so one job less."""
+    table = df.toArrow()
+    return Settled(df.sparkSession.createDataFrame(table, df.schema), table.to_pylist())
+
+
 def _literal(value, kind: T.DataType) -> Column:
     if value is None:
         return F.lit(None).cast(kind)
@@ -375,21 +381,25 @@ def _no_nan(df: DataFrame, c: str) -> Column:
     return F.col(quoted(c))
 
 
-def _fit_quantiles(df, cols, probs, by, extras) -> tuple[Settled, Settled | None]:
+def _fit_quantiles(df, cols, probs, by, extras, stats: bool = True) -> tuple[Settled | None, Settled | None]:
+    """Statistics and quantiles; without ``stats`` a small table is read for its quantiles alone."""
     base = df.select(*by, *[_no_nan(df, c) for c in dict.fromkeys(cols) if c not in by])
+    keep = settle if by else settle_wide
     if not probs:
-        return settle(_first_brackets(base, cols, probs, by, extras, 1.0, 0)), None
+        return keep(_first_brackets(base, cols, probs, by, extras, 1.0, 0)), None
     rows = base.count()
+    if not stats and not by and rows <= WHOLE_ROWS:
+        return None, keep(_count_whole(base, cols, probs, by))
     share = 1.0 if rows <= SAMPLE_ABOVE else SAMPLE_ROWS / rows
     for widen in range(5):
-        state = settle(_first_brackets(base, cols, probs, by, extras, share, widen))
+        state = keep(_first_brackets(base, cols, probs, by, extras, share, widen))
         if state.small and all(s["count"] <= WHOLE_ROWS for r in state.rows for s in r["__stats"]):
-            return state, settle(_count_whole(base, cols, probs, by))
+            return state, keep(_count_whole(base, cols, probs, by))
         for _ in range(6):
             if _fullest(state) <= BRACKET_ROWS:
                 break
-            state = settle(_narrow(base, cols, probs, by, state))
-        found = settle(_count_brackets(base, cols, probs, by, state))
+            state = keep(_narrow(base, cols, probs, by, state))
+        found = keep(_count_brackets(base, cols, probs, by, state))
         if not _missed(state, found, len(probs)):
             return state, found
     raise RuntimeError("a quantile lies outside its bracket")
@@ -414,7 +424,7 @@ def quantile_values(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Exact quantiles of whole columns on the driver: one short list per column."""
-    _, found = _fit_quantiles(df, list(cols), list(probs), [], {})
+    _, found = _fit_quantiles(df, list(cols), list(probs), [], {}, stats=False)
     out = {c: [None] * len(probs) for c in cols}
     for r in found.rows:
         out[cols[r["k"] // len(probs)]][r["k"] % len(probs)] = r["value"]
