@@ -73,3 +73,13 @@ def test_no_spread_has_no_density(spark):
     for rows in ([(2.0,), (2.0,)], [(1.0,)], [(None,)], []):
         with pytest.raises(ValueError):
             desc.kde(spark.createDataFrame(rows, "x double"), "x")
+
+
+def test_a_large_offset_costs_no_digits(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=400)
+    y = x + rng.normal(size=400) + 2.0**30
+    want = np.corrcoef(x, y - 2.0**30)[0, 1]  # the difference is exact
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y})).repartition(5)
+    got = {(r["a"], r["b"]): r["r"] for r in assoc.corr_blocks(df, ["x", "y"]).collect()}
+    assert abs(got[("x", "y")] - want) < 1e-13 and got[("x", "x")] == 1.0
