@@ -394,7 +394,9 @@ def feature_stages(spec: TableSpec, power: bool = True, ratios: bool = True) ->
 
 
 def build_feature_pipeline(spec: TableSpec) -> Pipeline:
-    return Pipeline(stages=feature_stages(spec))
+    from tallymark.operators.together import FeaturePipeline
+
+    return FeaturePipeline(stages=feature_stages(spec))
 
 
 def feature_names(model: PipelineModel) -> list[str]:

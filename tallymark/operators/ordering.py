@@ -155,7 +155,7 @@ def _grid_step(prob: str, sampled: str, up: bool) -> str:
 def _first_brackets(
     df: DataFrame,
     cols: Sequence[str],
-    probs: Sequence[float],
+    probs: Sequence[Sequence[float]],
     by: Sequence[str],
     extras: Mapping[str, str],
     share: float,
@@ -170,20 +170,21 @@ def _first_brackets(
     if share < 1.0:
         ends = [g / GRID for g in range(GRID + 1)]
     else:
-        ends = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    points = "array(" + ", ".join(_number(float(e)) for e in ends) + ")"
+        ends = None
     aggs, stats, brackets = [], [], []
     for i, c in enumerate(cols):
+        around = ends or [p for q in probs[i] for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
+        points = "array(" + ", ".join(_number(float(e)) for e in around) + ")"
         x = f"double({quoted(c)})"
         held = x if share >= 1.0 else f"if({inside_sample}, {x}, NULL)"
         aggs += [f"count({x}) AS __n{i}", f"min({x}) AS __min{i}", f"max({x}) AS __max{i}"]
-        if probs:
+        if probs[i]:
             aggs.append(f"percentile_approx({held}, {points}, {SKETCH_ACCURACY}) AS __q{i}")
             aggs.append(f"count({held}) AS __m{i}")
         aggs += [f"{agg.format(x=x)} AS __x{i}_{name}" for name, agg in extras.items()]
         told = "".join(f", '{name}', __x{i}_{name}" for name in extras)
         stats.append(f"named_struct('count', __n{i}, 'min', __min{i}, 'max', __max{i}{told})")
-        for j, q in enumerate(probs):
+        for j, q in enumerate(probs[i]):
             # the slack covers the sketch error and both neighbouring ranks from this size on
             whole = f"__n{i} <= {WHOLE_ROWS}"
             if share < 1.0:
@@ -212,7 +213,7 @@ def _first_brackets(
 def _narrow(
     df: DataFrame,
     cols: Sequence[str],
-    probs: Sequence[float],
+    probs: Sequence[Sequence[float]],
     by: Sequence[str],
     state: Settled,
 ) -> DataFrame:
@@ -221,8 +222,8 @@ def _narrow(
     rows, inside_sample = _sampled(rows, min(1.0, SAMPLE_ROWS / max(_fullest(state), 1)))
     grid = "array(" + ", ".join(_number(g / GRID) for g in range(GRID + 1)) + ")"
     aggs, brackets = [], []
-    for k in range(len(cols) * len(probs)):
-        x, q = f"double({quoted(cols[k // len(probs)])})", float(probs[k % len(probs)])
+    for k, (c, q) in enumerate((c, float(q)) for c, some in zip(cols, probs) for q in some):
+        x = f"double({quoted(c)})"
         low, high = at(k, "low"), at(k, "high")
         within = f"{x} >= {low} AND {x} <= {high}"
         held = f"if({within} AND {inside_sample}, {x}, NULL)"
@@ -248,33 +249,30 @@ def _narrow(
 
 
 def _count_whole(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]
+    df: DataFrame, cols: Sequence[str], probs: Sequence[Sequence[float]], by: Sequence[str]
 ) -> DataFrame:
     """The quantiles by the built-in aggregate, for groups known to be of ``WHOLE_ROWS`` at most."""
-    wanted = "array(" + ", ".join(_number(float(p)) for p in probs) + ")"
+    wanted = ["array(" + ", ".join(_number(float(p)) for p in some) + ")" for some in probs]
     wide = _grouped(
-        df, by, [f"percentile(double({quoted(c)}), {wanted}) AS __q{i}" for i, c in enumerate(cols)]
-    )
-    listed = ", ".join(
-        f"named_struct('k', {i * len(probs) + j}, 'value', __q{i}[{j}])"
-        for i in range(len(cols))
-        for j in range(len(probs))
+        df, by, [f"percentile(double({quoted(c)}), {wanted[i]}) AS __q{i}" for i, c in enumerate(cols)]
     )
+    places = [(i, j) for i in range(len(cols)) for j in range(len(probs[i]))]
+    listed = ", ".join(f"named_struct('k', {k}, 'value', __q{i}[{j}])" for k, (i, j) in enumerate(places))
     return wide.selectExpr(*map(quoted, by), f"inline(array({listed}))").filter("value IS NOT NULL")
 
 
 def _count_brackets(
     df: DataFrame,
     cols: Sequence[str],
-    probs: Sequence[float],
+    probs: Sequence[Sequence[float]],
     by: Sequence[str],
     state: Settled,
 ) -> DataFrame:
     """Read the wanted ranks off the counted values inside the brackets."""
     rows, at = _with_brackets(df, state, by)
     within, below, held, places = [], [], [], []
-    for k in range(len(cols) * len(probs)):
-        x = f"double({quoted(cols[k // len(probs)])})"
+    for k, c in enumerate(c for c, some in zip(cols, probs) for _ in some):
+        x = f"double({quoted(c)})"
         n, low, high = at(k, "n"), at(k, "low"), at(k, "high")
         # rows of a bracket that holds one value are counted without being listed
         inside = f"({x} >= {low} AND {x} <= {high} AND {low} < {high})"
@@ -303,9 +301,9 @@ def _count_brackets(
     cells = cells.withColumn(
         "upto", F.sum("count").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     )
-    wanted = "array(" + ", ".join(_number(float(p)) for p in probs) + ")"
+    wanted = "array(" + ", ".join(_number(float(p)) for some in probs for p in some) + ")"
     picked = (
-        cells.withColumn("pos", F.expr(f"(n - 1) * get({wanted}, k % {len(probs)})"))
+        cells.withColumn("pos", F.expr(f"(n - 1) * get({wanted}, k)"))
         .withColumn("rank", F.expr("bigint(floor(pos))"))
         .withColumn("following", F.expr("least(rank + 1, n - 1)"))
         .groupBy(*by, "k")
@@ -381,13 +379,21 @@ def _no_nan(df: DataFrame, c: str) -> Column:
     return F.col(quoted(c))
 
 
-def _fit_quantiles(df, cols, probs, by, extras, stats: bool = True) -> tuple[Settled | None, Settled | None]:
-    """Statistics and quantiles; without ``stats`` a small table is read for its quantiles alone."""
+def _fit_quantiles(
+    df, cols, probs, by, extras, stats: bool = True, rows: int | None = None
+) -> tuple[Settled | None, Settled | None]:
+    """Statistics and quantiles; without ``stats`` a small table is read for its quantiles alone.
+
+    ``probs`` are shared by the columns, or one list of the same length for each. ``rows``, where the
+    caller knows it, saves the pass that counts.
+    """
+    shared = not probs or not isinstance(probs[0], Sequence)
+    probs = [list(probs)] * len(cols) if shared else [list(p) for p in probs]
     base = df.select(*by, *[_no_nan(df, c) for c in dict.fromkeys(cols) if c not in by])
     keep = settle if by else settle_wide
-    if not probs:
+    if not any(probs):
         return keep(_first_brackets(base, cols, probs, by, extras, 1.0, 0)), None
-    rows = base.count()
+    rows = base.count() if rows is None else rows
     if not stats and not by and rows <= WHOLE_ROWS:
         return None, keep(_count_whole(base, cols, probs, by))
     share = 1.0 if rows <= SAMPLE_ABOVE else SAMPLE_ROWS / rows
@@ -400,7 +406,7 @@ def _fit_quantiles(df, cols, probs, by, extras, stats: bool = True) -> tuple[Set
                 break
             state = keep(_narrow(base, cols, probs, by, state))
         found = keep(_count_brackets(base, cols, probs, by, state))
-        if not _missed(state, found, len(probs)):
+        if not _missed(state, found, len(probs[0])):
             return state, found
     raise RuntimeError("a quantile lies outside its bracket")
 
@@ -421,13 +427,20 @@ def _fullest(state: Settled) -> int:
 
 
 def quantile_values(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float]
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float] | Sequence[Sequence[float]],
+    rows: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles of whole columns on the driver: one short list per column."""
-    _, found = _fit_quantiles(df, list(cols), list(probs), [], {}, stats=False)
-    out = {c: [None] * len(probs) for c in cols}
+    """Exact quantiles of whole columns on the driver: one short list per column.
+
+    ``probs`` are shared by all columns, or one list of the same length per column.
+    """
+    _, found = _fit_quantiles(df, list(cols), list(probs), [], {}, stats=False, rows=rows)
+    width = len(probs[0]) if probs and isinstance(probs[0], Sequence) else len(probs)
+    out = {c: [None] * width for c in cols}
     for r in found.rows:
-        out[cols[r["k"] // len(probs)]][r["k"] % len(probs)] = r["value"]
+        out[cols[r["k"] // width]][r["k"] % width] = r["value"]
     return out
 
 

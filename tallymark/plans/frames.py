@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.plans.registry import table
 from tallymark.session import scratch_path
-from tallymark.sources.ingest import ingest, read_table, write_layer
+from tallymark.sources.ingest import ingest, write_layer
 from tallymark.spec import Bound, TableSpec
 
 HASH = "md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}'))"
@@ -100,7 +100,8 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     columns instead of parsing text cells or whole documents again.
     """
     base = scratch_path(df.sparkSession, "layers")
-    return read_table(df.sparkSession, write_layer(df, base, "intermediate", name))
+    path = write_layer(df, base, "intermediate", name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # a known schema saves a look into the files
 
 
 def landed_docs(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ from tallymark.operators import features as feats
 from tallymark.operators import metrics as met
 from tallymark.operators import prepare as prep
 from tallymark.operators.calibration import platt
+from tallymark.operators.together import FeaturePipeline
 from tallymark.plans.diagnostics import calibrate, oversample, quantile_rule
 from tallymark.plans.frames import (
     DOC_SPEC,
@@ -179,9 +180,8 @@ def _split_events(spark, sf):
 def imputed_events(spark, sf):
     rows = _split_events(spark, sf).select("event_id", "split", "value", "k", "event_type")
     train = rows.filter("split = 'train'")
-    for stage in (feats.MedianImputer(["value", "k"]), feats.ModeImputer(["event_type"])):
-        rows = stage.fit(train).transform(rows)
-    return rows
+    pipe = FeaturePipeline(stages=[feats.MedianImputer(["value", "k"]), feats.ModeImputer(["event_type"])])
+    return pipe.fit(train).transform(rows)
 
 
 @query(
@@ -222,11 +222,9 @@ _KINDS = ["click", "purchase", "view"]
 )
 def one_hot_events(spark, sf):
     """Learned without sign-ups, applied to all rows: an unseen or missing type is all zeros."""
-    from pyspark.ml import Pipeline
-
     rows = ingest(messy_events(spark, sf), EVENT_SPEC).select("event_id", "event_type")
     train = rows.filter("event_type <> 'signup'")
-    model = Pipeline(stages=feats.one_hot(["event_type"])).fit(train)
+    model = FeaturePipeline(stages=feats.one_hot(["event_type"])).fit(train)
     hot = vector_to_array("event_type__hot")
     return model.transform(rows).select(
         "event_id", *[hot[i].alias(f"hot_{v}") for i, v in enumerate(_KINDS)]
@@ -292,14 +290,12 @@ def fitted_power_lambdas(spark, sf):
 )
 def learned_medians(spark, sf):
     """The report of learned parameters, restricted to the medians."""
-    from pyspark.ml import Pipeline
-
     spec = DOC_SPEC
     stages = [
         feats.RatioFeatures(spec.ratios),
         feats.MedianImputer([*spec.skewed, *spec.regular]),
     ]
-    fitted = feats.fitted_parameters(Pipeline(stages=stages).fit(_train(spark, sf)))
+    fitted = feats.fitted_parameters(FeaturePipeline(stages=stages).fit(_train(spark, sf)))
     return fitted.select("feature", F.round(F.col("value").cast("double"), 6).alias("median"))
 
 
@@ -319,10 +315,8 @@ def learned_medians(spark, sf):
 )
 def routed_features(spark, sf):
     """Numeric and categorical roles through the assembled pipeline, read back by slot name."""
-    from pyspark.ml import Pipeline
-
     rows = _split_docs(spark, sf).select("doc_id", "split", "lang", "n_lines", "n_digits")
-    pipe = Pipeline(stages=feats.route([], ["n_lines", "n_digits"], ["lang"]))
+    pipe = FeaturePipeline(stages=feats.route([], ["n_lines", "n_digits"], ["lang"]))
     train = rows.filter("split = 'train'")
     model = pipe.fit(train)
     vector = vector_to_array("features")

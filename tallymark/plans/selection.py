@@ -16,7 +16,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,7 @@ from tallymark.operators.metrics import METRICS, evaluate
 from tallymark.operators.models import Family, positive_score
 from tallymark.operators.ordering import class_counts, fit_cuts, local_frame
 from tallymark.operators.prepare import stratified_folds
+from tallymark.operators.together import FeaturePipeline
 
 REFIT = "balanced_accuracy"
 
@@ -53,7 +54,7 @@ def held(*frames: DataFrame):
 def transformed(stages: Sequence, y: str, train: DataFrame, *others: DataFrame):
     """Fit the feature stages on the training part only and hold the vectors of all parts."""
     with held(train):
-        features = Pipeline(stages=list(stages)).fit(train)
+        features = FeaturePipeline(stages=list(stages)).fit(train)
         parts = [features.transform(f).select(y, "features") for f in (train, *others)]
         with held(*parts) as kept:
             yield features, kept
@@ -177,7 +178,7 @@ def _batched_folds(models, stages, df, y, fold, train_scores, parallelism) -> li
 
         def work(i):
             inside, outside = kept.filter(F.col(fold) != i), kept.filter(F.col(fold) == i)
-            features = Pipeline(stages=list(stages())).fit(inside)
+            features = FeaturePipeline(stages=list(stages())).fit(inside)
             return {p: features.transform(f).select(y, "features") for p, f in (("train", inside), ("test", outside))}
 
         groups = dict(enumerate(_parallel(folds, work, parallelism)))
@@ -420,7 +421,7 @@ def learning_curve(
             def parts_of(task):
                 i, step = task
                 part, outside = ordered[i].filter(F.col("__step") <= step), kept.filter(F.col(fold) == i)
-                features = Pipeline(stages=list(stages())).fit(part)
+                features = FeaturePipeline(stages=list(stages())).fit(part)
                 return {p: features.transform(f).select(y, "features") for p, f in (("train", part), ("test", outside))}
 
             found = fit_batch({"model": family}, dict(enumerate(_parallel(tasks, parts_of, parallelism))), y)
