@@ -35,6 +35,19 @@ SENTENCES: dict[str, str] = {
     "bsd-name": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "reserved": "All rights reserved.",
+    "mit-project": "This project is licensed under the MIT License",
+    "apache-project": "This project is licensed under the Apache License 2.0",
+    "bsd-advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "zero-bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "gpl2-grant": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "lgpl21-grant": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-grant": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "unlicense-grant": "This is free and unencumbered software released into the public domain.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "cc0-grant": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
 }
 
 #: Licence, and the sentences that stand for it in this order; an earlier rule takes its sentences before a later one looks.
@@ -43,6 +56,11 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache-grant", "apache-copy", "apache-warranty")),
     ("Apache-2.0", ("apache-grant", "apache-copy")),
     ("GPL-3.0-or-later", ("gpl-grant", "gpl-warranty")),
+    ("GPL-2.0-or-later", ("gpl2-grant", "gpl-warranty")),
+    ("GPL-2.0-only", ("gpl2-only", "gpl-warranty")),
+    ("AGPL-3.0-or-later", ("agpl-grant", "gpl-warranty")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-advertising", "bsd-name")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-advertising")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-name")),
     ("BSD-2-Clause", ("bsd-grant",)),
     ("MIT", ("mit-grant",)),
@@ -57,6 +75,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", ("cc-by-notice",)),
     ("CC-BY-4.0", ("cc-by-long",)),
     ("MPL-2.0", ("mpl-notice",)),
+    ("MIT", ("mit-project",)),
+    ("Apache-2.0", ("apache-project",)),
+    ("ISC", ("isc-grant",)),
+    ("0BSD", ("zero-bsd-grant",)),
+    ("GPL-2.0-or-later", ("gpl2-grant",)),
+    ("GPL-2.0-only", ("gpl2-only",)),
+    ("LGPL-2.1-or-later", ("lgpl21-grant",)),
+    ("LGPL-3.0-or-later", ("lgpl3-grant",)),
+    ("AGPL-3.0-or-later", ("agpl-grant",)),
+    ("Unlicense", ("unlicense-grant",)),
+    ("Zlib", ("zlib-grant",)),
+    ("CC0-1.0", ("cc0-grant",)),
     ("proprietary", ("reserved",)),
 )
 

@@ -21,6 +21,10 @@ PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Suffixes of two labels below which names are registered; any other suffix is the last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "co.nz", "com.br", "co.in", "co.za")
 
+#: A numeric address instead of a name, and what stands for the suffix of all of them (no name can have it).
+ADDRESS = r"(?s)\A(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*\])\z"
+ADDRESSES = "[address]"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -58,15 +62,25 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
+def site_of(host: Column) -> Column:
+    """The bare name or address of a host: without user, port and closing dot."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", ""), r"(?<=.)\.\z", "")
+
+
 def site_levels(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
-    """(suffix, registered domain) of a host; a host of one label is its own suffix and domain."""
-    two = F.substring_index(host, ".", -2)
-    double = two.isin(list(suffixes))
-    suffix = F.when(double, two).otherwise(F.substring_index(host, ".", -1))
-    return suffix, F.when(double, F.substring_index(host, ".", -3)).otherwise(two)
+    """(suffix, registered domain) of a host; a host of one label is its own suffix and domain.
+
+    User, port and a closing dot tell nothing of the site. An address (four numbers, or in brackets) is a domain of its own, and
+    all addresses share ADDRESSES as their suffix.
+    """
+    site = site_of(host)
+    two = F.substring_index(site, ".", -2)
+    double, address = two.isin(list(suffixes)), site.rlike(ADDRESS)
+    suffix = F.when(address, F.lit(ADDRESSES)).when(double, two).otherwise(F.substring_index(site, ".", -1))
+    return suffix, F.when(address, site).when(double, F.substring_index(site, ".", -3)).otherwise(two)
 
 
-def host_posteriors(urls: DataFrame, outcomes: DataFrame, key: str, url: str = "url") -> DataFrame:
+def host_posteriors(urls: DataFrame, outcomes: DataFrame, key: str, url: str = "url", suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """suffix, domain, host, n, bad, alpha, beta for every host of `urls` (columns `key` and `url`).
 
     `outcomes` has `key` and a boolean `is_bad`; rows whose key or `is_bad` is null tell nothing, each other row is one outcome of
@@ -77,13 +91,13 @@ def host_posteriors(urls: DataFrame, outcomes: DataFrame, key: str, url: str = "
     )
     pages = urls.select(key, host_of(F.col(f"`{url}`")).alias("host")).join(counted, key, "left")
     hosts = pages.groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    suffix, domain = site_levels(F.col("host"))
+    suffix, domain = site_levels(F.col("host"), suffixes)
     return posteriors(saved(hosts.select(suffix.alias("suffix"), domain.alias("domain"), "host", "n", "bad"), "hosts"), ["suffix", "domain", "host"])
 
 
 def url_filter(
     pages: DataFrame, outcomes: DataFrame, key: str = "page_id", url: str = "url",
-    rules: Sequence[Rule] = RULES, z: float = 2.0, threshold: float = 0.5,
+    rules: Sequence[Rule] = RULES, z: float = 2.0, threshold: float = 0.5, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """`key`, host, path, rule, verdict, host_outcomes and bad_bound for each row of `pages`.
 
@@ -91,7 +105,7 @@ def url_filter(
     else `allow`. A null URL, or one without `://`, has an empty host and path; the pages without a host count as one host.
     Without outcomes nothing but the rules blocks. Repeated rows are judged alike; other columns of `pages` are not read.
     """
-    hosts = host_posteriors(pages.select(key, url), outcomes, key, url)
+    hosts = host_posteriors(pages.select(key, url), outcomes, key, url, suffixes)
     bounds = hosts.select("host", F.col("n").alias("host_outcomes"), lower_bound(z).alias("bad_bound"))
     parts = pages.select(key, host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)

@@ -84,3 +84,25 @@ def test_full_texts_wrapped_commented_and_on_one_line(spark):
 def test_short_notices_begin_a_sentence(spark):
     got = found(spark, "It is not licensed under the MIT License.", "Copyright Jane Roe, all rights\n# reserved.", "Copyright Jane Roe All rights reserved")
     assert got == [([], []), (["reserved"], ["proprietary"]), (["reserved"], ["proprietary"])]
+
+
+BSD4 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+3. All advertising materials mentioning features or use of this software must display the following acknowledgement:
+   This product includes software developed by the organization.
+4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+
+
+def test_clauses_and_versions_that_tell_licences_apart(spark):
+    isc = SENTENCES["isc-grant"]
+    texts = {
+        BSD4: "BSD-4-Clause", BSD4.split("\n4.")[0]: "BSD-4-Clause", textwrap.fill(BSD, 60): "BSD-3-Clause",
+        "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+        "This project is licensed under the Apache License 2.0, see LICENSE.": "Apache-2.0",
+        textwrap.fill(isc, 70): "ISC", SENTENCES["zero-bsd-grant"]: "0BSD",
+        textwrap.indent(textwrap.fill(SENTENCES["gpl2-grant"] + " " + SENTENCES["gpl-warranty"], 70), " * "): "GPL-2.0-or-later",
+        SENTENCES["gpl2-only"]: "GPL-2.0-only", textwrap.fill(SENTENCES["lgpl21-grant"], 50): "LGPL-2.1-or-later",
+        SENTENCES["lgpl3-grant"]: "LGPL-3.0-or-later", SENTENCES["agpl-grant"]: "AGPL-3.0-or-later", GPL: "GPL-3.0-or-later",
+    }
+    assert [licenses for _, licenses in found(spark, *texts)] == [[name] for name in texts.values()]

@@ -1,8 +1,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tallymark.llm import shrinkage
-from tallymark.llm.reputation import RULES, Rule, page_outcomes, url_filter
+from tallymark.llm.reputation import ADDRESSES, RULES, Rule, host_posteriors, page_outcomes, site_levels, url_filter
 
 URLS = [
     None, "", "plain", "http://A.Example.NET/en/x?y#z", "https://example.com", "https://example.com/de", "https://x.EXAMPLE.com/de/1", "https://notexample.com/de/1",
@@ -65,3 +67,28 @@ def test_strength():
     assert shrinkage.strength(None, None, None) == shrinkage.UNKNOWN
     assert shrinkage.strength(1.0, 2.0, 5.0) == shrinkage.STRONGEST
     assert shrinkage.strength(100.0, 1.0, 10.0) == shrinkage.WEAKEST
+
+
+def test_users_ports_dots_and_addresses(spark):
+    wanted = {
+        "a.b.example.com": ("com", "example.com"), "example.com:8080": ("com", "example.com"), "example.com.": ("com", "example.com"),
+        "me:pw@www.example.co.uk:1": ("co.uk", "example.co.uk"), "example.com.:80": ("com", "example.com"), "example.com:": ("com", "example.com"),
+        "1.2.3.4": (ADDRESSES, "1.2.3.4"), "9.8.3.4:81": (ADDRESSES, "9.8.3.4"), "[2001:db8::1]:443": (ADDRESSES, "[2001:db8::1]"),
+        "[::1]": (ADDRESSES, "[::1]"), "1.2.3.com": ("com", "3.com"), "localhost": ("localhost", "localhost"), "": ("", ""), ".": (".", "."), "co.uk": ("co.uk", "co.uk"),
+    }
+    df = spark.createDataFrame([(h,) for h in wanted], "host string")
+    got = {r.host: (r.suffix, r.domain) for r in df.select("host", *[c.alias(n) for c, n in zip(site_levels(F.col("host")), ("suffix", "domain"))]).collect()}
+    wanted["."] = ("", ".")
+    assert got == wanted
+
+
+def test_ports_share_a_domain_and_addresses_do_not(spark):
+    urls = ["http://x.com:81/a", "http://x.com:82/a", "http://1.2.3.4/a", "http://9.8.3.4/a", "http://y.zone.io/a", "http://z.zone.io/a"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    outcomes = spark.createDataFrame([(i, True) for i in (0, 2, 4)], "page_id bigint, is_bad boolean")
+    hosts = {r.host: r for r in host_posteriors(pages, outcomes, "page_id").collect()}
+    assert {h: r.domain for h, r in hosts.items()} == {
+        "x.com:81": "x.com", "x.com:82": "x.com", "1.2.3.4": "1.2.3.4", "9.8.3.4": "9.8.3.4", "y.zone.io": "zone.io", "z.zone.io": "zone.io"
+    }
+    other = {r.host: r.domain for r in host_posteriors(pages, outcomes, "page_id", suffixes=("zone.io",)).collect()}
+    assert other["y.zone.io"] == "y.zone.io" and other["z.zone.io"] == "z.zone.io"
