@@ -6,7 +6,8 @@ Equal sets are one set from the start. A link between two different sets is foun
   enumerated; a shared subset proves the link.
 * *Large sets*: inverted lists over the first shingles of each set in one global order, just so many that linked sets share one
   (very frequent shingles come last in the order). Each list is scanned from its hub; light lists that a scan leaves
-  unconnected are compared pair by pair across components, heavy lists in blocks of packed bit sketches.
+  unconnected are compared pair by pair across components, heavy lists by short bit sketches, the longest of them by bands of
+  sizes and in blocks.
 
 The boundary is the one with the least cost over the histogram of sizes. Candidates pass a lossless filter (parity sketches: their
 distance is never larger than the sets' difference) and are then verified on the shingles themselves.
@@ -35,8 +36,11 @@ from tallymark.llm.words import SPACED, hash_words, mix, slices, windows
 
 #: Lists of at most so many sets are light.
 LIGHT = 8
-#: Sets that are compared with each other at once in a heavy list.
+#: Sets that are compared with each other at once in a heavy list; longer lists are cut into bands and blocks.
 BLOCK = 2048
+#: Pairs of a heavy list that are gathered before their sketches are compared, and bytes of sketches unpacked at once.
+GATHERED = 200_000
+UNPACKED = 4 << 20
 #: Shingles that count as very frequent, at most (8 bytes each are broadcast); any choice gives the same links.
 FREQUENT = 262_144
 #: Occurrences within one piece of a batch from which a shingle is reported as perhaps frequent.
@@ -65,6 +69,10 @@ class Likeness:
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
 
+    def short(self, n: int) -> int:
+        """Bits of a short sketch (a power of two): enough to put unrelated sets at about twice the distance that a link allows."""
+        return 1 << max(6, (8 * (n - self.overlap(n, n)) - 1).bit_length())
+
 
 @cache
 def _left_out(n: int, kept: int) -> np.ndarray:
@@ -123,13 +131,18 @@ def _folded(sketch: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
 
 
+def _short(sketch: bytes, n: int, like: Likeness) -> bytes:
+    return _folded(sketch, min(len(sketch), like.short(n) // 8)).tobytes()
+
+
 def digests(docs: DataFrame, key: str, text: str, like: Likeness) -> tuple[DataFrame, DataFrame]:
-    """(key, set_id, n_shingles, sketch) of each row, and (shingle, times) of shingles that are frequent in some piece.
+    """(key, set_id, n_shingles, sketch, short_sketch) of each row, and (shingle, times) of shingles that are frequent in some piece.
 
-    An empty or null text has an empty set: set_id null and no sketch.
+    An empty or null text has an empty set: set_id null and no sketches.
     """
     kind = next(t.dataType for t in docs.schema if t.name == key)
-    schema = f"kind int, {key} {kind.simpleString()}, set_id bigint, n_shingles bigint, sketch binary"
+    names = ["kind", key, "set_id", "n_shingles", "sketch", "short_sketch"]
+    schema = f"kind int, {key} {kind.simpleString()}, set_id bigint, n_shingles bigint, sketch binary, short_sketch binary"
 
     def batches(them):
         for batch in them:
@@ -139,19 +152,20 @@ def digests(docs: DataFrame, key: str, text: str, like: Likeness) -> tuple[DataF
                 seen, at = np.unique(ids, return_index=True)
                 values, times = np.unique(np.concatenate([sets[i] for i in at]), return_counts=True)
                 often = times >= REPORTED
+                sketches = [_sketch(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(len(sets), np.int32)), piece.column(key),
                         pa.array(ids.view(np.int64), mask=np.array(sizes) == 0), pa.array(sizes, pa.int64()),
-                        pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()),
-                    ], names=["kind", key, "set_id", "n_shingles", "sketch"],
+                        pa.array(sketches, pa.binary()), pa.array([x and _short(x, n, like) for x, n in zip(sketches, sizes)], pa.binary()),
+                    ], names=names,
                 )
                 k = int(often.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.ones(k, np.int32)), pa.nulls(k, piece.column(key).type), pa.array(values[often].view(np.int64)),
-                        pa.array(times[often].astype(np.int64)), pa.nulls(k, pa.binary()),
-                    ], names=["kind", key, "set_id", "n_shingles", "sketch"],
+                        pa.array(times[often].astype(np.int64)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
+                    ], names=names,
                 )
 
     both = saved(docs.select(key, text).mapInArrow(batches, schema), "digests")
@@ -267,35 +281,102 @@ def _verified(docs: DataFrame, text: str, pairs: DataFrame, like: Likeness) -> D
     return out
 
 
+def _band(size: str) -> str:
+    """The band of a size, four to each power of two."""
+    return f"(4 * length(bin({size})) + cast(shiftright(8L * ({size}), length(bin({size}))) & 3 as int))"
+
+
 def _across(lists: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of different components in heavy lists that sketches, sizes and places allow; lists are compared block by block."""
-    blocks = lists.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
-    rows = lists.join(blocks, "token").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    rows = rows.join(sketches.select("set_id", "sketch"), "set_id")
-    # a block meets each block of its list once: (i, j) with i <= j
-    pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sketches, size = rows["sketch"].tolist(), min(map(len, rows["sketch"]))
-        bits = np.stack([_folded(s, size) for s in sketches])
-        n, rest = rows["size"].to_numpy(np.int64), (rows["size"] - rows["place"]).to_numpy(np.int64)
-        group, block, ids = rows["component"].to_numpy(), rows["block"].to_numpy(), rows["set_id"].to_numpy()
-        i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-        second = np.flatnonzero(block == j)
-        found = []
-        for k in np.flatnonzero(block == i).tolist():
-            total = n[second] + n[k]
-            need = -(-like.num * total // (like.num + like.den))
-            fits = (np.minimum(rest[second], rest[k]) >= need) & (group[second] != group[k]) & (ids[second] != ids[k])
-            others = second[fits]
-            apart = np.bitwise_count(bits[others] ^ bits[k]).sum(axis=1, dtype=np.int64)
-            near = others[apart <= (total - 2 * need)[fits]]
-            if len(near):
-                found.append(pd.DataFrame({"a": np.minimum(ids[near], ids[k]), "b": np.maximum(ids[near], ids[k])}))
-        return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": ids[:0], "b": ids[:0]})
-
-    return pairs.groupBy("token", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+    """Pairs (a, b) of different components in heavy lists that short sketches, sizes and places allow.
+
+    Lists of more than a block are cut into bands of sizes. A set is at home in the band of its size if it can be the smaller one of a
+    pair by its place, and visits the bands of all sets that can be the smaller one beside it. So a pair meets in the band of its
+    smaller set. Bands are compared block by block.
+    """
+    total, keys = like.num + like.den, ["token", "band", "i", "j"]
+    zero = F.lit(0)
+    whole = lists.filter(F.col("rows") <= BLOCK).drop("rows").withColumns({"band": zero, "home": F.lit(True), "block": zero, "i": zero, "j": zero})
+    least, most = f"({like.num}L * size + {like.den - 1}) div {like.den}", f"least(size, (size - place) * {total}L div {like.num} - size)"
+    rows = lists.filter(F.col("rows") > BLOCK).drop("rows").filter(F.expr(f"{most} >= {least}"))
+    rows = rows.withColumn("band", F.explode(F.expr(f"sequence({_band(least)}, {_band(most)})")))
+    rows = rows.withColumn("home", F.expr(f"band = {_band('size')} and (size - place) * {total}L >= 2L * size * {like.num}"))
+    bands = rows.groupBy("token", "band").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("home").alias("homes"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    )
+    bands = bands.filter("homes and lo < hi").select("token", "band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(bands, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    # a block meets each block of its band once: (i, j) with i <= j
+    rows = rows.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+    pairs = whole.unionByName(rows).join(sketches.select("set_id", "short_sketch"), "set_id")
+
+    def found(rows: pa.RecordBatch, first: np.ndarray) -> pa.RecordBatch:
+        """The near pairs of whole groups that lie one behind the other from the places `first` on."""
+        ids, group, block, size, place, home, i, j = (
+            rows.column(c).to_numpy(zero_copy_only=False) for c in ("set_id", "component", "block", "size", "place", "home", "i", "j")
+        )
+        size, alone = size.astype(np.int64), i == j
+        rest = size - place
+        ends = np.repeat(np.append(first[1:], rows.num_rows), np.diff(first, append=rows.num_rows))
+        texts = rows.column("short_sketch").to_pylist()
+        lengths = np.array([len(x) for x in texts])
+        at, packed = np.zeros(rows.num_rows, np.int64), {}
+        for length in np.unique(lengths).tolist():
+            those = np.flatnonzero(lengths == length)
+            at[those] = np.arange(len(those))
+            packed[length] = np.frombuffer(b"".join(texts[k] for k in those), np.uint8).reshape(-1, length)
+
+        def near(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+            """Which of the pairs have sketches that allow a link; sketches of two lengths meet at the shorter."""
+            both = size[p] + size[q]
+            allowed = both + 2 * (-like.num * both // total)
+            keep = np.zeros(len(p), bool)
+            kinds = lengths[p] * (1 << 32) + lengths[q]
+            for kind in np.unique(kinds).tolist():
+                one, two = kind >> 32, kind & 0xFFFFFFFF
+                length, those = min(one, two), np.flatnonzero(kinds == kind)
+                step = max(1, UNPACKED // max(one, two))
+                for lo in range(0, len(those), step):
+                    some = those[lo : lo + step]
+                    x, y = packed[one][at[p[some]]], packed[two][at[q[some]]]
+                    x, y = (np.bitwise_xor.reduce(z.reshape(len(some), -1, length), axis=1) for z in (x, y))
+                    keep[some] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= allowed[some]
+            return keep
+
+        out, waiting, held, p, step = [], [], 0, np.arange(rows.num_rows), 0
+        while len(p):
+            step += 1
+            p = p[p + step < ends[p]]
+            q = p + step
+            need = -(-like.num * (size[p] + size[q]) // total)
+            fits = (np.minimum(rest[p], rest[q]) >= need) & (group[p] != group[q]) & (home[p] | home[q]) & (alone[p] | (block[p] != block[q]))
+            waiting.append((p[fits], q[fits]))
+            held += len(waiting[-1][0])
+            if held >= GATHERED or not len(p):
+                a, b = (np.concatenate(side) for side in zip(*waiting))
+                keep = near(a, b)
+                out.append((a[keep], b[keep]))
+                waiting, held = [], 0
+        a, b = (ids[np.concatenate(side)] for side in zip(*out))
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in them:
+            if batch.num_rows == 0:
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            values = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in keys])
+            first = np.append(0, np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1)
+            # the last group may go on in the next batch
+            if len(first) > 1:
+                yield found(rows.slice(0, int(first[-1])), first[:-1])
+            held = rows.slice(int(first[-1]))
+        if held is not None:
+            yield found(held, np.zeros(1, np.int64))
+
+    return pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(batches, "a bigint, b bigint")
 
 
 def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -304,7 +385,9 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     sizes = rows.filter(F.col("n_shingles").between(1, 2 * SMALLEST_LARGE)).groupBy("n_shingles").count().collect()
     boundary = best_boundary(like, {r[0]: r[1] for r in sizes})
     entries = _entries(docs, text, like, boundary, share(spark, _frequent(frequent)))
-    sketches = rows.filter("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    by_set = rows.filter("set_id is not null").groupBy("set_id")
+    sketches = by_set.agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    short = by_set.agg(F.first("short_sketch").alias("short_sketch"))
 
     # lists with at least two sets; copies of a set count once (sides that grow with the corpus are never broadcast)
     lists = entries.groupBy("token", "kind").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
@@ -337,10 +420,9 @@ def set_links(docs: DataFrame, text: str, like: Likeness, rows: DataFrame, frequ
     rest = saved(grouped.join(apart.filter("lo < hi and rows > 2").select("token", "rows"), "token"), "rest")
     forget(members)
     light = rest.filter(F.col("rows") <= LIGHT)
-    near = light.alias("a").join(light.alias("b"), "token").filter("a.component < b.component").filter(_fits(like)).select(*ordered).distinct()
-    more = _near_sketches(near, sketches, like).unionAll(_across(rest.filter(F.col("rows") > LIGHT).drop("rows"), sketches, like)).distinct()
-    tested = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _verified(docs, text, more.join(tested, ["a", "b"], "left_anti"), like)
+    near = light.alias("a").join(light.alias("b"), "token").filter("a.component < b.component").filter(_fits(like)).select(*ordered)
+    more = near.unionAll(_across(rest.filter(F.col("rows") > LIGHT), short, like)).distinct()
+    second = _verified(docs, text, _near_sketches(more, sketches, like), like)
     forget(rest)
     return links.unionAll(second)
 
@@ -363,7 +445,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     placed = saved(placed, "components")
     named = placed.groupBy("set_component").agg(F.min("least").alias("component_id"))
     every = placed.join(named, "set_component").select("set_id", "set_component", "component_id")
-    out = rows.drop("sketch").join(every, "set_id", "left")
+    out = rows.drop("sketch", "short_sketch").join(every, "set_id", "left")
     alone = F.when(F.col("set_id").isNull(), F.col(key)).otherwise(F.col("component_id"))
     return out.select(key, "n_shingles", alone.alias("component_id"), "set_component", "set_id")
 

@@ -128,3 +128,62 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, 1: 1, 5: 1, 9: 1, 3: 3, 4: 3}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_heavy_lists_of_mixed_sizes_need_few_shingles(spark, monkeypatch):
+    """A short text in a list must not blind the comparison of the long ones: only pairs near a link are verified."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{rng.random()}" for _ in range(60))
+    base = [f"b{i}" for i in range(1500)]
+    texts = [passage] + [passage + " " + " ".join(f"t{t}x{i}" for i in range(1400 + 10 * t)) for t in range(12)]
+    texts += [passage + " " + " ".join(base), passage + " " + " ".join([*base[:-40], *(f"c{i}" for i in range(40))])]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    asked, verified = [], jaccard._verified
+
+    def counted(docs, text, pairs, like):
+        asked.append(pairs.count())
+        return verified(docs, text, pairs, like)
+
+    # without frequent shingles the lists of the passage are those of every text's first shingles
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    got = [tuple(r)[:3] for r in similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got) == sorted(brute(rows, Likeness())[0])
+    assert len(asked) == 2 and sum(asked) <= 2
+
+
+@pytest.mark.parametrize("light,block", [(2, 2048), (2, 5)])
+@pytest.mark.parametrize("like", [Likeness(), WIDE])
+def test_crowds_on_either_side_of_the_threshold(spark, monkeypatch, like, light, block):
+    """Sets that share a long run and end in own words of many lengths: sizes of several bands, links that one shingle decides."""
+    monkeypatch.setattr(jaccard, "LIGHT", light)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    monkeypatch.setattr(jaccard, "best_boundary", lambda *_: 0)
+    rng = random.Random(like.width * block)
+    texts = []
+    for crowd, run in enumerate((30, 61, 95, 127, 250)):
+        words = [f"r{crowd}x{i}" for i in range(run)]
+        for t in range(24):
+            own = [f"o{crowd}x{t}x{i}" for i in range(rng.randint(0, run * 2 * (like.den - like.num) // like.den))]
+            texts.append(" ".join(words[rng.randint(0, run // 12) :] + own))
+    rng.shuffle(texts)
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    got = [tuple(r)[:3] for r in similar_documents(spark.createDataFrame(rows, SCHEMA).repartition(3), like=like).collect()]
+    want = brute(rows, like)
+    assert 5 < len(want[1]) < len(rows)
+    assert sorted(got) == sorted(want[0])
+
+
+def test_short_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    for like in (Likeness(), WIDE, Likeness(num=40)):
+        for n in (1, 5, 63, 64, 65, 130, 500, 3000):
+            kept = like.overlap(n, n)
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[:kept], rng.integers(0, 2**63, n - kept, dtype=np.uint64)]))
+            x, y = (jaccard._short(jaccard._sketch(s), len(s), like) for s in (a, b))
+            size = min(len(x), len(y))
+            assert len(x) <= len(jaccard._sketch(a))
+            apart = int(np.bitwise_count(jaccard._folded(x, size) ^ jaccard._folded(y, size)).sum())
+            assert apart <= len(np.setxor1d(a, b))
