@@ -1,8 +1,9 @@
 """Many logistic models at once: one Spark job makes a Newton step for all of them.
 
-Each row belongs to a group (a fold, a step of a curve), and each model is fitted on the rows of one group. A pass over the rows adds up
-every model's loss, gradient and second derivatives as matrix products of Arrow batches; a task reports once per model, Spark adds the
-reports, and the driver solves one small system a model. So the number of jobs is that of the steps, whatever the number of models.
+Each row belongs to a group (a fold, a step of a curve), and each model is fitted on the rows of one group. The rows are packed once into
+matrices of one group each. A pass over these adds up every model's loss, gradient and second derivatives as matrix products; a task
+reports once per model, Spark adds the reports, and the driver solves one small system a model. So the number of jobs is that of the
+steps, whatever the number of models, and rows of different groups may come in any order.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,19 +53,66 @@ def grouped_rows(frames: Mapping[int, DataFrame], y: str, features: str = "featu
 
 
 def _blocks(them: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(group, labels, vectors with a last column of ones) of each stretch of rows of one group."""
+    """(group, labels, vectors with a last column of ones) of the rows of each group in each batch, in their order."""
     for batch in them:
         groups, labels = np.asarray(batch.column("group")), np.asarray(batch.column("y"))
         lists = batch.column("x")
         offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
-        cuts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else []
+        order = np.argsort(groups, kind="stable")
+        cuts = np.flatnonzero(np.append(True, np.diff(groups[order]) != 0)) if len(groups) else []
         for lo, hi in zip(cuts, [*cuts[1:], len(groups)]):
-            x = values[offsets[lo] : offsets[hi]].reshape(hi - lo, -1)
-            yield int(groups[lo]), labels[lo:hi], np.concatenate([x, np.ones((hi - lo, 1))], axis=1)
+            mine = order[lo:hi]
+            width = int(offsets[mine[0] + 1] - offsets[mine[0]])
+            x = np.ones((hi - lo, width + 1))
+            x[:, :width] = values[offsets[mine][:, None] + np.arange(width)]
+            yield int(groups[mine[0]]), labels[mine], x
+
+
+#: A packed matrix has about so many bytes at most, and a task holds a few times as many.
+PACKED = 4 << 20
+_PACKED_SCHEMA = "group int, width int, y binary, x binary"
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows as matrices of one group each (`_PACKED_SCHEMA`), the vectors with a last column of ones."""
+
+    def pack(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for group, parts in waiting.items():
+                y, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+                step = max(1, PACKED // x[0].nbytes)
+                for at in range(0, len(y), step):
+                    columns = [
+                        pa.array([group], pa.int32()), pa.array([x.shape[1]], pa.int32()),
+                        pa.array([y[at : at + step].tobytes()], pa.binary()), pa.array([x[at : at + step].tobytes()], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["group", "width", "y", "x"])
+            waiting.clear()
+
+        for group, y, x in _blocks(them):
+            waiting.setdefault(group, []).append((y, x))
+            held += x.nbytes + y.nbytes
+            if held >= 4 * PACKED:
+                yield from flush()
+                held = 0
+        yield from flush()
+
+    return rows.mapInArrow(pack, _PACKED_SCHEMA)
+
+
+def _matrices(them: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(group, labels, vectors with a last column of ones) of each packed matrix."""
+    for batch in them:
+        for group, width, y, x in zip(*(batch.column(n) for n in ("group", "width", "y", "x"))):
+            yield group.as_py(), np.frombuffer(y.as_buffer()), np.frombuffer(x.as_buffer()).reshape(-1, width.as_py())
 
 
 def _sums(rows: DataFrame, tasks: Sequence[Task], points: np.ndarray, open_tasks: Sequence[int]) -> dict[int, np.ndarray]:
-    """Loss, gradient and upper triangle of second derivatives of each open task at its point; (width + 1) * (width + 4) / 2 numbers each."""
+    """Loss, gradient and upper triangle of second derivatives of each open task at its point, over packed rows; each task has
+    (width + 1) * (width + 4) / 2 numbers."""
     width = points.shape[1]
     upper = np.triu_indices(width)
     by_group: dict[int, list[int]] = {}
@@ -72,15 +121,19 @@ def _sums(rows: DataFrame, tasks: Sequence[Task], points: np.ndarray, open_tasks
 
     def batches(them: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
-        for group, y, x in _blocks(them):
-            for k in by_group.get(group, []):
-                weight = np.where(y > 0.5, tasks[k].weights[1], tasks[k].weights[0])
-                margin = x @ points[k]
-                p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-                bend = (x * (weight * p * (1 - p))[:, None]).T @ x
-                loss = (weight * np.logaddexp(0, np.where(y > 0.5, -margin, margin))).sum()
-                total = np.concatenate([[loss], x.T @ (weight * (p - y)), bend[upper]])
-                totals[k] = totals[k] + total if k in totals else total
+        for group, y, x in _matrices(them):
+            positive = y > 0.5
+            for lo in range(0, len(y), 1 << 14):  # what a stretch needs stays in the processor's cache
+                rows_of, labels, yes = x[lo : lo + (1 << 14)], y[lo : lo + (1 << 14)], positive[lo : lo + (1 << 14)]
+                for k in by_group.get(group, []):
+                    weight = np.where(yes, tasks[k].weights[1], tasks[k].weights[0])
+                    margin = rows_of @ points[k]
+                    small = np.exp(-np.abs(margin))
+                    p = np.where(margin >= 0, 1.0, small) / (1 + small)
+                    bend = (rows_of * (weight * p * (1 - p))[:, None]).T @ rows_of
+                    loss = (weight * (np.maximum(np.where(yes, -margin, margin), 0) + np.log1p(small))).sum()
+                    total = np.concatenate([[loss], rows_of.T @ (weight * (p - labels)), bend[upper]])
+                    totals[k] = totals[k] + total if k in totals else total
         for k, total in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(total), k, np.int32)), pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["task", "i", "v"]
@@ -97,12 +150,20 @@ def fit_many(rows: DataFrame, tasks: Sequence[Task], steps: int = STEPS) -> dict
     """The models of all tasks from `rows` (`grouped_rows`), by damped Newton steps; the intercept carries no penalty.
 
     A job evaluates every open model at its next point. A step that makes the loss larger is halved, a model whose loss no longer falls
-    is done. Rows are read once a step: hold them if they are costly.
+    is done. Rows are read once and held as packed matrices, which each step goes over.
     """
-    first = rows.agg(F.max(F.size("x"))).first()[0]
-    if first is None:
+    packed = _packed(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _newton(packed, tasks, steps)
+    finally:
+        packed.unpersist()
+
+
+def _newton(rows: DataFrame, tasks: Sequence[Task], steps: int) -> dict[Hashable, Fitted]:
+    """`fit_many` over packed rows."""
+    width = rows.agg(F.max("width")).first()[0]
+    if width is None:
         raise ValueError("no rows to fit on")
-    width = first + 1
     points, ridge = np.zeros((len(tasks), width)), np.ones(width)
     ridge[-1] = 0
     upper = np.triu_indices(width)

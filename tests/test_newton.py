@@ -97,3 +97,27 @@ def test_jobs_grow_with_steps_not_models(spark, frames):
 def test_one_class_falls_back(spark):
     df = grid_rows(spark).withColumn("label", F.when(F.col("fold") == 1, F.col("label")).otherwise(0.0))
     assert selection.fit_batch(models(), {0: {"train": df.filter("fold <> 1").select("label", "features")}}, "label") is None
+
+
+def test_interleaved_groups_share_matrices(spark):
+    import pyarrow as pa
+
+    n, x = 999, np.arange(1998.0)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n) % 3 + 1), pa.array((np.arange(n) % 2).astype(float)), pa.ListArray.from_arrays(np.arange(0, 2 * n + 1, 2, np.int32), x)],
+        names=["group", "y", "x"],
+    )
+    for part in (batch, batch.slice(30, 600)):
+        blocks = list(newton._blocks([part]))
+        assert [g for g, _, _ in blocks] == [1, 2, 3]  # was a block a row
+        for g, y, v in blocks:
+            first = int(v[0, 0]) // 2
+            rows_of = np.arange(first, first + 3 * len(y), 3)
+            assert (rows_of % 3 + 1 == g).all() and (y == rows_of % 2).all() and (v == np.c_[2 * rows_of, 2 * rows_of + 1, np.ones(len(y))]).all()
+
+
+def test_packed_rows_are_whole(spark, monkeypatch):
+    df = spark.range(0, 500, 1, 2).selectExpr("cast(id % 4 as int) AS group", "cast(id % 2 as double) AS y", "array(cast(id as double), -1D) AS x")
+    monkeypatch.setattr(newton, "PACKED", 1 << 10)  # many small matrices
+    found = [(r.group, *v) for r in newton._packed(df).collect() for v in np.frombuffer(r.x).reshape(-1, r.width)]
+    assert sorted(found) == sorted((i % 4, float(i), -1.0, 1.0) for i in range(500))
