@@ -14,7 +14,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import quoted
+from tallymark.operators.forest import ForestClassifier
 from tallymark.operators.ordering import class_counts
 from tallymark.operators.prepare import add_weights
 
@@ -197,18 +197,7 @@ def tree(p, y, rows, weight, train):
 
 
 def forest(p, y, rows, weight, train):
-    return RandomForestClassifier(
-        **_weighted(
-            {
-                "labelCol": y, "numTrees": p.get("trees", 300),
-                "maxDepth": p.get("depth") or NO_DEPTH_LIMIT,
-                "minInstancesPerNode": p.get("leaf", 1), "featureSubsetStrategy": "sqrt",
-                "impurity": "gini", "seed": SEED, "maxBins": p.get("bins", 64),
-                "maxMemoryInMB": 512,
-            },
-            weight,
-        )
-    )
+    return ForestClassifier(y, weight, p.get("trees", 300), p.get("depth") or NO_DEPTH_LIMIT, p.get("leaf", 1), p.get("bins", 64), SEED)
 
 
 def linear_svm(p, y, rows, weight, train):
