@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
+    RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -87,6 +88,13 @@ class Scorecard(Model, DefaultParamsReadable, DefaultParamsWritable):
         })
 
 
+def cosine_basis(slots: int, size: int, gamma: float, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Random directions and offsets of ``size`` cosine features of a kernel of width ``gamma``."""
+    draw = np.random.default_rng(seed)
+    directions = draw.normal(0.0, np.sqrt(2.0 * gamma), (slots, size))
+    return directions, draw.uniform(0.0, 2.0 * np.pi, size)
+
+
 class RandomFourier(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Random cosine features whose inner products approximate an RBF kernel.
 
@@ -115,11 +123,8 @@ class RandomFourier(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         )
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        draw = np.random.default_rng(self.getOrDefault(self.seed))
         size = self.getOrDefault(self.size)
-        spread = np.sqrt(2.0 * self.getOrDefault(self.gamma))
-        directions = draw.normal(0.0, spread, (self.getOrDefault(self.slots), size))
-        offsets = draw.uniform(0.0, 2.0 * np.pi, size)
+        directions, offsets = cosine_basis(self.getOrDefault(self.slots), size, self.getOrDefault(self.gamma), self.getOrDefault(self.seed))
 
         @F.pandas_udf("array<double>")
         def cosines(v: pd.Series) -> pd.Series:
@@ -183,21 +188,20 @@ def logistic(p, y, rows, weight, train):
     )
 
 
+def _grown(p, y, weight, trees: int, bagged: bool, library, **more):
+    """Trees grown by the executors; ``library`` takes labels other than 0 and 1."""
+    depth, leaf, bins = p.get("depth") or NO_DEPTH_LIMIT, p.get("leaf", 1), p.get("bins", 64)
+    shared = {"labelCol": y, "maxDepth": depth, "minInstancesPerNode": leaf, "impurity": "gini", "seed": SEED, "maxBins": bins, "maxMemoryInMB": 512}
+    return ForestClassifier(y, weight, trees, depth, leaf, bins, SEED, bagged=bagged, other=library(**_weighted({**shared, **more}, weight)))
+
+
 def tree(p, y, rows, weight, train):
-    return DecisionTreeClassifier(
-        **_weighted(
-            {
-                "labelCol": y, "maxDepth": p.get("depth") or NO_DEPTH_LIMIT,
-                "minInstancesPerNode": p.get("leaf", 1), "impurity": "gini", "seed": SEED,
-                "maxBins": p.get("bins", 64), "maxMemoryInMB": 512,
-            },
-            weight,
-        )
-    )
+    return _grown(p, y, weight, 1, False, DecisionTreeClassifier)
 
 
 def forest(p, y, rows, weight, train):
-    return ForestClassifier(y, weight, p.get("trees", 300), p.get("depth") or NO_DEPTH_LIMIT, p.get("leaf", 1), p.get("bins", 64), SEED)
+    trees = p.get("trees", 300)
+    return _grown(p, y, weight, trees, True, RandomForestClassifier, numTrees=trees, featureSubsetStrategy="sqrt")
 
 
 def linear_svm(p, y, rows, weight, train):
@@ -216,8 +220,11 @@ def linear_svm(p, y, rows, weight, train):
     if not size:
         return svc
     slots, variance = _vector_spread(train)
-    gamma = 1.0 / slots if p.get("gamma", "scale") == "auto" else 1.0 / (slots * (variance or 1.0))
-    return RandomFourier(slots=slots, size=size, gamma=gamma), svc
+    return RandomFourier(slots=slots, size=size, gamma=kernel_width(p, slots, variance)), svc
+
+
+def kernel_width(p, slots: int, variance: float) -> float:
+    return 1.0 / slots if p.get("gamma", "scale") == "auto" else 1.0 / (slots * (variance or 1.0))
 
 
 def _vector_spread(train: DataFrame, features: str = "features") -> tuple[int, float]:

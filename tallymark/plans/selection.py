@@ -12,18 +12,19 @@ import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.operators import newton
+from tallymark.operators import forest, newton
 from tallymark.operators.metrics import METRICS, evaluate
-from tallymark.operators.models import Family, positive_score
+from tallymark.operators.models import BUILDERS, Family, cosine_basis, kernel_width, positive_score
 from tallymark.operators.ordering import class_counts, fit_cuts, local_frame
 from tallymark.operators.prepare import stratified_folds
 from tallymark.operators.together import FeaturePipeline
@@ -104,7 +105,7 @@ def cross_validate(
 ) -> list[dict[str, Any]]:
     """Metrics of every model on every fold: rows with model, fold, part, fit_time and metrics.
 
-    ``stages`` is a function that returns fresh feature stages. Several logistic models are fitted together (`fit_batch`).
+    ``stages`` is a function that returns fresh feature stages. Several models are fitted together (`fit_batch`) if Newton steps can fit one.
     """
     if len(models) > 1 and _batched(models):
         rows = _batched_folds(models, stages, df, y, fold, train_scores, parallelism)
@@ -129,50 +130,123 @@ def cross_validate(
         return [r for rows in _parallel(folds, work, parallelism) for r in rows]
 
 
+#: Families that are fitted by the shared steps of `newton`.
+STEPPED = ("logistic_regression", "svc")
+
+
 def _batched(models: Mapping[str, Family]) -> bool:
-    return len(models) > 0 and all(m.name == "logistic_regression" for m in models.values())
+    return len(models) > 0 and any(m.name in STEPPED for m in models.values())
+
+
+def _task(name: tuple[int, str], family: Family, counts: Mapping[float, int]) -> newton.Task:
+    n = sum(counts.values())
+    balanced = family.params.get("weight") == "balanced"
+    weights = (n / (2 * counts[0.0]), n / (2 * counts[1.0])) if balanced else (1.0, 1.0)
+    return newton.Task(name, name[0], 1.0 / family.params.get("C", 1.0), weights, family.name == "svc")
+
+
+def _stepped(models: Mapping[str, Family], vectors: DataFrame, counts: Mapping, parts: Sequence[str]) -> tuple[list[DataFrame], dict]:
+    """Scored rows, and seconds by (group, model), of the logistic models and margins; those on the same vectors share their steps."""
+    kernel = lambda m: (m.params.get("rff"), m.params.get("gamma", "scale")) if m.name == "svc" and m.params.get("rff") else None
+    train, scored, seconds = vectors.filter("part = 'train'"), [], {}
+    views = {kernel(m): None for m in models.values() if m.name in STEPPED}
+    spread = {}
+    if any(views):
+        entries = train.select("group", F.size("x").alias("d"), F.explode("x").alias("v"))
+        spread = {r[0]: (r[1], r[2]) for r in entries.groupBy("group").agg(F.max("d"), F.var_pop("v")).collect()}
+    for view in views:
+        mine = {name: m for name, m in models.items() if m.name in STEPPED and kernel(m) == view}
+        seen = lambda df: df.select("group", "y", "x")
+        if view:
+            size, gamma = view
+            bases = {g: cosine_basis(d, size, kernel_width({"gamma": gamma}, d, v)) for g, (d, v) in spread.items()}
+            seen = partial(newton.cosine_rows, bases=bases)
+        tasks = [_task((g, name), m, counts[g]) for g in counts for name, m in mine.items()]
+        start = time.perf_counter()
+        fitted = newton.fit_many(seen(train), tasks)
+        each = (time.perf_counter() - start) / len(tasks)
+        seconds |= {t.name: each for t in tasks}
+        names = F.array(*[F.struct(F.lit(t.name[0]).alias("group"), F.lit(t.name[1]).alias("model")) for t in tasks])
+        for part in parts:
+            rows = newton.score_many(seen(vectors.filter(F.col("part") == part)), tasks, fitted)
+            scored.append(rows.select(names[F.col("task")].alias("t"), "y", "prediction", "score").select("t.*", F.lit(part).alias("part"), "y", "prediction", "score"))
+    return scored, seconds
+
+
+def _grown(models: Mapping[str, Family], vectors: DataFrame, counts: Mapping, parts: Sequence[str]) -> tuple[list[DataFrame], dict]:
+    """Scored rows, and seconds by (group, model), of majority classes, and of trees and forests if one task can hold all rows."""
+    scored, seconds = [], {}
+    for name, m in models.items():
+        if m.name == "dummy_baseline":
+            best = {g: min(c, key=lambda v: (-c[v], v)) for g, c in counts.items()}  # noqa: B023
+            said = F.create_map(*[F.lit(v) for pair in best.items() for v in pair])[F.col("group")]
+            scored.append(vectors.select("group", F.lit(name).alias("model"), "part", "y", said.alias("prediction"), said.alias("score")))
+            seconds |= {(g, name): 0.0 for g in counts}
+    if vectors.count() > forest.WHOLE_ROWS:
+        return scored, seconds
+    kinds: dict[tuple, dict[str, Family]] = {}
+    for name, m in models.items():
+        if m.name in ("decision_tree", "random_forest"):
+            kinds.setdefault((m.params.get("weight"), m.params.get("bins", 64)), {})[name] = m
+    for mine in kinds.values():
+        start = time.perf_counter()
+        forests = {name: BUILDERS[m.name](m.params, "y", 0, None, None) for name, m in mine.items()}
+        weights = {g: _task((g, ""), next(iter(mine.values())), c).weights for g, c in counts.items()}
+        scored.append(forest.grow_and_score(vectors, list(counts), parts, forests, weights))
+        each = (time.perf_counter() - start) / (len(counts) * len(mine))
+        seconds |= {(g, name): each for g in counts for name in mine}
+    return scored, seconds
 
 
 def fit_batch(
-    models: Mapping[str, Family], groups: Mapping[int, Mapping[str, DataFrame]], y: str
+    models: Mapping[str, Family], groups: Mapping[int, Mapping[str, DataFrame]], y: str, parallelism: int = 4
 ) -> dict[tuple[int, str, str], dict[str, Any]] | None:
-    """Metrics by (group, model, part) of logistic models, each fitted on the "train" part of every group.
+    """Metrics by (group, model, part) of models, each fitted on the "train" part of every group.
 
-    ``groups`` holds frames of ``y`` and ``features``. All models of all groups share the jobs (one a Newton step and one that
-    evaluates). None if some group has not both classes; the models then need fits of their own. The fit time is each model's share.
+    ``groups`` holds frames of ``y`` and ``features`` under the numbers from 0. All logistic models and margins of all groups share their
+    jobs (one a Newton step), so do trees and forests if one task can hold all rows, and one evaluation looks at all models; the other
+    families are fitted group by group. None if some group has not both classes;
+    the models then need fits of their own. The fit time of a model that shares its jobs is its share.
     """
-    train = newton.grouped_rows({g: parts["train"] for g, parts in groups.items()}, y)
-    with held(train) as (train,):
+    few = sum(f.rdd.getNumPartitions() for f in next(iter(groups.values())).values()) <= 16
+    vectors = reduce(DataFrame.unionAll, [
+        newton.grouped_rows({g: f}, y).withColumn("part", F.lit(p)) for g, parts in groups.items() for p, f in parts.items()
+    ])
+    with held(vectors.coalesce(2 * vectors.sparkSession.sparkContext.defaultParallelism) if few else vectors) as (vectors,):
         counts: dict[int, dict[float, int]] = {g: {} for g in groups}
-        for r in train.groupBy("group", "y").count().collect():
+        for r in vectors.filter("part = 'train'").groupBy("group", "y").count().collect():
             counts[r["group"]][r["y"]] = r["count"]
         if any(set(c) != {0.0, 1.0} for c in counts.values()):
             return None
-        tasks = []
-        for g, c in counts.items():
-            n = sum(c.values())
-            for name, family in models.items():
-                balanced = family.params.get("weight") == "balanced"
-                weights = (n / (2 * c[0.0]), n / (2 * c[1.0])) if balanced else (1.0, 1.0)
-                tasks.append(newton.Task((g, name), g, 1.0 / family.params.get("C", 1.0), weights))
-        start = time.perf_counter()
-        fitted = newton.fit_many(train, tasks)
-        seconds = (time.perf_counter() - start) / len(tasks)
-        scored = []
-        for part in sorted({p for parts in groups.values() for p in parts}):
-            rows = train if part == "train" else newton.grouped_rows({g: f[part] for g, f in groups.items() if part in f}, y)
-            scored.append(newton.score_many(rows, tasks, fitted).withColumn("part", F.lit(part)))
-        table = evaluate(reduce(DataFrame.unionAll, scored), "y", by=["task", "part"]).collect()
+        parts = sorted({p for f in groups.values() for p in f})
+        scored, seconds = _stepped(models, vectors, counts, parts)
+
+        def work(task):
+            g, name = task
+            rows = vectors.filter(F.col("group") == g).select("part", "y", array_to_vector("x").alias("features"))
+            start = time.perf_counter()
+            model = models[name].fit(rows.filter("part = 'train'").drop("part"), "y", counts[g])
+            seconds[task] = time.perf_counter() - start
+            return positive_score(model.transform(rows)).select(
+                F.lit(g).alias("group"), F.lit(name).alias("model"), "part", "y",
+                F.col("prediction").cast("double").alias("prediction"), F.col("score").cast("double").alias("score"),
+            )
+
+        more, shared = _grown(models, vectors, counts, parts)
+        scored, seconds = scored + more, seconds | shared
+        scored += _parallel([(g, name) for name in models if (0, name) not in seconds for g in groups], work, parallelism)
+        with held(reduce(DataFrame.unionAll, scored)) as (scored,):
+            table = evaluate(scored, "y", by=["group", "model", "part"]).collect()
     out = {}
     for r in table:
         row = r.asDict()
-        (g, name), part = tasks[row.pop("task")].name, row.pop("part")
-        out[g, name, part] = {"fit_time": seconds, "rows": sum(counts[g].values()), **row}
+        g, name, part = (row.pop(c) for c in ("group", "model", "part"))
+        out[g, name, part] = {"fit_time": seconds[g, name], "rows": sum(counts[g].values()), **row}
     return out
 
 
 def _batched_folds(models, stages, df, y, fold, train_scores, parallelism) -> list[dict[str, Any]] | None:
-    """``cross_validate`` for logistic models: features are fitted fold by fold, the models of all folds together."""
+    """``cross_validate`` by `fit_batch`: features are fitted fold by fold, the models of all folds together."""
     with held(df) as (kept,):
         folds = sorted(r[0] for r in kept.select(fold).distinct().collect())
 
@@ -182,7 +256,7 @@ def _batched_folds(models, stages, df, y, fold, train_scores, parallelism) -> li
             return {p: features.transform(f).select(y, "features") for p, f in (("train", inside), ("test", outside))}
 
         groups = dict(enumerate(_parallel(folds, work, parallelism)))
-        found = fit_batch(models, groups, y)
+        found = fit_batch(models, groups, y, parallelism)
     if found is None:
         return None
     parts = ("test", "train") if train_scores else ("test",)
@@ -416,7 +490,7 @@ def learning_curve(
 
         tasks = [(i, step) for i in folds for step in range(len(fractions))]
         rows = None
-        if _batched({"model": family}):
+        if family.name == "logistic_regression":
 
             def parts_of(task):
                 i, step = task

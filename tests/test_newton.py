@@ -18,6 +18,11 @@ def rows(seed, n, d=4):
     return [(float(b), Vectors.dense(a)) for a, b in zip(x, y)]
 
 
+@pytest.fixture(params=[newton.WHOLE_BYTES, 0], ids=["whole", "steps"])
+def way(request, monkeypatch):
+    monkeypatch.setattr(newton, "WHOLE_BYTES", request.param)
+
+
 @pytest.fixture(scope="module")
 def frames(spark):
     return {g: spark.createDataFrame(rows(g, n), ["label", "features"]).repartition(3) for g, n in ((0, 400), (1, 90))}
@@ -121,3 +126,55 @@ def test_packed_rows_are_whole(spark, monkeypatch):
     monkeypatch.setattr(newton, "PACKED", 1 << 10)  # many small matrices
     found = [(r.group, *v) for r in newton._packed(df).collect() for v in np.frombuffer(r.x).reshape(-1, r.width)]
     assert sorted(found) == sorted((i % 4, float(i), -1.0, 1.0) for i in range(500))
+
+
+def hinge_loss(df, w, b, penalty, weights):
+    x, y = (np.array([v for v in c]) for c in zip(*[(r.features.toArray(), r.label) for r in df.collect()]))
+    side, weight = np.where(y > 0, 1.0, -1.0), np.where(y > 0, weights[1], weights[0])
+    return (weight * np.maximum(1 - side * (x @ w + b), 0)).sum() + 0.5 * penalty * (w**2).sum()
+
+
+def test_margins_are_no_worse_than_the_solver(spark, frames, way):
+    from pyspark.ml.classification import LinearSVC
+
+    tasks = [newton.Task((g, c), g, 1 / c, w, True) for g, w in ((0, (0.7, 1.9)), (1, (1.0, 1.0))) for c in (0.1, 1.0, 10.0)]
+    found = newton.fit_many(newton.grouped_rows(frames, "label"), tasks)
+    for t in tasks:
+        df = frames[t.group].withColumn("w", F.when(F.col("label") == 1, t.weights[1]).otherwise(t.weights[0]))
+        total = df.agg(F.sum("w")).first()[0]
+        one = LinearSVC(labelCol="label", weightCol="w", regParam=t.penalty / total, standardization=False, maxIter=200).fit(df)
+        mine = found[t.name]
+        theirs = hinge_loss(df, one.coefficients.toArray(), one.intercept, t.penalty, t.weights)
+        assert hinge_loss(df, mine.coefficients, mine.intercept, t.penalty, t.weights) <= theirs * (1 + 1e-4)
+
+
+def test_families_are_fitted_together(spark):
+    """The share of jobs a fold is small, and every metric is that of fits of their own (forests draw, so they are compared loosely)."""
+    df = grid_rows(spark).cache()
+    mixed = {
+        "none": Family("dummy_baseline"), "lr": Family("logistic_regression", {"C": 1.0, "weight": "balanced"}),
+        "svc": Family("svc", {"C": 1.0, "rff": 20, "gamma": "scale", "weight": "balanced"}), "plain": Family("svc", {"C": 1.0}),
+        "tree": Family("decision_tree", {"depth": 3, "weight": "balanced"}), "forest": Family("random_forest", {"trees": 20, "weight": "balanced"}),
+    }
+    found = {}
+    n = jobs(spark, "mixed", lambda: found.update({(r["model"], r["fold"], r["part"]): r for r in selection.cross_validate(mixed, list, df, train_scores=True, parallelism=1)}))
+    assert set(found) == {(m, i, p) for m in mixed for i in (1, 2, 3) for p in ("train", "test")}
+    assert n < 350  # the solvers' passes alone were over 600
+    for name in mixed:
+        apart = {(r["fold"], r["part"]): r for r in selection.cross_validate({name: mixed[name]}, list, df, train_scores=True)}
+        for (i, p), r in apart.items():
+            close = 1e-6 if name in ("none", "lr", "tree") else 0.05
+            assert found[name, i, p]["roc_auc"] == pytest.approx(r["roc_auc"], abs=close)
+            assert found[name, i, p]["balanced_accuracy"] == pytest.approx(r["balanced_accuracy"], abs=close if name != "lr" else 0.02)
+
+
+def test_both_ways_find_the_same_models(spark, frames, monkeypatch):
+    tasks = [newton.Task((g, c, m), g, 1 / c, (1.0, 2.0), m) for g in frames for c in (0.1, 10.0) for m in (False, True)]
+    data = newton.grouped_rows(frames, "label")
+    whole = newton.fit_many(data, tasks)
+    monkeypatch.setattr(newton, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(newton, "FEW_PARTS", 0)
+    steps = newton.fit_many(data, tasks)
+    for t in tasks:
+        assert steps[t.name].loss == pytest.approx(whole[t.name].loss, rel=1e-5)
+        assert np.allclose(steps[t.name].coefficients, whole[t.name].coefficients, atol=2e-2 if t.margin else 1e-6)
